@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,8 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
     made = F.struct(*(c.alias(n) for n, c in columns.items()))
     return df.select(*kept, F.inline(F.array(made)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed one time, for use inside a larger expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

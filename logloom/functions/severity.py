@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logloom.functions.once import let
 from logloom.functions.values import is_number, kind, text
 
 # Level keys in order of preference, spellings, numeric levels, defaults.
@@ -51,16 +52,22 @@ def severity_of(fields: Column) -> Column:
     def pair(number: Column, label: Column) -> Column:
         return F.struct(number.cast("int").alias("number"), label.alias("text"))
 
-    candidates = []
-    for key in LEVEL_KEYS:
-        value = fields[key]
-        level = F.try_variant_get(value, "$", "double").cast("bigint")
-        candidates.append(
-            F.when(kind(value) == "STRING", pair(severity_of_text(text(value)), text(value))).when(
-                is_number(kind(value)), pair(severity_of_number(level), level.cast("string"))
-            )
-        )
-    return F.coalesce(*candidates, pair(F.lit(DEFAULT_NUMBER), F.lit(DEFAULT_TEXT)))
+    def usable(value: Column) -> Column:
+        return F.when((kind(value) == "STRING") | is_number(kind(value)), value)
+
+    def of_number(level: Column) -> Column:
+        return pair(severity_of_number(level), level.cast("string"))
+
+    def of_level(value: Column) -> Column:
+        whole = F.try_variant_get(value, "$", "double").cast("bigint")
+        return F.when(
+            kind(value) == "STRING",
+            let(text(value), lambda level: pair(severity_of_text(level), level)),
+        ).otherwise(let(whole, of_number))
+
+    first = F.coalesce(*(usable(fields[key]) for key in LEVEL_KEYS))
+    default = pair(F.lit(DEFAULT_NUMBER), F.lit(DEFAULT_TEXT))
+    return let(first, lambda v: F.when(v.isNull(), default).otherwise(of_level(v)))
 
 
 def unify_severity(severity: Column) -> Column:

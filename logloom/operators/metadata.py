@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.once import once
+from logloom.functions.once import let, once
 from logloom.functions.patterns import java_regex
 from logloom.functions.values import string_of
 from logloom.options import RouteOptions
@@ -27,9 +27,13 @@ def metadata_from_tag(tag: Column, pattern: str) -> Column:
     contains, any other tag is left whole.
     """
     whole = r"\A(?s:.*?)" + java_regex(pattern) + r"(?s:.*)\z"
-    parts = F.split(F.regexp_replace(tag, whole, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
-    named = [parts[i].alias(n) for i, n in enumerate(TAG_PARTS)]
-    return F.when(F.size(parts) == len(TAG_PARTS), F.struct(*named))
+    rewritten = F.split(F.regexp_replace(tag, whole, "$1\u0001$2\u0001$3\u0001$4"), "\u0001")
+
+    def named(parts: Column) -> Column:
+        fields = [parts[i].alias(n) for i, n in enumerate(TAG_PARTS)]
+        return F.when(F.size(parts) == len(TAG_PARTS), F.struct(*fields))
+
+    return let(rewritten, named)
 
 
 def recover_metadata(df: DataFrame, options: RouteOptions) -> DataFrame:

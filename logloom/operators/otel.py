@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.once import once
+from logloom.functions.once import let, once
 from logloom.functions.severity import severity_of
 from logloom.functions.values import (
     BODY_LIMIT,
@@ -16,6 +16,7 @@ from logloom.functions.values import (
     string_of,
     text,
 )
+from logloom.operators.metadata import TAG_PARTS
 from logloom.options import RouteOptions
 
 # Metadata key -> semantic attribute, and keys that are never attributes.
@@ -30,10 +31,10 @@ K8S_ATTRIBUTES = {
 BODY_KEYS = ("log", "message")
 SKIPPED_KEYS = ("log", "message", "kubernetes")
 
-ATTRIBUTE = (
-    "struct<key:string,value_type:string,str_value:string,int_value:bigint,"
-    "flt_value:double,bool_value:boolean,byte_value:binary>"
-)
+ATTRIBUTE = {
+    "key": "string", "value_type": "string", "str_value": "string", "int_value": "bigint",
+    "flt_value": "double", "bool_value": "boolean", "byte_value": "binary",
+}
 
 
 def body_of(fields: Column) -> Column:
@@ -50,81 +51,77 @@ def body_of(fields: Column) -> Column:
     return F.coalesce(*sources, html_safe(F.to_json(fields)))
 
 
-def attribute(
-    key: Column,
-    value_type: Column,
-    str_value: Column | None = None,
-    int_value: Column | None = None,
-    flt_value: Column | None = None,
-    bool_value: Column | None = None,
-) -> Column:
-    none = F.lit(None)
-    values = (key, value_type, str_value, int_value, flt_value, bool_value, none)
-    names = (
-        "key", "value_type", "str_value", "int_value", "flt_value", "bool_value", "byte_value"
-    )
+def attribute(**values: Column) -> Column:
+    """One typed key/value pair; fields not given are NULL."""
     return F.struct(
-        *((none if v is None else v).alias(n) for v, n in zip(values, names))
-    ).cast(ATTRIBUTE)
+        *(values[n].alias(n) if n in values else F.lit(None).cast(t).alias(n)
+          for n, t in ATTRIBUTE.items())
+    )
 
 
 def _typed(key: Column, value: Column, value_kind: Column) -> Column:
     """Scalars keep their type; containers become a short note of their size."""
-    number, whole = is_number(value_kind), value_kind == "BIGINT"
-    note = (
-        F.when(value_kind.startswith("OBJECT"), F.concat(
-            F.lit("<map: "), F.size(F.try_variant_get(value, "$", "map<string,variant>")),
-            F.lit(" keys>")))
-        .when(value_kind.startswith("ARRAY"), F.concat(
-            F.lit("<array: "), F.size(F.try_variant_get(value, "$", "array<variant>")),
-            F.lit(" items>")))
-        .when(value_kind == "VOID", F.lit("<<nil>>"))
-        .when(~number & (value_kind != "BOOLEAN"), text(value))
-    )
-    value_type = (
-        F.when(whole, F.lit("int64")).when(number, F.lit("float64"))
-        .when(value_kind == "BOOLEAN", F.lit("bool")).otherwise(F.lit("string"))
-    )
-    return attribute(
-        key,
-        value_type,
-        note,
-        F.when(whole, F.try_variant_get(value, "$", "bigint")),
-        F.when(number & ~whole, F.try_variant_get(value, "$", "double")),
-        F.when(value_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
+
+    def pair(value_type: str, **typed: Column) -> Column:
+        return attribute(key=key, value_type=F.lit(value_type), **typed)
+
+    def note(kind_name: str, schema: str, unit: str) -> Column:
+        size = F.size(F.try_variant_get(value, "$", schema))
+        return pair("string", str_value=F.concat(F.lit(f"<{kind_name}: "), size, F.lit(unit)))
+
+    return (
+        F.when(value_kind == "STRING", pair("string", str_value=text(value)))
+        .when(value_kind == "BIGINT",
+              pair("int64", int_value=F.try_variant_get(value, "$", "bigint")))
+        .when(is_number(value_kind),
+              pair("float64", flt_value=F.try_variant_get(value, "$", "double")))
+        .when(value_kind == "BOOLEAN",
+              pair("bool", bool_value=F.try_variant_get(value, "$", "boolean")))
+        .when(value_kind.startswith("OBJECT"), note("map", "map<string,variant>", " keys>"))
+        .when(value_kind.startswith("ARRAY"), note("array", "array<variant>", " items>"))
+        .when(value_kind == "VOID", pair("string", str_value=F.lit("<<nil>>")))
+        .otherwise(pair("string", str_value=text(value)))
     )
 
 
 def record_attributes(fields: Column, severity_text: Column) -> Column:
-    """All other record fields by key; a key that equals the severity text is left out."""
-    kept = F.map_filter(fields, lambda k, _: ~k.isin(*SKIPPED_KEYS) & (k != severity_text))
-    tagged = F.transform(
-        F.map_entries(kept),
-        lambda e: F.struct(
-            e["key"].alias("key"), e["value"].alias("value"), kind(e["value"]).alias("kind")
-        ),
+    """All other record fields in the order of the record (by key, when it was parsed from
+    JSON); a key that equals the severity text is left out."""
+    kept = F.filter(
+        F.map_entries(fields),
+        lambda e: ~e["key"].isin(*SKIPPED_KEYS) & (e["key"] != severity_text),
+    )
+    return F.transform(
+        kept, lambda e: let(kind(e["value"]), lambda k: _typed(e["key"], e["value"], k))
     )
-    return F.array_sort(F.transform(tagged, lambda e: _typed(e["key"], e["value"], e["kind"])))
 
 
 def k8s_metadata(fields: Column, tag_metadata: Column) -> Column:
     """STRUCT of the six metadata strings, from the record or else from the tag."""
-    own = F.try_variant_get(fields["kubernetes"], "$", "map<string,variant>")
-    from_tag = {n: tag_metadata[n] for n in
-                ("pod_name", "namespace_name", "container_name", "container_id")}
-    return F.struct(
-        *(F.coalesce(string_of(own[n]), from_tag.get(n, F.lit(None).cast("string"))).alias(n)
+    in_record = F.try_variant_get(fields["kubernetes"], "$", "map<string,variant>")
+
+    def strings(own: Column) -> Column:
+        return F.struct(*(string_of(own[n]).alias(n) for n in K8S_ATTRIBUTES))
+
+    from_tag = F.struct(
+        *((tag_metadata[n] if n in TAG_PARTS else F.lit(None).cast("string")).alias(n)
           for n in K8S_ATTRIBUTES)
     )
+    return F.when(tag_metadata.isNull(), let(in_record, strings)).otherwise(from_tag)
 
 
 def k8s_attributes(k8s: Column) -> Column:
     """The non-empty metadata strings as attributes, in fixed order."""
-    every = F.array(
-        *(attribute(F.lit(name), F.lit("string"), k8s[key])
-          for key, name in K8S_ATTRIBUTES.items())
-    )
-    return F.filter(every, lambda a: F.coalesce(a["str_value"], F.lit("")) != "")
+
+    def listed(found: Column) -> Column:
+        every = (
+            F.when(found[n] != "", attribute(key=F.lit(name), value_type=F.lit("string"),
+                                             str_value=found[n]))
+            for n, name in K8S_ATTRIBUTES.items()
+        )
+        return F.array_compact(F.array(*every))
+
+    return let(k8s, listed)
 
 
 def to_otel(df: DataFrame, options: RouteOptions) -> DataFrame:
@@ -132,7 +129,9 @@ def to_otel(df: DataFrame, options: RouteOptions) -> DataFrame:
     fields = F.col("fields")
     df = once(df, _severity=severity_of(fields))
     severity = F.col("_severity")
-    origin = F.array(attribute(F.lit("origin"), F.lit("string"), F.lit(options.origin)))
+    origin = F.array(
+        attribute(key=F.lit("origin"), value_type=F.lit("string"), str_value=F.lit(options.origin))
+    )
     attributes = [k8s_attributes(k8s_metadata(fields, F.col("tag_metadata")))]
     if options.origin:
         attributes.append(origin)

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.once import once
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -33,32 +35,41 @@ def _joined(labels: Column, rule: Rule) -> Column:
     return F.concat_ws(rule.separator, *parts) if parts else F.lit("")
 
 
+def _replaced(labels: Column, rule: Rule) -> Column:
+    """Set the target label where the source matches; an empty result removes it."""
+    joined, pattern = _joined(labels, rule), _anchored(rule.regex)
+    value = F.regexp_replace(joined, pattern, _java_replacement(rule.replacement))
+    others = F.map_filter(labels, lambda name, _: name != rule.target)
+    edited = F.when(value == "", others).otherwise(
+        F.map_concat(others, F.create_map(F.lit(rule.target), value))
+    )
+    return F.when(joined.rlike(pattern), edited).otherwise(labels)
+
+
+def _mapped(labels: Column, rule: Rule) -> Column:
+    """Copy the labels whose name matches to the rewritten name."""
+    pattern, replacement = _anchored(rule.regex), _java_replacement(rule.replacement)
+    copied = F.transform_keys(
+        F.map_filter(labels, lambda name, _: name.rlike(pattern)),
+        lambda name, _: F.regexp_replace(name, pattern, replacement),
+    )
+    kept = F.map_filter(labels, lambda name, _: ~F.map_contains_key(copied, name))
+    return F.map_concat(kept, copied)
+
+
 def relabel(df: DataFrame, rules: Sequence[Rule], labels: str = "labels") -> DataFrame:
     """Apply the rules in order; `keep` and `drop` filter rows, the others edit the map."""
     for rule in rules:
         column = F.col(labels)
-        pattern, replacement = _anchored(rule.regex), _java_replacement(rule.replacement)
-        joined = _joined(column, rule)
+        matched = _joined(column, rule).rlike(_anchored(rule.regex))
         if rule.action == "keep":
-            df = df.filter(joined.rlike(pattern))
+            df = df.filter(matched)
         elif rule.action == "drop":
-            df = df.filter(~joined.rlike(pattern))
+            df = df.filter(~matched)
         elif rule.action == "replace":
-            value = F.regexp_replace(joined, pattern, replacement)
-            others = F.map_filter(column, lambda k, _, t=rule.target: k != t)
-            edited = F.when(value == "", others).otherwise(
-                F.map_concat(others, F.create_map(F.lit(rule.target), value))
-            )
-            df = df.withColumn(labels, F.when(joined.rlike(pattern), edited).otherwise(column))
+            df = once(df, **{labels: _replaced(column, rule)})
         elif rule.action == "labelmap":
-            mapped = F.transform_keys(
-                F.map_filter(column, lambda k, _, p=pattern: k.rlike(p)),
-                lambda k, _, p=pattern, r=replacement: F.regexp_replace(k, p, r),
-            )
-            kept = F.map_filter(
-                column, lambda k, _, m=mapped: ~F.array_contains(F.map_keys(m), k)
-            )
-            df = df.withColumn(labels, F.map_concat(kept, mapped))
+            df = once(df, **{labels: _mapped(column, rule)})
         else:
             raise ValueError(f"unknown relabel action: {rule.action!r}")
     return df

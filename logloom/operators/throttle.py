@@ -1,0 +1,172 @@
+"""Token bucket per endpoint: rate `r` per second, burst `2 r`, denied records cost nothing.
+
+Every decision depends on the one before, yet one endpoint may hold most of the records, so it
+is cut into slices of time:
+
+1. In each slice a lower bound of the bucket is followed from zero. Once the bound is full, the
+   bucket is full whatever came before, and the rest of the slice is decided on its own.
+2. The undecided heads of the slices are chained: a chain starts from the known bucket at the
+   end of a decided slice. Chains of one or two slices are short and are replayed in order.
+3. Longer chains mean lasting overload. While the bucket does not overflow, the number of
+   denials is a running maximum, which sliced windows compute in parallel. Should it overflow
+   inside such a chain after all, that chain is replayed.
+
+All amounts are whole millionths of a token, so results do not depend on rounding.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from logloom.functions.values import micros
+from logloom.operators.slices import neighbour, running, slice_of
+from logloom.session import settle
+
+TOKEN = 1_000_000
+MINUTE = 60_000_000
+SHORT_CHAIN = 2
+
+
+def _decide_slices(rate: int, burst: int, width: int):
+    """Rows sorted by (endpoint, slice, time): status of each row and the bucket after it."""
+    full = burst * TOKEN
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, last, level, known = None, 0, 0, False
+        for rows in batches:
+            status, levels = [], []
+            for endpoint, part, at in zip(rows["endpoint"], rows["_slice"], rows["at"]):
+                if group != (endpoint, part):
+                    group, last, level, known = (endpoint, part), part * width, 0, False
+                level = min(full, level + rate * (at - last))
+                last = at
+                known = known or level == full
+                enough = level >= TOKEN
+                level = level - TOKEN if enough else (level if known else 0)
+                status.append((1 if enough else 0) if known else -1)
+                levels.append(level)
+            yield rows.assign(status=status, level=levels)
+
+    return run
+
+
+def _replay(rate: int, burst: int):
+    """Rows sorted by (endpoint, chain, time): decisions from the known start of each chain."""
+    full = burst * TOKEN
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, last, level = None, 0, 0
+        for rows in batches:
+            admitted = []
+            columns = ("endpoint", "chain", "at", "start_at", "start_level")
+            for endpoint, chain, at, start_at, start_level in zip(*(rows[c] for c in columns)):
+                if group != (endpoint, chain):
+                    group, last, level = (endpoint, chain), start_at, start_level
+                level = min(full, level + rate * (at - last))
+                last = at
+                admitted.append(level >= TOKEN)
+                level -= TOKEN if admitted[-1] else 0
+            yield pd.DataFrame(
+                {"endpoint": rows["endpoint"], "record_id": rows["record_id"], "at": rows["at"],
+                 "admitted": admitted}
+            )
+
+    return run
+
+
+def _chains(marked: DataFrame, full: int) -> DataFrame:
+    """One row per endpoint and slice: its chain and the bucket at the start of the chain."""
+    last = F.max_by(F.struct("status", "level", "at"), F.struct("at", "record_id"))
+    slices = marked.groupBy("endpoint", "_slice").agg(
+        last.alias("last"), F.min("at").alias("first_at"),
+        F.count_if(F.col("status") == -1).alias("heads"),
+    )
+    in_order = Window.partitionBy("endpoint").orderBy("_slice")
+    before = F.lag("last").over(in_order)
+    slices = slices.withColumn("before", before)
+    starts = F.col("before").isNull() | (F.col("before.status") >= 0)
+    start = F.struct(
+        F.col("_slice").alias("chain"),
+        F.coalesce("before.at", "first_at").alias("start_at"),
+        F.coalesce("before.level", F.lit(full)).alias("start_level"),
+    )
+    slices = slices.withColumn(
+        "start", F.last(F.when(starts, start), ignorenulls=True).over(in_order)
+    ).select("endpoint", "_slice", "heads", "start.*")
+    chain = Window.partitionBy("endpoint", "chain")
+    return slices.withColumn("slices", F.count(F.lit(1)).over(chain))
+
+
+def _overloaded(heads: DataFrame, rate: int, full: int, width: int) -> DataFrame:
+    """Decisions of long chains by running maximum, with `overflows` where that is not valid."""
+    key = ["endpoint", "chain"]
+    first = heads.groupBy(*key).agg(
+        F.min("at").alias("zero_at"), F.min("start_at").alias("_at"),
+        F.min("start_level").alias("_level"),
+    ).withColumn(
+        "zero_level", F.least(F.lit(full), F.col("_level") + (F.col("zero_at") - F.col("_at")) * rate)
+    ).drop("_at", "_level")
+    rows = heads.join(first, key)
+    rows = running(rows, key, ["ts", "record_id"],
+                   {"nth": ("sum", F.lit(1).cast("bigint"))}, width)
+    refilled = F.col("zero_level") + (F.col("at") - F.col("zero_at")) * rate
+    allowed = F.expr(f"zero_level + (at - zero_at) * {rate}")
+    rows = rows.withColumn(
+        "excess", F.col("nth") - ((allowed - F.pmod(allowed, F.lit(TOKEN))) / TOKEN).cast("bigint")
+    )
+    rows = running(rows, key, ["ts", "record_id"], {"_denied": ("max", F.col("excess"))}, width)
+    rows = rows.withColumn("denied", F.greatest(F.lit(0), "_denied"))
+    rows = neighbour(rows, key, ["ts", "record_id"], {"denied": "denied_before"}, width=width)
+    denied_before = F.coalesce("denied_before", F.lit(0))
+    level = refilled - (F.col("nth") - 1 - denied_before) * TOKEN
+    rows = rows.withColumns(
+        {"admitted": F.col("denied") == denied_before, "_level": level}
+    )
+    spilled = rows.groupBy(*key).agg((F.max("_level") > full).alias("overflows"))
+    return rows.join(spilled, key)
+
+
+def throttle(
+    sent: DataFrame, rate: int, burst: int | None = None, width: int = MINUTE
+) -> DataFrame:
+    """`endpoint, record_id, at` (microseconds) and `admitted` of every record of `sent`, which
+    has `endpoint, ts, record_id`. Records of one moment are taken in order of `record_id`."""
+    burst = 2 * rate if burst is None else burst
+    full = burst * TOKEN
+    result = ["endpoint", "record_id", "at", "admitted"]
+    rows = sent.select("endpoint", "ts", "record_id", micros(F.col("ts")).alias("at"),
+                       slice_of(F.col("ts"), width).alias("_slice"))
+    ordered = rows.repartition("endpoint", "_slice").sortWithinPartitions(
+        "endpoint", "_slice", "at", "record_id"
+    )
+    schema = f"{_ddl(ordered)}, status int, level bigint"
+    marked = settle(ordered.mapInPandas(_decide_slices(rate, burst, width), schema))
+    decided = marked.filter("status >= 0").select(
+        "endpoint", "record_id", "at", (F.col("status") == 1).alias("admitted")
+    )
+    chains = _chains(marked, full).filter("heads > 0").withColumnsRenamed(
+        {"endpoint": "_endpoint", "_slice": "_part"}
+    )
+    heads = marked.filter("status = -1").drop("status", "level").join(
+        chains, [F.col("endpoint") == F.col("_endpoint"), F.col("_slice") == F.col("_part")]
+    ).drop("_endpoint", "_part", "heads", "_slice")
+    short = heads.filter(F.col("slices") <= SHORT_CHAIN)
+    long = _overloaded(heads.filter(F.col("slices") > SHORT_CHAIN), rate, full, width)
+    again = short.unionByName(long.filter("overflows").select(*short.columns))
+    again = again.repartition("endpoint", "chain").sortWithinPartitions(
+        "endpoint", "chain", "at", "record_id"
+    )
+    replayed = again.mapInPandas(
+        _replay(rate, burst), "endpoint string, record_id string, at bigint, admitted boolean"
+    )
+    return decided.unionByName(replayed).unionByName(
+        long.filter("not overflows").select(*result)
+    )
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from logloom.plans import record_queries, routing_queries  # noqa: F401
+from logloom.plans import metric_queries, record_queries, routing_queries, stream_queries  # noqa: F401
 from logloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.operators.parse import json_records
 from logloom.session import prepare
+from logloom.sources.readers import spread_if_narrow
+
+
+# column that spreads a table evenly: its own unique id
+SPREAD = {
+    "events": "event_id", "documents": "doc_id", "orders": "o_orderkey", "lineitem": "l_orderkey",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    df = prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spread_if_narrow(df, SPREAD[name]) if name in SPREAD else df
 
 
 def namespace_of(user_id: Column) -> Column:
@@ -19,25 +27,26 @@ def namespace_of(user_id: Column) -> Column:
     )
 
 
-def _tag(pod: Column, ns: Column, container: Column, digest: Column, joint: str) -> Column:
-    return F.concat(
-        F.lit("kubernetes.var.log.containers."), pod, F.lit("_"), ns, F.lit(joint), container,
-        F.lit("-"), digest, F.lit(".log"),
-    )
+def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of its file; `ts` is a TIMESTAMP, as watermarks need."""
+    reader = prepare(spark).readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
+    stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def raw_logs(spark: SparkSession, folder: str) -> DataFrame:
+    return raw_logs_of(table(spark, folder, "events"))
+
+
+def raw_logs_of(e: DataFrame) -> DataFrame:
     """`record_id, ts, tag, line`: one JSON record per event."""
-    e = table(spark, folder, "events")
     eid, kind = F.col("event_id"), F.col("event_type")
     digest = F.sha2(eid.cast("string"), 256)
     pod, ns = F.concat(F.lit("pod-"), F.col("user_id") % 10), namespace_of(F.col("user_id"))
-    tag = F.when(
-        eid % 97 != 0,
-        F.when(eid % 50 == 0, _tag(pod, ns, kind, digest, "-")).otherwise(
-            _tag(pod, ns, kind, digest, "_")
-        ),
-    )
+    joint = F.when(eid % 50 == 0, "-").otherwise("_")
+    whole = F.concat(F.lit("kubernetes.var.log.containers."), pod, F.lit("_"), ns, joint, kind,
+                     F.lit("-"), digest, F.lit(".log"))
+    tag = F.when(eid % 97 != 0, whole)
     k8s = F.struct(
         ns.alias("namespace_name"), pod.alias("pod_name"),
         F.when(eid % 3 == 0, "").otherwise(F.concat(F.lit("uid-"), eid)).alias("pod_id"),
@@ -125,7 +134,11 @@ def journal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_changes(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "events").filter(F.col("event_type").isin("signup", "purchase"))
+    return cluster_changes_of(table(spark, folder, "events"))
+
+
+def cluster_changes_of(events: DataFrame) -> DataFrame:
+    e = events.filter(F.col("event_type").isin("signup", "purchase"))
     eid = F.col("event_id")
     case = eid % 12
 
@@ -231,8 +244,6 @@ def metric_samples(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("n")
     )
     epoch = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 360_000)
-    from pyspark.sql import Window
-
     so_far = Window.partitionBy("series", epoch).orderBy("ts").rowsBetween(
         Window.unboundedPreceding, 0
     )
