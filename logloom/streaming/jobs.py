@@ -82,7 +82,7 @@ def route_records(
     def deliver(records: DataFrame, batch_id: int) -> None:
         decided = routing.ledger(records, routes(), options)
         folder = f"{path}/ledger/batch_id={batch_id}"
-        flat = decided.drop("fields").withColumn("record", F.to_json("fields"))
+        flat = decided.withColumn("record", F.to_json("fields")).drop("fields")
         flat.write.mode("overwrite").parquet(folder)
         written = records.sparkSession.read.parquet(folder)
         counters.ledger_counters(written).write.mode("overwrite").parquet(

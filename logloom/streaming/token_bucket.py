@@ -16,30 +16,33 @@ from logloom.operators.throttle import TOKEN
 OUTPUT = "endpoint string, record_id string, at bigint, admitted boolean"
 
 
-class TokenBucket(StatefulProcessor):
-    def __init__(self, rate: int, burst: int):
-        self.rate, self.full = rate, burst * TOKEN
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.bucket = handle.getValueState("bucket", "at bigint, level bigint")
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows).sort_values(["at", "record_id"])
-        last, level = self.bucket.get() if self.bucket.exists() else (0, self.full)
-        admitted = []
-        for at in batch["at"].tolist():
-            # a record older than the bucket refills nothing
-            level = min(self.full, level + self.rate * max(0, at - last))
-            last = max(last, at)
-            admitted.append(level >= TOKEN)
-            level -= TOKEN if admitted[-1] else 0
-        self.bucket.update((last, level))
-        yield batch[["endpoint", "record_id", "at"]].assign(admitted=admitted)
-
-    def close(self) -> None:
-        pass
+def token_bucket(rate: int, burst: int) -> StatefulProcessor:
+    """The state handler; defined inside, so that it travels to the workers by value."""
+    full = burst * TOKEN
+
+    class TokenBucket(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.bucket = handle.getValueState("bucket", "at bigint, level bigint")
+
+        def handleInputRows(
+            self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+        ) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(rows).sort_values(["at", "record_id"])
+            last, level = self.bucket.get() if self.bucket.exists() else (0, full)
+            admitted = []
+            for at in batch["at"].tolist():
+                # a record older than the bucket refills nothing
+                level = min(full, level + rate * max(0, at - last))
+                last = max(last, at)
+                admitted.append(level >= TOKEN)
+                level -= TOKEN if admitted[-1] else 0
+            self.bucket.update((last, level))
+            yield batch[["endpoint", "record_id", "at"]].assign(admitted=admitted)
+
+        def close(self) -> None:
+            pass
+
+    return TokenBucket()
 
 
 def throttle_stream(sent: DataFrame, rate: int, burst: int | None = None) -> DataFrame:
@@ -49,6 +52,6 @@ def throttle_stream(sent: DataFrame, rate: int, burst: int | None = None) -> Dat
     """
     rows = sent.select("endpoint", "record_id", micros(F.col("ts")).alias("at"))
     return rows.groupBy("endpoint").transformWithStateInPandas(
-        statefulProcessor=TokenBucket(rate, 2 * rate if burst is None else burst),
+        statefulProcessor=token_bucket(rate, 2 * rate if burst is None else burst),
         outputStructType=OUTPUT, outputMode="Append", timeMode="None",
     )
