@@ -133,10 +133,9 @@ def route_history(changes: DataFrame, options: RouteOptions, width: int = DAY) -
     )
 
 
-def by_slice(history: DataFrame, until: Column, width: int = DAY) -> DataFrame:
-    """Repeat each interval for every time slice it touches, so that an as-of join can use
-    (host, slice) as its key and meets only the few intervals of one slice."""
-    end = F.coalesce(micros(F.col("valid_to")) - 1, F.greatest(micros(until),
-                                                               micros(F.col("valid_from"))))
-    slices = F.sequence(slice_of(F.col("valid_from"), width), slice_of_micros(end, width))
-    return history.withColumn("_slice", F.explode(slices))
+def by_slice(closed: DataFrame, width: int = DAY) -> DataFrame:
+    """Repeat each closed interval for every time slice it touches, so that an as-of join can
+    use (host, slice) as its key and meets only the few intervals of one slice."""
+    last = slice_of_micros(micros(F.col("valid_to")) - 1, width)
+    slices = F.sequence(slice_of(F.col("valid_from"), width), last)
+    return closed.withColumn("_slice", F.explode(slices))

@@ -30,14 +30,16 @@ def lookup_join(
     spread: str | None = None,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
+    settled: bool = False,
 ) -> DataFrame:
     """Join `facts` (any size, skewed keys) with `table` on `keys`, which are named alike.
 
-    The table is computed once and measured. Within bounds it is broadcast, so the facts do
+    The table is computed once (unless it is `settled`: stored, or cheap to read again) and
+    measured. Within bounds it is broadcast, so the facts do
     not move. Beyond them both sides shuffle: the facts' keys are salted by `spread` and every
     table row is repeated once per salt, so one hot key is shared by `SALTS` tasks.
     """
-    table = settle(table)
+    table = table if settled else settle(table)
     names = {k: f"_right_{k}" for k in keys}
     right = table.withColumnsRenamed(names)
     if fits_broadcast(table, max_rows, max_bytes):

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from logloom.functions.patterns import matches
 from logloom.functions.values import text
 from logloom.operators.clusters import by_slice
-from logloom.operators.lookup import lookup_join
+from logloom.operators.lookup import fits_broadcast, lookup_join
 from logloom.operators.metadata import NO_METADATA, TAG_PARTS, recover_metadata
-from logloom.operators.slices import DAY, slice_of
+from logloom.operators.slices import DAY, running, slice_of
 from logloom.options import SEED_HOST, RouteOptions
+from logloom.session import settle
 
 # Client types by accepted spelling, and delivery targets.
 CLIENT_TYPES = {
@@ -107,35 +108,84 @@ def _decide(df: DataFrame, options: RouteOptions) -> DataFrame:
     ).drop("lost_metadata", "dynamic", "state", "to_shoot", "to_seed", "endpoint")
 
 
-def ledger(records: DataFrame, routes: DataFrame | None, options: RouteOptions) -> DataFrame:
+ROUTE = ("to_shoot", "to_seed", "endpoint")
+
+
+def ledger(
+    records: DataFrame, routes: DataFrame | None, options: RouteOptions, settled: bool = False
+) -> DataFrame:
     """One row per record with `host`, `errors`, `disposition` and `destinations`.
 
     `routes` holds the live routes (one row per host); records keep their partitioning.
     """
     df = with_host(records, options)
-    route_columns = ["host", "to_shoot", "to_seed", "endpoint"]
     if routes is None:
         df = df.withColumns({
             "to_shoot": F.lit(None).cast("boolean"), "to_seed": F.lit(None).cast("boolean"),
             "endpoint": F.lit(None).cast("string"),
         })
     else:
-        df = lookup_join(df, routes.select(*route_columns), ["host"], spread="record_id")
+        table = routes.select("host", *ROUTE)
+        df = lookup_join(df, table, ["host"], spread="record_id", settled=settled)
     return _decide(df, options)
 
 
 def ledger_as_of(
-    records: DataFrame, history: DataFrame, options: RouteOptions, width: int = DAY
+    records: DataFrame, history: DataFrame, options: RouteOptions, width: int = DAY,
+    max_per_slice: int = 256,
 ) -> DataFrame:
-    """Like `ledger`, with the route that was live at the time of each record."""
-    latest = records.agg(F.max("ts")).scalar()
-    intervals = by_slice(history, latest, width).drop("state")
-    df = with_host(records, options).withColumn("_slice", slice_of(F.col("ts"), width))
-    inside = (F.col("ts") >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (F.col("ts") < F.col("valid_to"))
+    """Like `ledger`, with the route that was live at the time of each record.
+
+    A history that is small and has few changes per host and slice is broadcast. Otherwise
+    records and changes are ordered together, in slices.
+    """
+    history = settle(history.select("host", "valid_from", "valid_to", *ROUTE))
+    intervals = by_slice(history.filter("valid_to is not null"), width)
+    densest = intervals.groupBy("host", "_slice").count().agg(F.max("count")).first()[0] or 0
+    df = with_host(records, options)
+    if densest <= max_per_slice and fits_broadcast(intervals):
+        found = _by_lookup(df, history, intervals, width)
+    else:
+        found = _by_order(df, history, width)
+    return _decide(found, options)
+
+
+def _by_lookup(
+    df: DataFrame, history: DataFrame, intervals: DataFrame, width: int
+) -> DataFrame:
+    """The open interval of a host by host, closed ones by host and slice."""
+    still_open = history.filter("valid_to is null").select(
+        "host", F.struct(F.col("valid_from").alias("since"), *ROUTE).alias("now")
+    )
+    df = lookup_join(df, still_open, ["host"], spread="record_id", settled=True)
+    df = df.withColumn("_slice", slice_of(F.col("ts"), width))
+    inside = (F.col("ts") >= F.col("valid_from")) & (F.col("ts") < F.col("valid_to"))
+    df = lookup_join(
+        df, intervals, ["host", "_slice"], condition=inside, spread="record_id", settled=True
+    )
+    is_open = F.coalesce(F.col("ts") >= F.col("now.since"), F.lit(False))
+    picked = {c: F.when(is_open, F.col("now")[c]).otherwise(F.col(c)) for c in ROUTE}
+    return df.withColumns(picked).drop("_slice", "valid_from", "valid_to", "now")
+
+
+def _by_order(df: DataFrame, history: DataFrame, width: int) -> DataFrame:
+    """Route of the last change before each record, by a running maximum over both."""
+    nothing = F.struct(*(F.lit(None).cast(history.schema[c].dataType).alias(c) for c in ROUTE))
+
+    def change(ts: str, kind: int, route: Column) -> DataFrame:
+        rows = history.filter(F.col(ts).isNotNull())
+        return rows.select("host", F.col(ts).alias("ts"), F.lit(kind).alias("kind"),
+                           route.alias("route"))
+
+    changes = change("valid_to", 0, nothing).unionByName(
+        change("valid_from", 1, F.struct(*ROUTE))
+    )
+    mixed = df.select("host", "ts", F.lit(2).alias("kind"), F.struct("*").alias("row")).unionByName(
+        changes, allowMissingColumns=True
     )
-    df = lookup_join(df, intervals, ["host", "_slice"], condition=inside, spread="record_id")
-    return _decide(df.drop("_slice", "valid_from", "valid_to"), options)
+    change_at = F.when(F.col("kind") < 2, F.struct("ts", "kind", "route"))
+    last = running(mixed, ["host"], ["ts", "kind"], {"last": ("max", change_at)}, width)
+    return last.filter("kind = 2").select("row.*", "last.route.*")
 
 
 def fan_out(ledger_rows: DataFrame) -> DataFrame:

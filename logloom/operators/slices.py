@@ -3,6 +3,7 @@
 A plain window puts a whole key into one task. Here a key is cut into slices of time; each
 slice is one window group, and what a slice needs from earlier ones comes from a summary with
 one row per key and slice. The summary grows with the time span, not with the rows.
+Keys are never NULL.
 """
 
 from __future__ import annotations
@@ -27,14 +28,12 @@ def slice_of_micros(at: Column, width: int) -> Column:
 def _with_carry(
     sliced: DataFrame, keys: list[str], summary: DataFrame, spec: dict[str, Column]
 ) -> DataFrame:
-    """Attach to every row what the other slices of its key contribute."""
-    names = {k: f"_s_{k}" for k in [*keys, "_slice"]}
-    carry = summary.select(
-        *(F.col(k).alias(n) for k, n in names.items()), *(c.alias(n) for n, c in spec.items())
-    )
-    on = [F.col(k).eqNullSafe(F.col(n)) if k != "_slice" else F.col(k) == F.col(n)
-          for k, n in names.items()]
-    return sliced.join(carry, on, "left").drop(*names.values())
+    """Attach to every row what the other slices of its key contribute.
+
+    The rows are partitioned by (keys, slice) for this join, and stay so for the window after.
+    """
+    carry = summary.select(*keys, "_slice", *(c.alias(n) for n, c in spec.items()))
+    return sliced.join(carry, [*keys, "_slice"], "left")
 
 
 def neighbour(
@@ -116,7 +115,7 @@ def trailing(
     A row close enough to the end of its slice to be seen from the next one is copied there.
     """
     span = seconds * 1_000_000
-    width = max(width, span)
+    width = max(width, 4 * span)  # at most a quarter of the rows is copied
     at, own = micros(F.col(ts)), slice_of(F.col(ts), width)
     reaches_next = (own + 1) * width - at <= span
     copies = F.when(reaches_next, F.array(own, own + 1)).otherwise(F.array(own))

@@ -15,18 +15,14 @@ from logloom.options import RouteOptions
 def stored_logs(records: DataFrame, options: RouteOptions) -> DataFrame:
     """`record_id, ts, namespace, container, body, severity_text, origin` of kept records.
 
-    The columns are computed once; the time filter of a query still reaches the file scan.
+    A time filter on the result reaches the file scan; unused columns are not computed.
     """
     kept = with_host(records, options).filter(~F.col("lost_metadata"))
-    k8s = k8s_metadata(F.col("fields"), F.col("tag_metadata"))
-    made = once(
-        kept,
-        k8s=k8s,
-        severity_text=severity_of(F.col("fields"))["text"],
-        body=body_of(F.col("fields")),
-    )
-    return made.select(
+    fields = F.col("fields")
+    found = once(kept, k8s=k8s_metadata(fields, F.col("tag_metadata")))
+    return found.select(
         "record_id", "ts", F.col("k8s.namespace_name").alias("namespace"),
-        F.col("k8s.container_name").alias("container"), "body", "severity_text",
+        F.col("k8s.container_name").alias("container"), body_of(fields).alias("body"),
+        severity_of(fields)["text"].alias("severity_text"),
         F.when(F.col("dynamic"), "shoot").otherwise("seed").alias("origin"),
     )

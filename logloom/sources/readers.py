@@ -33,16 +33,10 @@ SAMPLE_SCHEMA = "ts timestamp, name string, labels map<string,string>, value dou
 
 
 def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small input over all cores; one that already has a task per core stays put."""
+    """Spread an input that is read by fewer tasks than there are cores, such as one small
+    file; any other stays where it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores, key) if files < cores and _is_small(df) else df
-
-
-def _is_small(df: DataFrame, limit: int = 256 << 20) -> bool:
-    """Size on disk as the planner knows it, without a job."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= limit
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def tag_of(path: Column) -> Column:

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from logloom.functions.once import once
 from logloom.operators import clusters, counters, otel, routing
 from logloom.options import RouteOptions
+from logloom.sources.readers import spread_if_narrow
 from logloom.sources.sinks import sink_for
 
 Deliver = Callable[[DataFrame, int], None]
@@ -80,7 +82,8 @@ def route_records(
     """
 
     def deliver(records: DataFrame, batch_id: int) -> None:
-        decided = routing.ledger(records, routes(), options)
+        spread = spread_if_narrow(records, "record_id")
+        decided = routing.ledger(spread, routes(), options, settled=True)
         folder = f"{path}/ledger/batch_id={batch_id}"
         flat = decided.withColumn("record", F.to_json("fields")).drop("fields")
         flat.write.mode("overwrite").parquet(folder)
@@ -89,11 +92,13 @@ def route_records(
             f"{path}/counters/batch_id={batch_id}"
         )
         fields = F.try_variant_get(F.try_parse_json("record"), "$", "map<string,variant>")
-        sent = routing.fan_out(written).withColumn("fields", fields).drop("record")
         for client in dict.fromkeys((options.seed_type, options.shoot_type)):
             kind = routing.CLIENT_TYPES.get(client.upper(), "noop")
-            mine = sent.filter(F.col("client") == kind)
-            batch = mine if kind == "stdout" else otel.to_otel(mine, options)
+            mine = written.filter(F.exists("destinations", lambda d: d["client"] == kind))
+            mine = once(mine, fields=fields).drop("record")
+            # a record for two destinations is built one time
+            built = mine if kind == "stdout" else otel.to_otel(mine, options)
+            batch = routing.fan_out(built).filter(F.col("client") == kind)
             sink_for(client, f"{path}/{kind}").write(batch, batch_id)
 
     return deliver
