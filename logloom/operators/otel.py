@@ -51,19 +51,23 @@ def body_of(fields: Column) -> Column:
     return F.coalesce(*sources, html_safe(F.to_json(fields)))
 
 
-def attribute(**values: Column) -> Column:
+def empty_values() -> dict[str, Column]:
+    """The NULL of every attribute field; share it between attributes of one expression."""
+    return {n: F.lit(None).cast(t).alias(n) for n, t in ATTRIBUTE.items()}
+
+
+def attribute(empty: dict[str, Column], **values: Column) -> Column:
     """One typed key/value pair; fields not given are NULL."""
-    return F.struct(
-        *(values[n].alias(n) if n in values else F.lit(None).cast(t).alias(n)
-          for n, t in ATTRIBUTE.items())
-    )
+    return F.struct(*(values[n].alias(n) if n in values else c for n, c in empty.items()))
 
 
 def _typed(key: Column, value: Column, value_kind: Column) -> Column:
     """Scalars keep their type; containers become a short note of their size."""
 
+    empty = empty_values()
+
     def pair(value_type: str, **typed: Column) -> Column:
-        return attribute(key=key, value_type=F.lit(value_type), **typed)
+        return attribute(empty, key=key, value_type=F.lit(value_type), **typed)
 
     def note(kind_name: str, schema: str, unit: str) -> Column:
         size = F.size(F.try_variant_get(value, "$", schema))
@@ -114,8 +118,9 @@ def k8s_attributes(k8s: Column) -> Column:
     """The non-empty metadata strings as attributes, in fixed order."""
 
     def listed(found: Column) -> Column:
+        empty, string = empty_values(), F.lit("string")
         every = (
-            F.when(found[n] != "", attribute(key=F.lit(name), value_type=F.lit("string"),
+            F.when(found[n] != "", attribute(empty, key=F.lit(name), value_type=string,
                                              str_value=found[n]))
             for n, name in K8S_ATTRIBUTES.items()
         )
@@ -129,12 +134,11 @@ def to_otel(df: DataFrame, options: RouteOptions) -> DataFrame:
     fields = F.col("fields")
     df = once(df, _severity=severity_of(fields))
     severity = F.col("_severity")
-    origin = F.array(
-        attribute(key=F.lit("origin"), value_type=F.lit("string"), str_value=F.lit(options.origin))
-    )
     attributes = [k8s_attributes(k8s_metadata(fields, F.col("tag_metadata")))]
     if options.origin:
-        attributes.append(origin)
+        origin = {"key": "origin", "value_type": "string", "str_value": options.origin}
+        values = {n: F.lit(v) for n, v in origin.items()}
+        attributes.append(F.array(attribute(empty_values(), **values)))
     attributes.append(record_attributes(fields, severity["text"]))
     resource = {"host.name": options.host_name} if options.host_name else {}
     made = {

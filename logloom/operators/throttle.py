@@ -114,10 +114,8 @@ def _overloaded(heads: DataFrame, rate: int, full: int, width: int) -> DataFrame
     rows = running(rows, key, ["ts", "record_id"],
                    {"nth": ("sum", F.lit(1).cast("bigint"))}, width)
     refilled = F.col("zero_level") + (F.col("at") - F.col("zero_at")) * rate
-    allowed = F.expr(f"zero_level + (at - zero_at) * {rate}")
-    rows = rows.withColumn(
-        "excess", F.col("nth") - ((allowed - F.pmod(allowed, F.lit(TOKEN))) / TOKEN).cast("bigint")
-    )
+    whole_tokens = ((refilled - F.pmod(refilled, F.lit(TOKEN))) / TOKEN).cast("bigint")
+    rows = rows.withColumn("excess", F.col("nth") - whole_tokens)
     rows = running(rows, key, ["ts", "record_id"], {"_denied": ("max", F.col("excess"))}, width)
     rows = rows.withColumn("denied", F.greatest(F.lit(0), "_denied"))
     rows = neighbour(rows, key, ["ts", "record_id"], {"denied": "denied_before"}, width=width)
@@ -155,7 +153,7 @@ def throttle(
         chains, [F.col("endpoint") == F.col("_endpoint"), F.col("_slice") == F.col("_part")]
     ).drop("_endpoint", "_part", "heads", "_slice")
     short = heads.filter(F.col("slices") <= SHORT_CHAIN)
-    long = _overloaded(heads.filter(F.col("slices") > SHORT_CHAIN), rate, full, width)
+    long = settle(_overloaded(heads.filter(F.col("slices") > SHORT_CHAIN), rate, full, width))
     again = short.unionByName(long.filter("overflows").select(*short.columns))
     again = again.repartition("endpoint", "chain").sortWithinPartitions(
         "endpoint", "chain", "at", "record_id"
