@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators import routing
+from logloom.operators import kube_events, routing
 from logloom.operators.parse import json_records
 from logloom.options import RouteOptions
 from logloom.plans import views
 from logloom.plans.metric_queries import THROTTLED, arrivals_of
-from logloom.plans.oracle import CHANGES, LEDGER, LOGS, sql
+from logloom.plans.oracle import CHANGES, KUBE_EVENTS, LEDGER, LOGS, sql
 from logloom.plans.registry import query
 from logloom.session import checkpoint_dir
 from logloom.streaming import jobs
@@ -58,6 +58,18 @@ def streamed_interval_counts(spark: SparkSession, folder: str) -> DataFrame:
     return latest.withColumn("tick", F.col("tick").cast("timestamp_ntz"))
 
 
+@query(sql("SELECT * FROM shown", KUBE_EVENTS))
+def streamed_kubernetes_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of both origins as one stream; those seen too late are dropped."""
+    work = _workspace(spark)
+    feed = views.kube_events_of(views.stream_of(spark, folder, "orders"))
+    fresh = kube_events.fresh(kube_events.watched(kube_events.union_origins(feed, feed)))
+    _drain(kube_events.project(fresh), jobs.write_batches(f"{work}/out"), f"{work}/c")
+    shown = spark.read.parquet(f"{work}/out").drop("batch_id")
+    times = ("eventTime", "firstTimestamp", "lastTimestamp")
+    return shown.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
 @query(sql("SELECT count(*) AS records, count(DISTINCT event_id) AS ids FROM events"))
 def streamed_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every third record is sent twice and stored once."""

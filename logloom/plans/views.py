@@ -28,10 +28,13 @@ def namespace_of(user_id: Column) -> Column:
 
 
 def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a stream of its file; `ts` is a TIMESTAMP, as watermarks need."""
-    reader = prepare(spark).readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
+    """The same table as a stream of bounded micro-batches; its NTZ times become TIMESTAMP, as
+    watermarks need."""
+    schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", "1g")
     stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    times = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
+    return stream.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
 
 def raw_logs(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,7 +213,10 @@ def collector_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kube_events(spark: SparkSession, folder: str) -> DataFrame:
-    o = table(spark, folder, "orders")
+    return kube_events_of(table(spark, folder, "orders"))
+
+
+def kube_events_of(o: DataFrame) -> DataFrame:
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     delay = F.make_dt_interval(secs=key % 10)
     return o.select(
