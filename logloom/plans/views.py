@@ -31,7 +31,7 @@ def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a stream of bounded micro-batches; its NTZ times become TIMESTAMP, as
     watermarks need."""
     schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", "1g")
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", 1 << 30)
     stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     times = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in times})
