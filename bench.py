@@ -71,9 +71,10 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    work = {"route_build_and_count": lambda: route_build_and_count(spark, folder)}
-    for name in HEADLINE:
-        work[name] = lambda name=name: consume(QUERIES[name](spark, folder))
+    work = {
+        name: lambda name=name: consume(QUERIES[name](spark, folder)) for name in HEADLINE
+    }
+    work["route_build_and_count"] = lambda: route_build_and_count(spark, folder)
     seconds = {}
     for name, run in work.items():
         run()
