@@ -65,3 +65,21 @@ def open_store(uri: str):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per application, wherever they run."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_logloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    name = os.path.join(tempfile.mkdtemp(prefix="logloom-"), "logloom-package.zip")
+    with zipfile.ZipFile(name, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(name)
+    context._logloom_shipped = True
