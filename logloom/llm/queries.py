@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat, decontaminate, mixing, outliers
+from logloom.llm import chat, decontaminate, mixing, outliers, tokens
 from logloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,11 @@ def op10_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(HOSTILE).alias("text"))
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.formatted(rows.unionByName(hostile)))
+
+
+@query()
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document: the count of its longest prefix."""
+    found = tokens.prefix_counts(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_tokens",
+                        (F.col("n_tokens") > tokens.LIMIT).alias("over_limit"))
