@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat, decontaminate, mixing, outliers, tokens
+from logloom.llm import chat, decontaminate, mixing, outliers, repair, tokens
 from logloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     found = tokens.prefix_counts(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_tokens",
                         (F.col("n_tokens") > tokens.LIMIT).alias("over_limit"))
+
+
+@query()
+def op9_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids as read back from compressed shards."""
+    return repair.round_trip(table(spark, folder, "documents"))
