@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat, decontaminate, mixing, outliers, repair, tokens
+from logloom.llm import chat, decontaminate, mixing, outliers, repair, simhash, tokens
 from logloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids as read back from compressed shards."""
     return repair.round_trip(table(spark, folder, "documents"))
+
+
+@query()
+def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.grouped(table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
