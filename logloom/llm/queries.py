@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat, decontaminate, mixing, outliers, repair, simhash, tokens
+from logloom.llm import (
+    chat,
+    decontaminate,
+    langid,
+    mixing,
+    outliers,
+    repair,
+    simhash,
+    tokens,
+)
 from logloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +112,10 @@ def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.grouped(table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identified(table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")

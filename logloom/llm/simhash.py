@@ -254,10 +254,10 @@ def grouped(
 
 
 #: For keeping one of several near copies: five-word shingles and 128 bits, of which at most
-#: `NEAR_RADIUS` differ if the texts' shingle sets are expected to share 0.8 of their union.
+#: `NEAR_RADIUS` differ: about what shingle sets that share 0.8 of their union lead to (19 or 20).
 NEAR_WORDS = 5
 NEAR_SEEDS = (42, 43)
-NEAR_RADIUS = 19
+NEAR_RADIUS = 21
 NEAR_BITS = 16
 NEAR_TABLES = 24
 
