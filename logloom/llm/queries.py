@@ -16,6 +16,7 @@ from logloom.llm import (
     repair,
     simhash,
     tokens,
+    warc,
 )
 from logloom.llm.common import table
 
@@ -119,3 +120,25 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identified(table(spark, folder, "documents")).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS chosen FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM chosen
+    THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM chosen THEN chosen END AS refers_to
+FROM g
+"""
+
+
+@query(WARC_SQL)
+def op6_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as read back from WARC archives through their index."""
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
