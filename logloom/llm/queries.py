@@ -15,6 +15,7 @@ from logloom.llm import (
     outliers,
     repair,
     simhash,
+    surrogates,
     tokens,
     warc,
 )
@@ -142,3 +143,11 @@ def op6_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as read back from WARC archives through their index."""
     return warc.round_trip(table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, key="op3").select(
+        "doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
