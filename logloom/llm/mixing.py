@@ -162,8 +162,9 @@ def slots(spark, sources: list) -> DataFrame:
                         "block": block})
 
     tasks = max(1, min(shards, 4 * spark.sparkContext.defaultParallelism))
-    return spark.range(0, shards, 1, tasks).mapInPandas(
+    made = spark.range(0, shards, 1, tasks).mapInPandas(
         fill, "shard long, position int, source_no int, epoch int, block long")
+    return made.hint("merge")  # a few shards make many slots, which the planner cannot see
 
 
 def placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
@@ -214,7 +215,7 @@ def mix(docs: DataFrame) -> DataFrame:
     sources = stored(targets(sized), "targets")
     rows = stored(placed(sized, sources), "placed")
     times = slots(docs.sparkSession, sources.collect()).groupBy("source_no", "block").agg(
-        F.count(F.lit(1)).alias("times"))
+        F.count(F.lit(1)).alias("times")).hint("merge")
     taken = pieces(rows.select("source_no", "start", "size")).join(
         times, ["source_no", "block"]).groupBy("source_no", "start").agg(
         F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
