@@ -38,18 +38,24 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACE_RUN))).cast("long")
 
 
-def row_key(id_name: str = "doc_id") -> list[Column]:
-    """What tells rows of `documents` apart, repeated and missing ids included: id and text."""
-    return [F.col(id_name).alias("_id"), F.xxhash64("text").alias("_text")]
+def packed(docs: DataFrame) -> DataFrame:
+    """`docs` as one column `_row` with the row key `_own_id`, `_own_text` beside it.
 
+    Whatever other columns are called, they cannot clash with an operator's own.
+    """
+    return docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_own_id"),
+                       F.xxhash64("text").alias("_own_text"))
 
-def minus(docs: DataFrame, rejected: DataFrame, id_name: str = "doc_id") -> DataFrame:
-    """Rows of `docs` whose `row_key` is not among the `_id`, `_text` of `rejected`."""
-    own = docs.withColumn("_key", F.xxhash64("text"))
+
+def same_row() -> Column:
+    """A `packed` row meets its key in a table with `_id` and `_text`."""
+    return F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_text") == F.col("_text"))
+
+
+def minus(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of `docs` whose id and text are not among the `_id`, `_text` of `rejected`."""
     gone = rejected.select("_id", "_text").distinct()
-    return own.join(
-        gone, own[id_name].eqNullSafe(gone._id) & (own._key == gone._text), "left_anti"
-    ).drop("_key")
+    return packed(docs).join(gone, same_row(), "left_anti").select("_row.*")
 
 
 def open_store(uri: str):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.once import once
-from logloom.llm.common import SPACE_RUN, ship, stored, word_count
+from logloom.llm.common import SPACE_RUN, packed, same_row, ship, stored, word_count
 from logloom.operators.lookup import lookup_join
 
 WEIGHTS = (1, 2, 3)
@@ -273,18 +273,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         ))).alias("ranges"))
     ranges = ranges.groupBy("doc_id", "_text").agg(
         F.sort_array(F.collect_list(F.struct("epoch", "ranges"))).alias("epochs"))
-    ranges = ranges.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), "epochs")
-    text = F.col("text")
-    own = docs.withColumn("_own", F.xxhash64("text"))
-    both = own.join(ranges, own.doc_id.eqNullSafe(F.col("_id")) & (
-        F.col("_own") == F.col("_key"))).dropDuplicates(["_id", "_key"])
-    units = F.regexp_extract_all(
-        text, F.lit("[ \\t\\n\\x0B\\f\\r]*[^ \\t\\n\\x0B\\f\\r]+[ \\t\\n\\x0B\\f\\r]*"), F.lit(0))
-    both = once(both, _units=units)
-    both = both.withColumn("_one", F.explode("epochs"))
+    ranges = ranges.select(F.col("doc_id").alias("_id"), "_text", "epochs")
+    both = packed(docs).join(ranges, same_row()).dropDuplicates(["_own_id", "_own_text"])
+    units = F.regexp_extract_all(F.col("_row.text"), F.lit(
+        "[ \\t\\n\\x0B\\f\\r]*[^ \\t\\n\\x0B\\f\\r]+[ \\t\\n\\x0B\\f\\r]*"), F.lit(0))
+    both = once(both, _units=units).withColumn("_one", F.explode("epochs"))
     parts = F.transform(F.col("_one.ranges"), lambda r: F.array_join(
         F.slice(F.col("_units"), r["low"] + 1, r["high"] - r["low"]), ""))
     both = once(both, _out=F.array_join(parts, ""))
     out = {"text": F.col("_out"), "n_chars": F.length("_out").cast("long")}
     return both.select(*(
-        out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns))
+        (out[c] if c in out else F.col("_row").getField(c)).alias(c) for c in docs.columns))

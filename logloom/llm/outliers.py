@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.once import let, once
-from logloom.llm.common import SPACE, minus, row_key, stored, words
+from logloom.llm.common import SPACE, minus, stored, words
 from logloom.operators.lookup import lookup_join
 
 SYMBOLS = "#*$%&|<>"
@@ -236,7 +236,7 @@ def judged(stats: DataFrame, tail: float = TAIL) -> DataFrame:
 
 def quality(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     """Verdict on every document: ids, statistics, `base_failed`, `distance`, `kept`."""
-    thin = stored(statistics(docs).select(
+    thin = stored(statistics(docs.select("doc_id", "lang", "source", "text")).select(
         "doc_id", "lang", "source", F.xxhash64("text").alias("_text"), *STATISTICS), "statistics")
     return judged(thin, tail)
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import minus, ship, stored
+from logloom.llm.common import minus, packed, same_row, ship, stored
 from logloom.llm.components import components
 
 SEEDS = (42,)
@@ -277,9 +277,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     twice = rows.groupBy("_id", "_text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if twice.isEmpty():
         return minus(docs, gone)
-    own = docs.withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
-    again = own.join(twice.select("_id", "_text"), same, "left_semi").dropDuplicates(
-        ["doc_id", "_key"]).drop("_key")
+    again = packed(docs).join(twice.select("_id", "_text"), same_row(), "left_semi")
+    again = again.dropDuplicates(["_own_id", "_own_text"]).select("_row.*")
     return minus(docs, gone.unionByName(twice.select("_id", "_text"))).unionByName(
         minus(again, gone))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.once import let, once
-from logloom.llm.common import stored
+from logloom.llm.common import packed, same_row, stored
 
 #: Titles that tell a gender, and titles that do not.
 MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Господин", "Κύριος")
@@ -250,37 +250,37 @@ def written(kind: Column, mention: Column, surrogates: Column) -> Column:
 
 
 def replaced(docs: DataFrame, key: str) -> DataFrame:
-    """`docs` with surrogates in `text`; `entities` lists (kind, surrogate) as they occur."""
+    """`docs` with surrogates in `text`; `entities` lists (kind, surrogate) as they occur.
+
+    A column named `entities` in `docs` must be renamed before.
+    """
     nothing = F.array().cast("array<struct<kind:string,surrogate:string>>")
-    hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
-    mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
-    found = once(docs.filter(hinted), _mentions=mentions)
-    found = found.withColumn("_own", F.xxhash64("text"))
+    every = packed(docs)
+    text = F.col("_row.text")
+    hinted = F.coalesce(text.rlike(HINT), F.lit(False))
+    found = once(every.filter(hinted), _mentions=F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     rows = found.filter(F.size("_mentions") > 0)
-    listed = rows.select("doc_id", "_own", F.posexplode("_mentions").alias("at", "mention"))
-    listed = once(listed.dropDuplicates(["doc_id", "_own", "at"]), kind=kind_of(F.col("mention")))
-    listed = listed.withColumn("part", parts_of(F.col("kind"), F.col("mention")))
-    listed = stored(listed.select("*", F.size("part").alias("n")).select(
-        "doc_id", "_own", "at", "mention", "kind", F.posexplode("part").alias("nr", "part")
-    ).select("doc_id", "_own", "at", "mention", "kind", "nr", "part.what", "part.canonical"),
-        "mentions")
+    listed = rows.select("_own_id", "_own_text", F.posexplode("_mentions").alias("at", "mention"))
+    listed = once(listed.dropDuplicates(["_own_id", "_own_text", "at"]),
+                  kind=kind_of(F.col("mention")))
+    own = ["_own_id", "_own_text", "at", "mention", "kind"]
+    listed = listed.select(*own, F.posexplode(parts_of(F.col("kind"), F.col("mention"))).alias(
+        "nr", "part"))
+    listed = stored(listed.select(*own, "nr", "part.what", "part.canonical"), "mentions")
     known = distinct_surrogates(listed.select("what", "canonical"), key)
-    done = listed.join(known, ["what", "canonical"]).groupBy(
-        "doc_id", "_own", "at", "mention", "kind").agg(F.transform(
-            F.sort_array(F.collect_list(F.struct("nr", "surrogate"))),
-            lambda x: x["surrogate"]).alias("parts"))
+    done = listed.join(known, ["what", "canonical"]).groupBy(*own).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("nr", "surrogate"))), lambda x: x["surrogate"]
+    ).alias("parts"))
     done = once(done, out=written(F.col("kind"), F.col("mention"), F.col("parts")))
-    done = done.groupBy(F.col("doc_id").alias("_id"), F.col("_own").alias("_key")).agg(F.sort_array(
-        F.collect_list(F.struct("at", "kind", F.col("out").alias("surrogate")))).alias("_all"))
-    pieces = F.split("text", ANY, -1)
-    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(
+    done = done.groupBy(F.col("_own_id").alias("_id"), F.col("_own_text").alias("_text")).agg(
+        F.sort_array(F.collect_list(F.struct("at", "kind", F.col("out").alias("surrogate")))
+                     ).alias("_all"))
+    joined = F.array_join(F.transform(F.split(text, ANY, -1), lambda p, i: F.concat(p, F.coalesce(
         F.get(F.col("_all"), i)["surrogate"], F.lit("")))), "")
-    with_all = rows.join(done, rows.doc_id.eqNullSafe(F.col("_id")) & (
-        F.col("_own") == F.col("_key")))
-    with_all = once(with_all, _text=joined)
-    changed = with_all.select(*(
-        F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
-    ), F.transform("_all", lambda x: F.struct(x["kind"], x["surrogate"])).alias("entities"))
-    plain = docs.filter(~hinted).select("*", nothing.alias("entities")).unionByName(
-        found.filter(F.size("_mentions") == 0).select(*docs.columns, nothing.alias("entities")))
-    return plain.unionByName(changed)
+    changed = once(rows.join(done, same_row()), _new=joined).select(
+        *((F.col("_new") if c == "text" else F.col("_row").getField(c)).alias(c)
+          for c in docs.columns),
+        F.transform("_all", lambda x: F.struct(x["kind"], x["surrogate"])).alias("entities"))
+    bare = every.filter(~hinted).select("_row").unionByName(
+        found.filter(F.size("_mentions") == 0).select("_row"))
+    return bare.select("_row.*", nothing.alias("entities")).unionByName(changed)
