@@ -14,9 +14,9 @@ two tiles meet in a task of their own. A bucket passes on a spanning forest of i
 Equal fingerprints are one row before anything is compared, so groups of copies cost nothing.
 
 Defined cases: NULL and empty texts have fingerprint zero, linked like any other. A text with
-fewer words than a shingle is one shingle. Rows without an id get the component of their
-fingerprint but never name one; a fingerprint without any id links nothing. Repeated rows and ids
-stay. Empty tables give empty results; other columns are ignored.
+fewer words than a shingle is one shingle. Rows without an id link like others but name no
+component; a class of such rows only has a NULL one. Rows that share an id are separate documents.
+Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -233,24 +233,27 @@ def grouped(
     docs: DataFrame, words: int = WORDS, seeds: tuple = SEEDS, radius: int = RADIUS,
     masks: list[tuple] | None = None,
 ) -> DataFrame:
-    """`doc_id, _text`, fingerprints and `component_id` of every document.
+    """`doc_id, _text`, fingerprints, `class` and `component_id` (its least id) of every document.
 
     Without `masks` there is one seed and the buckets are exact for the radius.
     """
     names = [f"f{i}" for i in range(len(seeds))]
     masks = masks or exact_masks(radius)
     rows = stored(fingerprints(docs, words, seeds), "prints")
-    reps = stored(rows.groupBy(*names).agg(F.min("doc_id").alias("rep")), "reps")
-    edges = links(reps.filter("rep is not null"), names, radius, masks)
-    found = components(edges)
+    # a fingerprint's own number: itself, or a hash of its words
+    node = F.col(names[0]) if len(names) == 1 else F.xxhash64(*names)
+    reps = stored(rows.groupBy(*names).agg(F.min("doc_id").alias("least")).withColumn(
+        "rep", node), "reps")
+    found = components(links(reps, names, radius, masks))
     reps = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-        *(F.col(n).alias(f"r{n}") for n in names),
-        F.coalesce("component", "rep").alias("component_id"))
-    on = None
+        *(F.col(n).alias(f"r{n}") for n in names), "least",
+        F.coalesce("component", "rep").alias("class"))
+    ids = reps.groupBy("class").agg(F.min("least").alias("component_id"))
+    reps = reps.join(ids, "class")
+    on = F.lit(True)
     for n in names:
-        same = F.col(n) == F.col(f"r{n}")
-        on = same if on is None else on & same
-    return rows.join(reps, on).select("doc_id", "_text", *names, "component_id")
+        on = on & (F.col(n) == F.col(f"r{n}"))
+    return rows.join(reps, on).select("doc_id", "_text", *names, "class", "component_id")
 
 
 #: For keeping one of several near copies: five-word shingles and 128 bits, of which at most
@@ -265,15 +268,14 @@ NEAR_TABLES = 24
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id, as it is.
 
-    Rows without an id go if they copy a document with one, else stay.
+    A row without an id stays only if no copy of it has one.
     """
     masks = sampled_masks(len(NEAR_SEEDS), NEAR_BITS, NEAR_TABLES)
     rows = stored(grouped(docs, NEAR_WORDS, NEAR_SEEDS, NEAR_RADIUS, masks), "groups")
-    rows = rows.select(F.col("doc_id").alias("_id"), "_text", "component_id")
-    first = rows.filter("_id is not null").groupBy("component_id").agg(
-        F.min(F.struct("_id", "_text")).alias("first"))
-    gone = rows.join(first, "component_id").filter(
-        ~F.struct("_id", "_text").eqNullSafe(F.col("first"))).select("_id", "_text")
+    rows = rows.select(F.col("doc_id").alias("_id"), "_text", "class")
+    own = F.struct(F.col("_id").isNull(), "_id", "_text")
+    first = rows.groupBy("class").agg(F.min(own).alias("first"))
+    gone = rows.join(first, "class").filter(~own.eqNullSafe(F.col("first"))).select("_id", "_text")
     twice = rows.groupBy("_id", "_text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if twice.isEmpty():
         return minus(docs, gone)
