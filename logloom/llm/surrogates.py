@@ -48,7 +48,8 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has no entity; it keeps the pattern off most texts.
-HINT = "[0-9]{3}|@|[0-9]\\.[0-9]|sk-|(?<!\\p{L})" + _TITLE + " \\p{Lu}"
+HINT = ("[0-9]{3}|@|[0-9]\\.[0-9]|[+][0-9]|[A-Z]{2}[0-9]{2}|[0-9a-f]{32}|AKIA|ASIA|sk-|gh[pousr]_"
+        "|(?<!\\p{L})" + _TITLE + " \\p{Lu}")
 
 #: Given names and syllables of invented surnames, by script and gender.
 GIVEN = {
