@@ -19,6 +19,7 @@ in linear time if it is in composed form, else by encoding its prefixes.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 BATCH_CHARS = 4_000_000
 #: Entries of a worker's tables; those met first, the frequent ones, stay when a table is full.
-KEEP, FULL = 150_000, 450_000
+KEEP, FULL = 300_000, 650_000
 SHARED_PREFIX = 32
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 PARTS = regex.compile(
@@ -48,10 +49,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def trim(table: dict) -> None:
-    """Drop all but the first entries of a table that is full."""
-    if len(table) > FULL:
-        late = list(table)[KEEP:]
+def trim(table: dict, keep: int = KEEP, full: int = FULL) -> None:
+    """Drop all but the first `keep` entries of a table with more than `full`."""
+    if len(table) > full:
+        late = list(table)[keep:]
         for key in late:
             del table[key]
 
@@ -80,10 +81,11 @@ class PrefixCounter:
         self.library = Tokenizer.from_file(path)
         self.specials = [t["content"] for t in stated["added_tokens"]]
         self.special_re = regex.compile("|".join(map(regex.escape, self.specials)))
-        self.inner_ends = self.suffixes(t for t in model["vocab"] if not t.endswith(self.END))
-        self.word_ends = self.suffixes(
-            t.removesuffix(self.END) for t in model["vocab"] if t.endswith(self.END))
+        self.ends = self.suffixes(model["vocab"])
         self.ranks = {tuple(pair): n for n, pair in enumerate(model["merges"])}
+        self.made_of: dict[str, tuple[int, str, str]] = {}
+        for (left, right), n in self.ranks.items():
+            self.made_of.setdefault(left + right, (n, left, right))
         self.letters = byte_letters()
         self.side_by_side: dict = {}
         self.steps_of: dict[bytes, bytes] = {}
@@ -94,62 +96,75 @@ class PrefixCounter:
         self.root: tuple = ("", 0, 0, {})
         self.nodes = 0
 
-    @staticmethod
-    def suffixes(tokens) -> dict[str, bool]:
-        """Every suffix of the tokens, and whether it is one of them."""
-        out: dict[str, bool] = {}
+    def suffixes(self, tokens) -> dict[str, int]:
+        """Every suffix of the tokens, without the end mark: 1 if it is a token within a word,
+        plus 2 if it is one at a word's end."""
+        out: dict[str, int] = {}
         for token in tokens:
-            for i in range(1, len(token)):
-                out.setdefault(token[i:], False)
-            out[token] = True
-        return out
-
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Byte-pair encoding of the symbols: lowest rank first, leftmost first."""
-        while len(symbols) > 1:
-            ranked = [(self.ranks.get(p, 1 << 30), i)
-                      for i, p in enumerate(zip(symbols, symbols[1:], strict=False))]
-            best, at = min(ranked)
-            if best == 1 << 30:
-                break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
-    def symbols(self, token: str) -> list[str]:
-        body = token.removesuffix(self.END)
-        out = list(body)
-        if len(body) < len(token):
-            out[-1] += self.END
+            body = token.removesuffix(self.END)
+            for i in range(1, len(body)):
+                out.setdefault(body[i:], 0)
+            out[body] = out.get(body, 0) | (1 if len(body) == len(token) else 2)
         return out
 
     def fits(self, left: str, right: str) -> bool:
+        """Does encoding left + right give these two tokens?
+
+        The merges of both tokens are undone from the last one. If at some moment the pieces that
+        meet would merge with each other before the merge undone there, the tokens cannot stand
+        side by side. Of equal merges the one further left comes first.
+        """
         key = (left, right)
         known = self.side_by_side.get(key)
         if known is None:
             trim(self.side_by_side)
-            both = (self.symbols(left) if left else []) + self.symbols(right)
-            known = self.merged(both) == ([left, right] if left else [right])
-            self.side_by_side[key] = known
+            known = self.side_by_side[key] = not left or self.undone(left, right)
         return known
 
-    def last_token(self, text: str, n: int, states: list, ends: dict, close: str) -> tuple:
-        """Last token and count of text[:n], from the states of the shorter prefixes.
+    def undone(self, left: str, right: str) -> bool:
+        ranks, made_of, limit = self.ranks.get, self.made_of.get, 1 << 40
+        first, second = made_of(left), made_of(right)
+        while True:
+            across = ranks((left, right))
+            if across is not None and across < limit:
+                return False
+            if first is None and second is None:
+                return True
+            if second is None or (first is not None and first[0] > second[0]):
+                limit, left = first[0], first[2]
+                first = made_of(left)
+            else:
+                limit, right = second[0] + 1, second[1]
+                second = made_of(right)
+
+    def next_node(self, text: str, n: int, states: list) -> tuple:
+        """The node of text[:n], from those of the shorter prefixes.
 
-        Suffixes are lengthened as long as some token ends so; the longest that fits counts.
+        Suffixes are lengthened as long as some token ends so; the longest that fits is the last
+        token, once within a word and once at its end.
         """
-        found = []
-        for size in range(1, n + 1):
-            token = text[n - size : n]
-            whole = ends.get(token)
-            if whole is None:
+        inner, word = [], []
+        ends = self.ends.get
+        for at in range(n - 1, -1, -1):
+            kind = ends(text[at:n])
+            if kind is None:
+                break
+            if kind & 1:
+                inner.append(at)
+            if kind & 2:
+                word.append(at)
+        closed = None
+        fits = self.fits
+        for at in reversed(word):
+            before = states[at]
+            if fits(before[0], text[at:n] + self.END):
+                closed = before[1] + 1
                 break
-            if whole:
-                found.append(size)
-        for size in reversed(found):
-            token = text[n - size : n] + close
-            before = states[n - size]
-            if self.fits(before[0], token):
-                return token, before[1] + 1
+        for at in reversed(inner):
+            before = states[at]
+            token = text[at:n]
+            if fits(before[0], token):
+                return token, before[1] + 1, closed, {}
         raise ValueError("no token ends this prefix")
 
     def word_counts(self, word: str) -> list[int]:
@@ -159,9 +174,7 @@ class PrefixCounter:
         for n, letter in enumerate(word, 1):
             after = node[3].get(letter) if n <= SHARED_PREFIX else None
             if after is None:
-                token, count = self.last_token(word, n, states, self.inner_ends, "")
-                closed = self.last_token(word, n, states, self.word_ends, self.END)[1]
-                after = (token, count, closed, {})
+                after = self.next_node(word, n, states)
                 if n <= SHARED_PREFIX:
                     node[3][letter] = after
                     self.nodes += 1
@@ -272,6 +285,7 @@ def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     kind = "doc_id long, n_bytes long, n_tokens long, prefix_steps binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the tables are large and hold no cycles; scanning them costs a third
         own = counter(name)
         for batch in batches:
             ids, size, tokens, steps, held = [], [], [], [], 0
