@@ -27,12 +27,10 @@ HEADLINE = (
     "route_history",
     "kubernetes_events",
     "unique_ids",
-    "export_batches",
     "queue_occupancy",
     "counter_rate",
     "condition_held",
     "latency_quantiles",
-    "throttled_records",
     "relabelled_targets",
 )
 

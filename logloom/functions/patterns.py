@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 def java_regex(pattern: str) -> str:
     """RE2 syntax to Java: named groups, end of text, `.` stopping at newline only."""
     pattern = pattern.replace("(?P<", "(?<")
-    pattern = re.sub(r"(?<!\\)\$(?=$|\))", r"\\z", pattern)
-    return "(?d)" + pattern
+    # an escaped sign and a character class stay; each other `$` is the very end
+    parts = re.compile(r"\\.|\[\^?\]?(?:\\.|\[:\w+:\]|[^\]\\])*\]|\$", re.S)
+    return "(?d)" + parts.sub(lambda m: r"\z" if m[0] == "$" else m[0], pattern)
 
 
 def matches(column: Column, pattern: str) -> Column:
@@ -40,7 +41,8 @@ def tag_matches(tag: Column, glob: str) -> Column:
 
 def has_word(column: Column, word: str) -> Column:
     """Whole word or phrase: no word character may touch it on either side."""
-    return column.rlike(rf"(?<!\w){re.escape(word)}(?!\w)")
+    sign = r"[\p{L}\p{M}\p{N}_]"
+    return column.rlike(rf"(?<!{sign}){re.escape(word)}(?!{sign})")
 
 
 def redact_credentials(endpoint: Column) -> Column:

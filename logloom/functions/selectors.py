@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NAME = r"[A-Za-z0-9]([-A-Za-z0-9_./]*[A-Za-z0-9])?"
-_SET = re.compile(rf"({_NAME})\s+(in|notin)\s+\(([^()]*)\)")
+_SET = re.compile(rf"({_NAME})\s+(in|notin)\s*\(([^()]*)\)")
+_SIZE = re.compile(rf"({_NAME})\s*([<>])\s*(-?[0-9]+)")
 _PAIR = re.compile(rf"({_NAME})\s*(==|=|!=)\s*({_NAME})?")
 _KEY = re.compile(rf"(!?)\s*({_NAME})")
 
@@ -21,6 +22,10 @@ def _one(labels: Column, key: str, operator: str, values: list[str]) -> Column:
         return present
     if operator == "absent":
         return ~present
+    if operator in "<>":
+        number, bound = value.try_cast("bigint"), int(values[0])
+        hit = number < bound if operator == "<" else number > bound
+        return present & F.coalesce(hit, F.lit(False))
     hit = present & value.isin(*values)
     return hit if operator == "in" else ~F.coalesce(hit, F.lit(False))
 
@@ -28,6 +33,8 @@ def _one(labels: Column, key: str, operator: str, values: list[str]) -> Column:
 def _requirement(term: str) -> tuple[str, str, list[str]]:
     if found := _SET.fullmatch(term):
         return found[1], found[3], [v.strip() for v in found[4].split(",")]
+    if found := _SIZE.fullmatch(term):
+        return found[1], found[3], [found[4]]
     if found := _PAIR.fullmatch(term):
         return found[1], "notin" if found[3] == "!=" else "in", [found[4] or ""]
     if found := _KEY.fullmatch(term):
@@ -50,7 +57,7 @@ def _from_json(selector: str) -> list[tuple[str, str, list[str]]]:
 
 
 def label_selector(labels: Column, selector: str) -> Column:
-    """`k=v`, `k!=v`, `k in (a,b)`, `k notin (a)`, `k`, `!k` joined by commas, or JSON."""
+    """`k=v`, `k!=v`, `k in (a,b)`, `k notin (a)`, `k`, `!k`, `k>1`, `k<1` by commas, or JSON."""
     if not selector.strip():
         return F.lit(True)
     if selector.startswith("{"):

@@ -72,4 +72,5 @@ def severity_of(fields: Column) -> Column:
 
 def unify_severity(severity: Column) -> Column:
     """Common short spellings to one form; anything else stays as it is."""
-    return _choose(F.upper(F.trim(severity)), UNIFIED, severity)
+    space = r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+$"
+    return _choose(F.upper(F.regexp_replace(severity, space, "")), UNIFIED, severity)

@@ -1,4 +1,4 @@
-"""Batches and queue depth, derived from what was delivered."""
+"""Queue depth, from a table of moves."""
 
 from __future__ import annotations
 
@@ -8,26 +8,6 @@ from pyspark.sql import functions as F
 from logloom.operators.slices import HOUR, running
 
 
-def batches(sent: DataFrame, max_batch: int, width: int = HOUR) -> DataFrame:
-    """Add `batch_id`: consecutive records of an endpoint in batches of `max_batch`.
-
-    `sent` has `endpoint, ts, record_id`; the numbering is a running count, so an endpoint
-    with most of the records is numbered by many tasks.
-    """
-    counted = running(
-        sent, ["endpoint"], ["ts", "record_id"], {"_nth": ("sum", F.lit(1).cast("bigint"))}, width
-    )
-    return counted.withColumn(
-        "batch_id", F.floor((F.col("_nth") - 1) / max_batch).cast("bigint")
-    ).drop("_nth")
-
-
-def batch_sizes(batched: DataFrame) -> DataFrame:
-    return batched.groupBy("endpoint", "batch_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
-    )
-
-
 def occupancy(changes: DataFrame, width: int = HOUR) -> DataFrame:
     """Add `depth`: running sum of `change` (+1 enqueued, -1 dequeued) in order (ts, seq)."""
     return running(
@@ -59,18 +39,3 @@ def overflow(depths: DataFrame, max_queue: int, seconds: int = 30) -> DataFrame:
         .agg(F.max("depth").alias("peak"), F.count(F.lit(1)).alias("samples"))
         .select("endpoint", F.col("tick.start").alias("tick"), "peak", "samples")
     )
-
-
-def requeue(failed: DataFrame, fresh: DataFrame, max_attempts: int) -> DataFrame:
-    """Records for the next batch: failed ones with `attempt + 1`, behind the new ones."""
-    again = failed.withColumn("attempt", F.col("attempt") + 1).filter(
-        F.col("attempt") <= max_attempts
-    )
-    return fresh.unionByName(again, allowMissingColumns=True)
-
-
-def given_up(failed: DataFrame, max_attempts: int) -> DataFrame:
-    """Failed records without attempts left, with their final disposition."""
-    return failed.filter(F.col("attempt") >= max_attempts).withColumn(
-        "disposition", F.lit("export_error")
-    )

@@ -84,18 +84,6 @@ def clients(routes: DataFrame, controller_seed: bool = True) -> DataFrame:
     return shoot.unionByName(seed)
 
 
-def exported(attempts: DataFrame) -> DataFrame:
-    """Records of successful batches, by endpoint."""
-    return attempts.filter("status = 'ok'").groupBy("endpoint").agg(F.sum("n").alias("value"))
-
-
-def throttled(marked: DataFrame) -> DataFrame:
-    """Denied records by endpoint."""
-    return marked.filter(~F.col("admitted")).groupBy("endpoint").agg(
-        F.count(F.lit(1)).alias("value")
-    )
-
-
 def accounting(ledger_rows: DataFrame) -> DataFrame:
     """Volume check in one row: incoming, noop-dropped, errors, and whether they reconcile."""
     noop = F.exists("destinations", lambda d: d["client"] == "noop").cast("bigint")

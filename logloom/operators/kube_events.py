@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.values import html_safe
+
 # Watched namespaces by origin.
 NAMESPACES = {"seed": ("kube-system",), "shoot": ("kube-system", "default")}
 MAX_AGE_SECONDS = 5
@@ -64,4 +66,4 @@ def lines(projected: DataFrame) -> DataFrame:
         F.date_format(c, formats.get(c, plain)).alias(c) if c in times else F.col(c)
         for c in projected.columns
     ]
-    return projected.select(F.to_json(F.struct(*shown)).alias("line"))
+    return projected.select(html_safe(F.to_json(F.struct(*shown))).alias("line"))

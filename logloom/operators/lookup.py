@@ -9,7 +9,7 @@ from logloom.session import settle
 
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 << 20
-SALTS = 16
+ROWS_PER_TASK = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -31,13 +31,15 @@ def lookup_join(
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
     settled: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join `facts` (any size, skewed keys) with `table` on `keys`, which are named alike.
 
     The table is computed once (unless it is `settled`: stored, or cheap to read again) and
     measured. Within bounds it is broadcast, so the facts do
-    not move. Beyond them both sides shuffle: the facts' keys are salted by `spread` and every
-    table row is repeated once per salt, so one hot key is shared by `SALTS` tasks.
+    not move. Beyond them both sides shuffle: keys with more than `rows_per_task` facts, found by
+    counting, get as many salts by `spread` as that makes tasks, and their table rows are repeated
+    once per salt.
     """
     table = table if settled else settle(table)
     names = {k: f"_right_{k}" for k in keys}
@@ -46,10 +48,19 @@ def lookup_join(
         right = F.broadcast(right)
         on = F.lit(True)
     else:
+        hot = settle(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(
+            F.col("_n") > rows_per_task))
+        salts = {"_salts": F.ceil(F.col("_n") / rows_per_task).cast("int")}
+        hot = F.broadcast(hot.withColumns(salts).drop("_n").withColumnsRenamed(
+            {k: f"_hot_{k}" for k in keys}))  # at most one row for `rows_per_task` facts
         salt_of = F.xxhash64(spread) if spread else F.xxhash64(*facts.columns)
-        facts = facts.withColumn("_salt", F.pmod(salt_of, F.lit(SALTS)).cast("int"))
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        right = right.withColumn("_right_salt", salts)
+        n = F.coalesce("_salts", F.lit(1))
+        names_hot = [f"_hot_{k}" for k in keys]
+        facts = facts.join(hot, [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left").withColumn(
+            "_salt", F.pmod(salt_of, n).cast("int")).drop("_salts", *names_hot)
+        right = right.join(hot, [F.col(names[k]) == F.col(f"_hot_{k}") for k in keys], "left")
+        right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop(
+            "_salts", *names_hot)
         on = F.col("_salt") == F.col("_right_salt")
     for key in keys:
         on = (F.col(key) == F.col(names[key])) & on

@@ -37,23 +37,31 @@ def metadata_from_tag(tag: Column, pattern: str) -> Column:
 
 
 def recover_metadata(df: DataFrame, options: RouteOptions) -> DataFrame:
-    """Add `tag_metadata`, `errors` and `lost_metadata`.
+    """Put metadata from the tag into `fields`; add `errors` and `lost_metadata`.
 
     The tag is read only where `kubernetes` is absent and the fallback is on; a record whose
-    tag fails is an error, and lost if the options say so.
+    tag fails is an error, and lost if the options say so. Keys stay in order.
     """
     fields = F.col("fields")
     absent = ~F.coalesce(F.map_contains_key(fields, F.lit("kubernetes")), F.lit(False))
     needed = absent & F.lit(options.fallback_to_tag)
     tag = string_of(fields[options.tag_key])
     found = F.when(needed, metadata_from_tag(tag, options.tag_regex()))
-    df = once(df, tag_metadata=found)
-    failed = needed & F.col("tag_metadata").isNull()
-    return df.withColumns(
+    df = once(df, _found=found)
+    failed = needed & F.col("_found").isNull()
+    with_found = F.map_concat(
+        F.map_filter(fields, lambda k, _: k < "kubernetes"),
+        F.create_map(F.lit("kubernetes"), F.to_variant_object("_found")),
+        F.map_filter(fields, lambda k, _: k > "kubernetes"),
+    )
+    df = df.withColumns({"_failed": failed, "_fields": F.when(
+        F.col("_found").isNull(), fields).otherwise(with_found)})
+    failed = F.col("_failed")
+    return once(df, fields=F.col("_fields")).withColumns(
         {
             "errors": F.when(failed, F.array(F.lit(TAG_ERROR))).otherwise(
                 F.array().cast("array<string>")
             ),
             "lost_metadata": failed & F.lit(options.drop_without_metadata),
         }
-    )
+    ).drop("_found", "_failed", "_fields")

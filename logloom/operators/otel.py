@@ -16,7 +16,6 @@ from logloom.functions.values import (
     string_of,
     text,
 )
-from logloom.operators.metadata import TAG_PARTS
 from logloom.options import RouteOptions
 
 # Metadata key -> semantic attribute, and keys that are never attributes.
@@ -100,18 +99,14 @@ def record_attributes(fields: Column, severity_text: Column) -> Column:
     )
 
 
-def k8s_metadata(fields: Column, tag_metadata: Column) -> Column:
-    """STRUCT of the six metadata strings, from the record or else from the tag."""
+def k8s_metadata(fields: Column) -> Column:
+    """STRUCT of the six metadata strings of a record."""
     in_record = F.try_variant_get(fields["kubernetes"], "$", "map<string,variant>")
 
     def strings(own: Column) -> Column:
         return F.struct(*(string_of(own[n]).alias(n) for n in K8S_ATTRIBUTES))
 
-    from_tag = F.struct(
-        *((tag_metadata[n] if n in TAG_PARTS else F.lit(None).cast("string")).alias(n)
-          for n in K8S_ATTRIBUTES)
-    )
-    return F.when(tag_metadata.isNull(), let(in_record, strings)).otherwise(from_tag)
+    return let(in_record, strings)
 
 
 def k8s_attributes(k8s: Column) -> Column:
@@ -134,7 +129,7 @@ def to_otel(df: DataFrame, options: RouteOptions) -> DataFrame:
     fields = F.col("fields")
     df = once(df, _severity=severity_of(fields))
     severity = F.col("_severity")
-    attributes = [k8s_attributes(k8s_metadata(fields, F.col("tag_metadata")))]
+    attributes = [k8s_attributes(k8s_metadata(fields))]
     if options.origin:
         origin = {"key": "origin", "value_type": "string", "str_value": options.origin}
         values = {n: F.lit(v) for n, v in origin.items()}
@@ -159,7 +154,7 @@ def to_otel(df: DataFrame, options: RouteOptions) -> DataFrame:
         "span_id": F.lit(None).cast("binary"),
         "trace_flags": F.lit(0).cast("tinyint"),
     }
-    return df.withColumns(made).drop("_severity", "fields", "tag_metadata")
+    return df.withColumns(made).drop("_severity", "fields")
 
 
 def attribute_text(attributes: Column, key: str) -> Column:

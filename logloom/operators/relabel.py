@@ -109,26 +109,3 @@ def relabel(df: DataFrame, rules: Sequence[Rule], labels: str = "labels") -> Dat
         else:
             raise ValueError(f"unknown relabel action: {rule.action!r}")
     return once(df, **{labels: state.closed()}).drop(*state.columns.values())
-
-
-# The shipped rules for scraped targets and their samples.
-META = "__meta_kubernetes_"
-ADDRESS = (META + "endpoint_address_target_kind", META + "endpoint_address_target_name")
-TARGET_RULES = (
-    Rule(source=("job",), target="__tmp_prometheus_job_name"),
-    Rule("keep", (META + "service_label_app_kubernetes_io_name",
-                  META + "service_labelpresent_app_kubernetes_io_name"), "(logging);true"),
-    Rule("keep", (META + "endpoint_port_name",), "metrics"),
-    Rule(source=ADDRESS, regex="Node;(.*)", target="node", replacement="${1}"),
-    Rule(source=ADDRESS, regex="Pod;(.*)", target="pod", replacement="${1}"),
-    Rule(source=(META + "namespace",), target="namespace"),
-    Rule(source=(META + "service_name",), target="service"),
-    Rule(source=(META + "pod_name",), target="pod"),
-    Rule(source=(META + "pod_container_name",), target="container"),
-    Rule("drop", (META + "pod_phase",), "(Failed|Succeeded)"),
-    Rule(source=(META + "service_name",), target="job", replacement="${1}"),
-    Rule(target="endpoint", replacement="metrics"),
-    Rule(target="__metrics_path__", replacement="/api/v2/metrics/prometheus"),
-    Rule("labelmap", regex=META + "pod_label_(.+)"),
-)
-SAMPLE_RULES = (Rule("keep", ("__name__",), "^fluentbit(.*)$"),)

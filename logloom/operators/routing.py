@@ -12,7 +12,7 @@ from logloom.functions.patterns import matches
 from logloom.functions.values import text
 from logloom.operators.clusters import by_slice
 from logloom.operators.lookup import fits_broadcast, lookup_join
-from logloom.operators.metadata import NO_METADATA, TAG_PARTS, recover_metadata
+from logloom.operators.metadata import NO_METADATA, recover_metadata
 from logloom.operators.slices import DAY, running, slice_of
 from logloom.options import SEED_HOST, RouteOptions
 from logloom.session import settle
@@ -42,18 +42,16 @@ def target_of(name: Column) -> Column:
     return F.when(F.upper(name).isin(*TARGETS), F.upper(name)).otherwise("UNKNOWN")
 
 
-def dynamic_host(fields: Column, tag_metadata: Column, options: RouteOptions) -> Column:
+def dynamic_host(fields: Column, options: RouteOptions) -> Column:
     """Value at the configured path, '' when any step is missing."""
     if not options.host_path:
         return F.lit("")
     head, *rest = options.host_path
-    own = text(F.try_variant_get(fields[head], "$." + ".".join(rest), "variant")) if rest else text(
+    steps = "$" + "".join("['" + s.replace("\\", "\\\\").replace("'", "\\'") + "']" for s in rest)
+    own = text(F.try_variant_get(fields[head], steps, "variant")) if rest else text(
         fields[head]
     )
-    found = [own]
-    if head == "kubernetes" and len(rest) == 1 and rest[0] in TAG_PARTS:
-        found.append(tag_metadata[rest[0]])
-    return F.coalesce(*found, F.lit(""))
+    return F.coalesce(own, F.lit(""))
 
 
 def is_dynamic(host: Column, options: RouteOptions) -> Column:
@@ -66,7 +64,7 @@ def with_host(df: DataFrame, options: RouteOptions) -> DataFrame:
     """Metadata recovery, then `host` (label) and `dynamic`."""
     df = recover_metadata(df, options)
     df = df.withColumn(
-        "_host", dynamic_host(F.col("fields"), F.col("tag_metadata"), options)
+        "_host", dynamic_host(F.col("fields"), options)
     ).withColumn("dynamic", is_dynamic(F.col("_host"), options))
     return df.withColumn("host", F.when(F.col("dynamic"), F.col("_host")).otherwise(SEED_HOST)).drop(
         "_host"
@@ -75,7 +73,7 @@ def with_host(df: DataFrame, options: RouteOptions) -> DataFrame:
 
 def _decide(df: DataFrame, options: RouteOptions) -> DataFrame:
     """`disposition` and `destinations` from the looked-up route columns."""
-    empty = (F.size("fields") == 0) & F.col("tag_metadata").isNull()
+    empty = F.size("fields") == 0
     routed = F.col("endpoint").isNotNull()
     to_seed_only = ~F.col("dynamic") | F.lit(not options.controller_present)
     seed = F.struct(
@@ -109,6 +107,17 @@ def _decide(df: DataFrame, options: RouteOptions) -> DataFrame:
 
 
 ROUTE = ("to_shoot", "to_seed", "endpoint")
+KEY = "_route_key"
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """Add the key by which a record meets its route: its host if that is dynamic.
+
+    All other records carry the seed's host; they need no route, and a key of their own keeps
+    them from gathering in the tasks of one host.
+    """
+    alone = F.concat(F.lit("\u0001"), F.coalesce(F.col("record_id").cast("string"), F.lit("")))
+    return df.withColumn(KEY, F.when(F.col("dynamic"), F.col("host")).otherwise(alone))
 
 
 def ledger(
@@ -125,8 +134,8 @@ def ledger(
             "endpoint": F.lit(None).cast("string"),
         })
     else:
-        table = routes.select("host", *ROUTE)
-        df = lookup_join(df, table, ["host"], spread="record_id", settled=settled)
+        table = routes.select(F.col("host").alias(KEY), *ROUTE)
+        df = lookup_join(keyed(df), table, [KEY], spread="record_id", settled=settled).drop(KEY)
     return _decide(df, options)
 
 
@@ -142,12 +151,13 @@ def ledger_as_of(
     history = settle(history.select("host", "valid_from", "valid_to", *ROUTE))
     intervals = by_slice(history.filter("valid_to is not null"), width)
     densest = intervals.groupBy("host", "_slice").count().agg(F.max("count")).first()[0] or 0
-    df = with_host(records, options)
+    df = keyed(with_host(records, options))
+    history, intervals = (t.withColumnRenamed("host", KEY) for t in (history, intervals))
     if densest <= max_per_slice and fits_broadcast(intervals):
         found = _by_lookup(df, history, intervals, width)
     else:
         found = _by_order(df, history, width)
-    return _decide(found, options)
+    return _decide(found.drop(KEY), options)
 
 
 def _by_lookup(
@@ -155,13 +165,13 @@ def _by_lookup(
 ) -> DataFrame:
     """The open interval of a host by host, closed ones by host and slice."""
     still_open = history.filter("valid_to is null").select(
-        "host", F.struct(F.col("valid_from").alias("since"), *ROUTE).alias("now")
+        KEY, F.struct(F.col("valid_from").alias("since"), *ROUTE).alias("now")
     )
-    df = lookup_join(df, still_open, ["host"], spread="record_id", settled=True)
+    df = lookup_join(df, still_open, [KEY], spread="record_id", settled=True)
     df = df.withColumn("_slice", slice_of(F.col("ts"), width))
     inside = (F.col("ts") >= F.col("valid_from")) & (F.col("ts") < F.col("valid_to"))
     df = lookup_join(
-        df, intervals, ["host", "_slice"], condition=inside, spread="record_id", settled=True
+        df, intervals, [KEY, "_slice"], condition=inside, spread="record_id", settled=True
     )
     is_open = F.coalesce(F.col("ts") >= F.col("now.since"), F.lit(False))
     picked = {c: F.when(is_open, F.col("now")[c]).otherwise(F.col(c)) for c in ROUTE}
@@ -174,17 +184,17 @@ def _by_order(df: DataFrame, history: DataFrame, width: int) -> DataFrame:
 
     def change(ts: str, kind: int, route: Column) -> DataFrame:
         rows = history.filter(F.col(ts).isNotNull())
-        return rows.select("host", F.col(ts).alias("ts"), F.lit(kind).alias("kind"),
+        return rows.select(KEY, F.col(ts).alias("ts"), F.lit(kind).alias("kind"),
                            route.alias("route"))
 
     changes = change("valid_to", 0, nothing).unionByName(
         change("valid_from", 1, F.struct(*ROUTE))
     )
-    mixed = df.select("host", "ts", F.lit(2).alias("kind"), F.struct("*").alias("row")).unionByName(
+    mixed = df.select(KEY, "ts", F.lit(2).alias("kind"), F.struct("*").alias("row")).unionByName(
         changes, allowMissingColumns=True
     )
     change_at = F.when(F.col("kind") < 2, F.struct("ts", "kind", "route"))
-    last = running(mixed, ["host"], ["ts", "kind"], {"last": ("max", change_at)}, width)
+    last = running(mixed, [KEY], ["ts", "kind"], {"last": ("max", change_at)}, width)
     return last.filter("kind = 2").select("row.*", "last.route.*")
 
 

@@ -19,7 +19,7 @@ def stored_logs(records: DataFrame, options: RouteOptions) -> DataFrame:
     """
     kept = with_host(records, options).filter(~F.col("lost_metadata"))
     fields = F.col("fields")
-    found = once(kept, k8s=k8s_metadata(fields, F.col("tag_metadata")))
+    found = once(kept, k8s=k8s_metadata(fields))
     return found.select(
         "record_id", "ts", F.col("k8s.namespace_name").alias("namespace"),
         F.col("k8s.container_name").alias("container"), body_of(fields).alias("body"),

@@ -37,9 +37,9 @@ class RouteOptions:
     # routing
     host_path: tuple[str, ...] = ("kubernetes", "namespace_name")
     host_regex: str | None = "^shoot-"
-    endpoint_prefix: str = "logging."
+    endpoint_prefix: str = "collector."
     endpoint_suffix: str = ".svc.cluster.local:4317"
-    seed_endpoint: str = "logging-seed.svc.cluster.local:4317"
+    seed_endpoint: str = "collector-seed.svc.cluster.local:4317"
     seed_type: str = "otlp_grpc"
     shoot_type: str = "otlp_grpc"
     controller_present: bool = True
@@ -52,12 +52,6 @@ class RouteOptions:
     scope_name: str = "logloom"
     scope_version: str = ""
     scope_schema_url: str = OTEL_SCHEMA_URL
-    # delivery
-    throttle_enabled: bool = False
-    throttle_rate: int = 1000
-    max_queue: int = 512
-    max_batch: int = 256
-    max_attempts: int = 10
 
     def with_policy(self, **states: tuple[bool, bool]) -> RouteOptions:
         """Override the (to_shoot, to_seed) pair of single lifecycle states."""

@@ -1,13 +1,12 @@
-"""Queries over metric samples, alert rules, throttling and relabelling."""
+"""Queries over metric samples, alert rules and relabelling."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators import counters, timeseries
-from logloom.operators.relabel import TARGET_RULES, relabel
-from logloom.operators.throttle import throttle
+from logloom.operators import timeseries
+from logloom.operators.relabel import Rule, relabel
 from logloom.plans import views
 from logloom.plans.oracle import SAMPLES, sql
 from logloom.plans.registry import query
@@ -300,95 +299,37 @@ def request_duration(spark: SparkSession, folder: str) -> DataFrame:
     return over.select("series", "ts", F.round("average", 6).alias("average"))
 
 
-# --- throttle ------------------------------------------------------------------------------
-
-THROTTLED = """
-arrivals AS (
-  SELECT CASE WHEN event_id % 3 = 0 THEN 'e0' ELSE 'e' || (user_id % 4) END AS endpoint,
-    CAST(floor(event_id / 40) * 4000000 + event_id % 40 * (20000 + user_id % 7 * 9000)
-      + event_id // 3000 * 90000000 AS BIGINT) AS moment, event_id AS id FROM events),
-folded AS (
-  SELECT endpoint, list_reduce(list({'moment': moment, 'level': id, 'ok': 0::BIGINT, 'ids': 0::BIGINT}
-      ORDER BY moment, CAST(id AS VARCHAR)), lambda a, x: {
-    'moment': x.moment,
-    'level': least(6000000, a.level + 3 * (x.moment - a.moment))
-      - CASE WHEN least(6000000, a.level + 3 * (x.moment - a.moment)) >= 1000000 THEN 1000000 ELSE 0 END,
-    'ok': a.ok + CASE WHEN least(6000000, a.level + 3 * (x.moment - a.moment)) >= 1000000
-      THEN 1 ELSE 0 END,
-    'ids': a.ids + CASE WHEN least(6000000, a.level + 3 * (x.moment - a.moment)) >= 1000000
-      THEN x.level ELSE 0 END}, {'moment': 0::BIGINT, 'level': 6000000::BIGINT, 'ok': 0::BIGINT, 'ids': 0::BIGINT})
-    AS f, count(*) AS n
-  FROM arrivals GROUP BY endpoint)"""
-
-
-def arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    return arrivals_of(views.table(spark, folder, "events"))
-
-
-def arrivals_of(e: DataFrame) -> DataFrame:
-    """Bursts of events; every third one goes to the same endpoint."""
-    eid = F.col("event_id")
-    at = (
-        F.floor(eid / 40) * 4_000_000 + eid % 40 * (20_000 + F.col("user_id") % 7 * 9_000)
-        + F.floor(eid / 3000) * 90_000_000
-    )
-    endpoint = F.when(eid % 3 == 0, "e0").otherwise(F.concat(F.lit("e"), F.col("user_id") % 4))
-    return e.select(endpoint.alias("endpoint"), F.timestamp_micros(at.cast("bigint")).alias("ts"),
-                    eid.cast("string").alias("record_id"))
-
-
-@query(sql("""
-SELECT endpoint, CAST(f.ok AS BIGINT) AS admitted, n - f.ok AS denied,
-  CAST(f.ids AS BIGINT) AS admitted_ids FROM folded""", THROTTLED))
-def throttled_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Token bucket of 3 records per second and endpoint."""
-    decided = throttle(arrivals(spark, folder), 3)
-    return decided.groupBy("endpoint").agg(
-        F.count_if("admitted").alias("admitted"), F.count_if(~F.col("admitted")).alias("denied"),
-        F.sum(F.when(F.col("admitted"), F.col("record_id").cast("bigint"))).alias("admitted_ids"),
-    )
-
-
-@query(sql("SELECT endpoint, n - f.ok AS value FROM folded WHERE n > f.ok", THROTTLED))
-def throttled_total(spark: SparkSession, folder: str) -> DataFrame:
-    """Throttled counter by endpoint."""
-    return counters.throttled(throttle(arrivals(spark, folder), 3))
-
-
 # --- relabelling ---------------------------------------------------------------------------
 
+RULES = (
+    Rule("keep", ("kind",), "building|machinery"),
+    Rule("drop", ("phase",), "closed"),
+    Rule(source=("kind", "customer"), regex="building;(.*)", target="site", replacement="${1}-b"),
+    Rule(source=("segment",), target="job"),
+    Rule(target="endpoint", replacement="metrics"),
+    Rule(source=("nothing",), target="phase"),
+    Rule("labelmap", regex="label_(.+)"),
+)
+
 
 @query(sql("""
-SELECT 'svc-' || c_nationkey AS job, 'job-a' AS tmp_job, 'svc-' || c_nationkey AS service,
-  'ns-' || c_mktsegment AS namespace,
-  CASE WHEN c_custkey % 2 = 0 THEN 'n' || c_custkey % 5 END AS node,
-  CASE WHEN c_custkey % 4 = 1 THEN 'pod-x' END AS pod, -- an empty pod_name removes the label
-  'metrics' AS endpoint, '/api/v2/metrics/prometheus' AS path, 'team-' || c_custkey % 3 AS team,
+SELECT CASE WHEN kind = 'building' THEN 'c' || c_custkey % 5 || '-b' END AS site, kind AS job,
+  'metrics' AS endpoint, CAST(NULL AS VARCHAR) AS phase, 'team-' || c_custkey % 3 AS team,
   count(*) AS targets
-FROM customer WHERE c_custkey % 6 <> 0 AND c_custkey % 10 <> 7 GROUP BY ALL"""))
+FROM (SELECT *, lower(c_mktsegment) AS kind FROM customer)
+WHERE kind IN ('building', 'machinery') AND c_custkey % 10 <> 7 GROUP BY ALL"""))
 def relabelled_targets(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers as scrape targets through the shipped target rules."""
+    """Customers as labelled targets, through a rule of every action."""
     c = views.table(spark, folder, "customer")
     key = F.col("c_custkey")
-    meta = "__meta_kubernetes_"
     names = {
-        "job": F.lit("job-a"),
-        meta + "service_label_app_kubernetes_io_name": F.when(key % 6 == 0, "other").otherwise(
-            "logging"),
-        meta + "service_labelpresent_app_kubernetes_io_name": F.lit("true"),
-        meta + "endpoint_port_name": F.lit("metrics"),
-        meta + "endpoint_address_target_kind": F.when(key % 2 == 0, "Node").otherwise("Pod"),
-        meta + "endpoint_address_target_name": F.concat(F.lit("n"), key % 5),
-        meta + "namespace": F.concat(F.lit("ns-"), F.col("c_mktsegment")),
-        meta + "service_name": F.concat(F.lit("svc-"), F.col("c_nationkey")),
-        meta + "pod_name": F.when(key % 4 == 1, "pod-x").otherwise(""),
-        meta + "pod_phase": F.when(key % 10 == 7, "Failed").otherwise("Running"),
-        meta + "pod_label_team": F.concat(F.lit("team-"), key % 3),
+        "kind": F.lower("c_mktsegment"), "segment": F.lower("c_mktsegment"),
+        "customer": F.concat(F.lit("c"), key % 5),
+        "phase": F.when(key % 10 == 7, "closed").otherwise("open"),
+        "label_team": F.concat(F.lit("team-"), key % 3),
     }
     labels = F.create_map(*(x for n, v in names.items() for x in (F.lit(n), v)))
-    done = relabel(c.select(labels.alias("labels")), TARGET_RULES)
-    shown = {"job": "job", "__tmp_prometheus_job_name": "tmp_job", "service": "service",
-             "namespace": "namespace", "node": "node", "pod": "pod", "endpoint": "endpoint",
-             "__metrics_path__": "path", "team": "team"}
-    flat = done.select(*(F.col("labels")[k].alias(n) for k, n in shown.items()))
-    return flat.groupBy(*shown.values()).agg(F.count(F.lit(1)).alias("targets"))
+    done = relabel(c.select(labels.alias("labels")), RULES)
+    shown = ("site", "job", "endpoint", "phase", "team")
+    flat = done.select(*(F.col("labels")[k].alias(k) for k in shown))
+    return flat.groupBy(*shown).agg(F.count(F.lit(1)).alias("targets"))

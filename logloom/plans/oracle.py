@@ -62,13 +62,13 @@ latest AS (
 routes AS (
   SELECT host, state, state NOT IN ('hibernating', 'hibernated') AS to_shoot,
     state IN ('creation', 'deletion', 'deleted', 'restore', 'migration') AS to_seed,
-    'logging.' || host || '.svc.cluster.local:4317' AS endpoint
+    'collector.' || host || '.svc.cluster.local:4317' AS endpoint
   FROM latest WHERE action = 'keep'),
 history AS (
   SELECT name AS host, ts AS valid_from, valid_to, state,
     state NOT IN ('hibernating', 'hibernated') AS to_shoot,
     state IN ('creation', 'deletion', 'deleted', 'restore', 'migration') AS to_seed,
-    'logging.' || name || '.svc.cluster.local:4317' AS endpoint
+    'collector.' || name || '.svc.cluster.local:4317' AS endpoint
   FROM (SELECT *, lead(ts) OVER (PARTITION BY name ORDER BY ts, seq) AS valid_to FROM effective)
   WHERE action = 'keep' AND (valid_to IS NULL OR valid_to > ts))
 """.strip()
@@ -83,7 +83,7 @@ ledger AS (
       WHEN NOT r.to_shoot AND NOT r.to_seed THEN 'muted' ELSE 'routed' END AS disposition
   FROM leveled l LEFT JOIN routes r ON l.host = r.host),
 sent AS (
-  SELECT record_id, ts, host, 'SEED' AS target, 'logging-seed.svc.cluster.local:4317' AS endpoint
+  SELECT record_id, ts, host, 'SEED' AS target, 'collector-seed.svc.cluster.local:4317' AS endpoint
   FROM ledger WHERE disposition = 'routed' AND (NOT dynamic OR to_seed)
   UNION ALL
   SELECT record_id, ts, host, 'SHOOT', endpoint

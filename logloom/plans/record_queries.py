@@ -114,10 +114,9 @@ def string_keys_only(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql("""
 SELECT CAST(o_orderkey AS VARCHAR) AS record_id,
-  CASE o_orderkey % 3 WHEN 2 THEN to_timestamp(1704067200 + o_orderkey)::TIMESTAMP
+  CASE o_orderkey % 3 WHEN 2 THEN make_timestamp((1704067200 + o_orderkey) * 1000000)
        ELSE o_orderdate END AS ts
-FROM orders""".replace("to_timestamp(1704067200 + o_orderkey)::TIMESTAMP",
-                       "make_timestamp((1704067200 + o_orderkey) * 1000000)")))
+FROM orders"""))
 def normalised_times(spark: SparkSession, folder: str) -> DataFrame:
     """Text time where it parses, else unix seconds."""
     o = views.table(spark, folder, "orders")
@@ -325,7 +324,7 @@ k8s AS (
 def kubernetes_attributes(spark: SparkSession, folder: str) -> DataFrame:
     recovered = metadata.recover_metadata(views.logs(spark, folder), OPTIONS)
     kept = recovered.filter(~F.col("lost_metadata"))
-    attributes = otel.k8s_attributes(otel.k8s_metadata(F.col("fields"), F.col("tag_metadata")))
+    attributes = otel.k8s_attributes(otel.k8s_metadata(F.col("fields")))
     return kept.select("record_id", F.inline(attributes)).select(
         "record_id", "key", F.col("str_value").alias("value")
     )
@@ -400,9 +399,8 @@ def otel_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql("""
 SELECT CAST(s_suppkey AS VARCHAR) AS name,
-  'logging.' || lower(s_name) || '.svc.cluster.local:4317' AS endpoint,
-  'http://xxxxx@' || lower(s_name) || '/api?mail=a' || CASE WHEN s_suppkey % 2 = 0 THEN ''
-    ELSE '' END AS redacted
+  'collector.' || lower(s_name) || '.svc.cluster.local:4317' AS endpoint,
+  'http://xxxxx@' || lower(s_name) || '/api?mail=a' AS redacted
 FROM supplier"""))
 def endpoints(spark: SparkSession, folder: str) -> DataFrame:
     """Endpoint of a name, and an address with its credentials hidden."""
@@ -434,17 +432,20 @@ def client_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql("""
-SELECT record_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, log_text AS log
-FROM logs WHERE NOT is_empty""", LOGS))
+SELECT record_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, log_text AS log,
+  CASE WHEN has_k8s THEN pod WHEN NOT failed THEN regexp_extract(rtag, 'TAGRE', 1) END AS pod
+FROM hosted WHERE NOT is_empty""".replace("TAGRE", TAG_RE), LOGS))
 def stdout_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the stdout sink, read back as JSON."""
+    """Lines of the stdout sink with recovered metadata, read back as JSON."""
+    from logloom.operators.metadata import recover_metadata
     from logloom.sources.sinks import stdout_lines as to_lines
 
-    lines = to_lines(views.logs(spark, folder), "record_id")
+    lines = to_lines(recover_metadata(views.logs(spark, folder), RouteOptions()), "record_id")
     parsed = F.try_parse_json("value")
     return lines.select(
         "record_id", F.try_variant_get(parsed, "$.timestamp", "string").alias("timestamp"),
         F.try_variant_get(parsed, "$.record.log", "string").alias("log"),
+        F.try_variant_get(parsed, "$.record.kubernetes.pod_name", "string").alias("pod"),
     ).filter("log is not null")
 
 

@@ -81,13 +81,12 @@ def delivery_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql("""
-SELECT record_id, l.host, coalesce(h.state, 'none') AS state,
+SELECT record_id, l.host,
   CASE WHEN failed THEN 'dropped_no_metadata' WHEN NOT dynamic THEN 'routed'
     WHEN h.host IS NULL THEN 'dropped_no_client'
     WHEN NOT h.to_shoot AND NOT h.to_seed THEN 'muted' ELSE 'routed' END AS disposition
 FROM hosted l LEFT JOIN history h ON l.host = h.host AND l.ts >= h.valid_from
-  AND (h.valid_to IS NULL OR l.ts < h.valid_to)""".replace(
-    "coalesce(h.state, 'none') AS state,", ""), LOGS, CHANGES))
+  AND (h.valid_to IS NULL OR l.ts < h.valid_to)""", LOGS, CHANGES))
 def delivery_ledger_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """Disposition of every record under the route live at its own time."""
     history = clusters.route_history(views.cluster_changes(spark, folder), OPTIONS)
@@ -103,8 +102,8 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql("""
 SELECT disposition, count(*) AS records FROM (
-  SELECT CASE WHEN is_empty AND failed THEN 'dropped_empty' WHEN failed OR NOT dynamic THEN 'routed'
-    ELSE 'routed' END AS disposition FROM hosted) GROUP BY ALL""", LOGS))
+  SELECT CASE WHEN is_empty AND failed THEN 'dropped_empty' ELSE 'routed' END AS disposition
+  FROM hosted) GROUP BY ALL""", LOGS))
 def seed_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """No controller yet: dynamic hosts go to the seed; nothing is dropped for its metadata."""
     options = replace(OPTIONS, controller_present=False, drop_without_metadata=False)
@@ -252,7 +251,7 @@ def admitted_collectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql("""
-SELECT namespace AS host, 'logging.' || namespace || '.svc.cluster.local:4317' AS endpoint,
+SELECT namespace AS host, 'collector.' || namespace || '.svc.cluster.local:4317' AS endpoint,
   TRUE AS to_shoot, FALSE AS to_seed
 FROM (SELECT c.namespace, arg_max(fits AND NOT gone AND a.namespace IS NOT NULL, seq) AS live
       FROM collector c LEFT JOIN allowed a ON c.namespace = a.namespace GROUP BY c.namespace)
@@ -291,8 +290,7 @@ def count_of_field_match(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql("""
-SELECT count(*) AS count FROM stored WHERE regexp_matches(namespace, 'shoot-*p[12]')""".replace(
-    "shoot-*p[12]", "shoot-*p[12]"), LOGS, STORED))
+SELECT count(*) AS count FROM stored WHERE regexp_matches(namespace, 'shoot-*p[12]')""", LOGS, STORED))
 def count_of_regex_match(spark: SparkSession, folder: str) -> DataFrame:
     """Unanchored regular expression on a field."""
     return select.count_rows(select.field_matches(_stored(spark, folder), "namespace", "shoot-*p[12]"))
@@ -322,24 +320,23 @@ def first_of_stream(spark: SparkSession, folder: str) -> DataFrame:
     return select.first(rows.select("record_id", "ts", "body"), 10, "ts", "record_id")
 
 
-ID_PATTERN = r'.+id.: .(?P<id>([a-z]+|[0-9]+|-)+)"'
+ID_PATTERN = r'id: "(?P<id>[0-9]+)"'
 
 
 @query(sql(r"""
 SELECT namespace, count(DISTINCT id) AS "unique" FROM (
-  SELECT namespace, nullif(regexp_extract('log ' || body, '.+id.: .(([a-z]+|[0-9]+|-)+)"', 1), '')
-    AS id FROM stored UNION ALL
-  SELECT namespace, nullif(regexp_extract('log ' || body, '.+id.: .(([a-z]+|[0-9]+|-)+)"', 1), '')
-    FROM stored WHERE eid % 3 = 0)
-GROUP BY namespace""".replace("id.: .", "id: ."), LOGS, STORED))
+  SELECT namespace, nullif(regexp_extract(body, 'id: "([0-9]+)"', 1), '') AS id FROM stored
+  UNION ALL SELECT namespace, nullif(regexp_extract(body, 'id: "([0-9]+)"', 1), '')
+  FROM stored WHERE eid % 3 = 0)
+GROUP BY namespace""", LOGS, STORED))
 def unique_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct record ids taken from the message; a third of the records came twice."""
     stored = _stored(spark, folder)
     twice = stored.withColumn(
         "copy", F.explode(F.when(F.col("record_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2)))
                           .otherwise(F.array(F.lit(1))))
-    ).withColumn("message", F.concat(F.lit("log "), F.col("body")))
-    ids = select.extract(twice, ID_PATTERN.replace("id.: .", "id: ."), "message", "id")
+    )
+    ids = select.extract(twice, ID_PATTERN, "body", "id")
     return select.count_unique(ids, "id", "namespace")
 
 
@@ -381,50 +378,7 @@ def streams_created(spark: SparkSession, folder: str) -> DataFrame:
                    F.min("stream_id").alias("first_stream"))
 
 
-# --- batches and queues --------------------------------------------------------------------
-
-BATCHED = """
-batched AS (
-  SELECT endpoint, ts, record_id, CAST(floor((row_number() OVER (PARTITION BY endpoint
-    ORDER BY ts, record_id) - 1) / 256) AS BIGINT) AS batch_id FROM sent)"""
-
-
-def _sent(spark: SparkSession, folder: str) -> DataFrame:
-    return routing.fan_out(_ledger(spark, folder)).select("endpoint", "ts", "record_id")
-
-
-@query(sql("""
-SELECT endpoint, batch_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
-FROM batched GROUP BY ALL""", LOGS, CHANGES, LEDGER, BATCHED))
-def export_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return buffer.batch_sizes(buffer.batches(_sent(spark, folder), OPTIONS.max_batch))
-
-
-@query(sql("""
-SELECT endpoint, CAST(sum(n) AS BIGINT) AS value FROM (
-  SELECT endpoint, batch_id, count(*) AS n FROM batched GROUP BY ALL)
-WHERE batch_id % 5 <> 3 GROUP BY endpoint""", LOGS, CHANGES, LEDGER, BATCHED))
-def exported_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of successful batches; every fifth batch of an endpoint fails."""
-    sizes = buffer.batch_sizes(buffer.batches(_sent(spark, folder), OPTIONS.max_batch))
-    status = F.when(F.col("batch_id") % 5 == 3, "error").otherwise("ok")
-    return counters.exported(sizes.withColumn("status", status))
-
-
-@query(sql("""
-SELECT attempt, count(*) AS records FROM (
-  SELECT batch_id % 12 + 1 AS attempt FROM batched WHERE batch_id % 5 = 3
-    AND batch_id % 12 + 1 <= 10
-  UNION ALL SELECT 0 FROM batched WHERE batch_id % 5 <> 3)
-GROUP BY attempt""", LOGS, CHANGES, LEDGER, BATCHED))
-def requeued_records(spark: SparkSession, folder: str) -> DataFrame:
-    """New records plus failed ones, one attempt later, unless theirs are used up."""
-    batched = buffer.batches(_sent(spark, folder), OPTIONS.max_batch)
-    failed = batched.filter("batch_id % 5 = 3").withColumn("attempt", F.expr("batch_id % 12"))
-    new = batched.filter("batch_id % 5 <> 3").withColumn("attempt", F.lit(0).cast("bigint"))
-    merged = buffer.requeue(failed, new, OPTIONS.max_attempts)
-    return merged.groupBy("attempt").agg(F.count(F.lit(1)).alias("records"))
-
+# --- queues --------------------------------------------------------------------
 
 QUEUE = """
 moves AS (

@@ -11,15 +11,12 @@ from logloom.operators import kube_events, routing
 from logloom.operators.parse import json_records
 from logloom.options import RouteOptions
 from logloom.plans import views
-from logloom.plans.metric_queries import THROTTLED, arrivals_of
 from logloom.plans.oracle import CHANGES, KUBE_EVENTS, LEDGER, LOGS, sql
 from logloom.plans.registry import query
 from logloom.session import checkpoint_dir
 from logloom.streaming import jobs
-from logloom.streaming.token_bucket import throttle_stream
 
 OPTIONS = RouteOptions()
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _workspace(spark: SparkSession) -> str:
@@ -48,14 +45,13 @@ def streamed_ledger(spark: SparkSession, folder: str) -> DataFrame:
 SELECT make_timestamp(CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600000000) AS tick, host,
   count(*) AS records FROM hosted WHERE NOT failed GROUP BY ALL""", LOGS))
 def streamed_interval_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Incoming records per hour and host, in update mode."""
+    """Incoming records per hour and host, counted by micro-batch and added up."""
     work = _workspace(spark)
     records = json_records(views.raw_logs_of(views.stream_of(spark, folder, "events")))
     kept = routing.with_host(records, OPTIONS).filter(~F.col("lost_metadata"))
-    counts = jobs.interval_counts(kept, "host", every="1 hour")
-    _drain(counts, jobs.write_batches(f"{work}/counts"), f"{work}/c", "update")
-    latest = jobs.latest_per_key(spark, f"{work}/counts", "tick", "host")
-    return latest.withColumn("tick", F.col("tick").cast("timestamp_ntz"))
+    _drain(kept, jobs.count_batches(f"{work}/counts", "host", every="1 hour"), f"{work}/c")
+    counts = jobs.interval_counts(spark, f"{work}/counts", "host")
+    return counts.withColumn("tick", F.col("tick").cast("timestamp_ntz"))
 
 
 @query(sql("SELECT * FROM shown", KUBE_EVENTS))
@@ -79,27 +75,7 @@ def streamed_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
         F.array(F.lit(1))
     )
     sent = events.select("ts", F.col("event_id").alias("record_id"), F.explode(copies).alias("copy"))
-    _drain(jobs.deduplicated(sent), jobs.write_batches(f"{work}/out"), f"{work}/c")
+    _drain(sent, jobs.deliver_once(f"{work}/out"), f"{work}/c")
     return spark.read.parquet(f"{work}/out").agg(
         F.count(F.lit(1)).alias("records"), F.count_distinct("record_id").alias("ids")
     )
-
-
-@query(sql("""
-SELECT endpoint, CAST(f.ok AS BIGINT) AS admitted, n - f.ok AS denied,
-  CAST(f.ids AS BIGINT) AS admitted_ids FROM folded""", THROTTLED))
-def streamed_throttle(spark: SparkSession, folder: str) -> DataFrame:
-    """Token bucket kept as streaming state."""
-    work = _workspace(spark)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
-    try:
-        sent = arrivals_of(views.stream_of(spark, folder, "events"))
-        _drain(throttle_stream(sent, 3), jobs.write_batches(f"{work}/out"), f"{work}/c")
-    finally:
-        spark.conf.set(provider, before)
-    return spark.read.parquet(f"{work}/out").groupBy("endpoint").agg(
-        F.count_if("admitted").alias("admitted"), F.count_if(~F.col("admitted")).alias("denied"),
-        F.sum(F.when(F.col("admitted"), F.col("record_id").cast("bigint"))).alias("admitted_ids"),
-    )

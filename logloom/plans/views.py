@@ -27,12 +27,20 @@ def namespace_of(user_id: Column) -> Column:
     )
 
 
-def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def stream_of(
+    spark: SparkSession, folder: str, name: str, most_bytes: int = 1 << 30
+) -> DataFrame:
     """The same table as a stream of bounded micro-batches; its NTZ times become TIMESTAMP, as
     watermarks need."""
     schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", 1 << 30)
-    stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", most_bytes)
+    path = f"{folder}/{name}.parquet"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(at).isDirectory():
+        stream = reader.parquet(path)
+    else:  # a table of one file is picked out of its folder
+        stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     times = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in times})
 
@@ -188,7 +196,7 @@ def cluster_changes_of(events: DataFrame) -> DataFrame:
 
 def namespaces(spark: SparkSession, folder: str) -> DataFrame:
     n, r = table(spark, folder, "nation"), table(spark, folder, "region")
-    named = n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     labels = F.create_map(F.lit("region"), F.col("r_name"), F.lit("role"),
                           F.when(F.col("n_nationkey") % 3 == 0, "seed").otherwise("shoot"))
     return named.select(

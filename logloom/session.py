@@ -15,7 +15,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the session; a scratch one only in local mode."""
+    """The folder that `spark.checkpoint.dir` names; in local mode a scratch one if it is unset."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:

@@ -32,11 +32,46 @@ def start(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def deduplicated(records: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop records sent again, within the watermark; state is bounded by `delay`."""
-    return records.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["record_id"])
+def deliver_once(path: str) -> Deliver:
+    """Store each record one time however often and late it comes, by `record_id` and day of `ts`.
+
+    A repeat has the time of its first copy, so only the days in a batch are looked up, by
+    partition. A batch that runs again replaces its own folder and does not see it.
+    """
+
+    def deliver(records: DataFrame, batch_id: int) -> None:
+        batch = records.dropDuplicates(["record_id"]).withColumn("day", F.to_date("ts"))
+        known = committed_batches(records.sparkSession, path, batch_id)
+        if known:
+            days = [r.day for r in records.select(F.to_date("ts").alias("day")).distinct().collect()]
+            stored = records.sparkSession.read.option("basePath", path).parquet(*known)
+            stored = stored.filter(F.col("day").isin(days) | F.col("day").isNull())
+            batch = batch.join(stored.select("record_id"), "record_id", "left_anti")
+        batch.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+
+    return deliver
+
+
+def _listed(spark: SparkSession, pattern: str) -> list:
+    """Hadoop paths that match, on whatever file system they are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath() for s in store.globStatus(path) or ()]
+
+
+def _numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """Folders `name=N` below `path` whose write was committed."""
+    done = (p.getParent() for p in _listed(spark, f"{path}/{name}=*/_SUCCESS"))
+    return {int(p.getName().partition("=")[2]): p.toString() for p in done}
 
 
+def committed_batches(spark: SparkSession, path: str, before: int) -> list[str]:
+    return [p for n, p in sorted(_numbered(spark, path, "batch_id").items()) if n < before]
+
+
+#: Snapshots before the newest that stay, for readers that opened one.
+KEPT_VERSIONS = 2
+
 # --- routes --------------------------------------------------------------------------------
 
 
@@ -46,9 +81,14 @@ def keep_routes(path: str) -> Deliver:
     def deliver(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
         known = changes.select("seq", "name", "op", "deletion_ts", "shoot_json")
-        if batch_id > 0:
-            known = known.unionByName(spark.read.parquet(f"{path}/version={batch_id - 1}"))
+        versions = {n: p for n, p in _numbered(spark, path, "version").items() if n < batch_id}
+        if versions:
+            known = known.unionByName(spark.read.parquet(versions[max(versions)]))
         _last_changes(known).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        for n in sorted(versions)[:-KEPT_VERSIONS]:
+            old = spark._jvm.org.apache.hadoop.fs.Path(versions[n])
+            store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            store.delete(old, True)
 
     return deliver
 
@@ -63,10 +103,9 @@ def _last_changes(changes: DataFrame) -> DataFrame:
 
 
 def latest_routes(spark: SparkSession, path: str, options: RouteOptions) -> DataFrame:
-    """Routes of the newest snapshot; older ones are pruned by partition."""
-    snapshots = spark.read.option("basePath", path).parquet(f"{path}/version=*")
-    newest = snapshots.agg(F.max("version")).scalar()
-    return clusters.current_routes(snapshots.filter(F.col("version") == newest), options)
+    """Routes of the newest committed snapshot."""
+    versions = _numbered(spark, path, "version")
+    return clusters.current_routes(spark.read.parquet(versions[max(versions)]), options)
 
 
 # --- records -------------------------------------------------------------------------------
@@ -113,19 +152,22 @@ def write_batches(path: str) -> Deliver:
     return deliver
 
 
-def latest_per_key(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """Newest version of every row that an update-mode query wrote with `write_batches`."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "v.*")
+def count_batches(path: str, *by: str, every: str = "30 seconds") -> Deliver:
+    """Records per tumbling interval, stored for each micro-batch.
+
+    No watermark: a record of any age is counted in its own interval, and `interval_counts` adds
+    the batches up.
+    """
+
+    def deliver(records: DataFrame, batch_id: int) -> None:
+        tick = F.window("ts", every)
+        counted = records.groupBy(tick.alias("tick"), *by).agg(F.count(F.lit(1)).alias("records"))
+        counted.select(F.col("tick.start").alias("tick"), *by, "records").write.mode(
+            "overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return deliver
 
 
-def interval_counts(records: DataFrame, *by: str, every: str = "30 seconds",
-                    delay: str = "1 minute") -> DataFrame:
-    """Records per tumbling interval; state of an interval ends with the watermark."""
-    tick = F.window("ts", every)
-    counted = records.withWatermark("ts", delay).groupBy(tick.alias("tick"), *by).agg(
-        F.count(F.lit(1)).alias("records")
-    )
-    return counted.select(F.col("tick.start").alias("tick"), *by, "records")
+def interval_counts(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """Sums over all batches of `count_batches`."""
+    return spark.read.parquet(path).groupBy("tick", *by).agg(F.sum("records").alias("records"))

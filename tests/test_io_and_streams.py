@@ -127,3 +127,27 @@ def test_routes_kept_by_a_stream(spark, tmp_path):
     now = current_routes(views.cluster_changes(spark, TESTDATA), OPTIONS)
     assert now.count() > 0
     assert kept.exceptAll(now).isEmpty() and now.exceptAll(kept).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    """The tables of the streams as folders of eight files each, in mixed order."""
+    folder = tmp_path_factory.mktemp("parts")
+    for name in ("events", "orders"):
+        table = spark.read.parquet(f"{TESTDATA}/{name}.parquet")
+        table.repartition(8).write.parquet(str(folder / f"{name}.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["streamed_ledger", "streamed_interval_counts",
+                                  "streamed_kubernetes_events", "streamed_without_repeats"])
+def test_streams_of_many_files_lose_no_row(spark, parts, monkeypatch, name):
+    from logloom.plans.queries import QUERIES
+
+    want = QUERIES[name](spark, TESTDATA)
+    whole = views.stream_of
+    small = lambda spark, folder, table: whole(spark, folder, table, most_bytes=1)
+    monkeypatch.setattr(views, "stream_of", small)
+    got = QUERIES[name](spark, parts)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -13,8 +13,8 @@ from logloom.functions.values import string_of
 from logloom.operators import metadata, otel, parse, routing
 
 OPTIONS = RouteOptions()
-HEX = "a8bba03512b5dd378c620ab3707aec013f83bdb9abae08d347e1644b064ed35f"
-TAG = f"kubernetes.var.log.containers.cluster-autoscaler-65d4ccbb7d-w5kd2_shoot--i355448--local-shoot_cluster-autoscaler-{HEX}.log"
+HEX = "0123456789abcdef0123456789abcdef0123456789abcdef0123456789abcdef"
+TAG = f"kubernetes.var.log.containers.scaler-5c9d-x7k2p_shoot--p1--first_scaler-{HEX}.log"
 
 
 def test_severity(records):
@@ -46,15 +46,15 @@ def test_unified_severity(spark, given, expected):
 
 
 def test_metadata_from_tag(spark):
-    bad = TAG.replace("_cluster", "-cluster")
+    bad = TAG.replace("_scaler", "-scaler")
     custom = rf"^kube\.(?P<pod>[^_]+)_(?P<ns>[^_]+)_(?P<c>.+)-(?P<id>[a-z0-9]{{64}})\.log$"
     df = spark.createDataFrame([(TAG,), (bad,), (None,), (TAG + "\n",)], "tag string")
     found = [r[0] for r in df.select(
         metadata.metadata_from_tag(F.col("tag"), OPTIONS.tag_regex())).collect()]
     assert found[0].asDict() == {
-        "pod_name": "cluster-autoscaler-65d4ccbb7d-w5kd2",
-        "namespace_name": "shoot--i355448--local-shoot",
-        "container_name": "cluster-autoscaler", "container_id": HEX,
+        "pod_name": "scaler-5c9d-x7k2p",
+        "namespace_name": "shoot--p1--first",
+        "container_name": "scaler", "container_id": HEX,
     }
     assert found[1:] == [None, None, None]
     named = spark.createDataFrame([(f"kube.test-pod_default_nginx-{HEX}.log",)], "tag string")
@@ -74,7 +74,7 @@ def test_metadata_from_tag(spark):
 def test_dynamic_host(records, record, path, host):
     options = replace(OPTIONS, host_path=path)
     df = metadata.recover_metadata(records(record), options)
-    found = routing.dynamic_host(F.col("fields"), F.col("tag_metadata"), options)
+    found = routing.dynamic_host(F.col("fields"), options)
     assert df.select(found).first()[0] == host
 
 
@@ -182,3 +182,48 @@ def test_patterns(spark):
         redact_credentials(F.col("e")),
     ).first()
     assert tuple(row) == (True, False, True, True, False, "http://xxxxx@x/y")
+
+
+def test_recovered_metadata_is_part_of_the_record(records):
+    row = metadata.recover_metadata(records({"zone": "z", "a": 1, "tag": TAG}), OPTIONS).select(
+        F.to_json("fields").alias("j"), otel.body_of(F.col("fields")).alias("b")).first()
+    found = json.loads(row.j)
+    assert list(found) == ["a", "kubernetes", "tag", "zone"]
+    assert found["kubernetes"]["namespace_name"] == "shoot--p1--first"
+    assert json.loads(row.b) == found
+
+
+@pytest.mark.parametrize("pattern,text,found", [
+    ("^a$|^b$", "a\n", False), ("^a$|^b$", "b", True), (r"x\$y[$]$", "x$y$", True), (r"x\$y[$]$", "x$y$\n", False)])
+def test_dollar_is_the_end_of_the_text(spark, pattern, text, found):
+    from logloom.functions.patterns import matches
+
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(matches(F.col("s"), pattern)).first()[0] is found
+
+
+def test_words_spaces_and_paths(spark, records):
+    df = spark.createDataFrame([("éc1",), ("é c1",)], "s string")
+    assert [r[0] for r in df.select(has_word(F.col("s"), "c1")).collect()] == [False, True]
+    df = spark.createDataFrame([("\tinfo \n",)], "s string")
+    assert df.select(unify_severity(F.col("s"))).first()[0] == "INFO"
+    options = replace(OPTIONS, host_path=("kubernetes", "labels", "app.kubernetes.io/name"))
+    row = records({"kubernetes": {"labels": {"app.kubernetes.io/name": "shoot-x"}}}).select(
+        routing.dynamic_host(F.col("fields"), options)).first()
+    assert row[0] == "shoot-x"
+
+
+def test_event_lines_escape_markup(spark):
+    from logloom.operators import kube_events
+
+    row = kube_events.lines(spark.sql("select 'x' origin, '<b> & c' _entry")).first()
+    assert row.line == r'{"origin":"x","_entry":"\u003cb\u003e \u0026 c"}'
+
+
+@pytest.mark.parametrize("selector,found", [
+    ("k in(a,b)", True), ("k notin(a)", False), ("n>3", True), ("n > 5", False), ("n<9", True), ("k>1", False)])
+def test_selector_grammar(spark, selector, found):
+    from logloom.functions.selectors import label_selector
+
+    df = spark.sql("select map('k', 'a', 'n', '5') as labels")
+    assert df.select(label_selector(F.col("labels"), selector)).first()[0] is found

@@ -8,10 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom import RouteOptions
-from logloom.operators import buffer, clusters, routing, timeseries
+from logloom.operators import clusters, routing, timeseries
 from logloom.operators.lookup import lookup_join
 from logloom.operators.slices import neighbour, running, trailing
-from logloom.operators.throttle import throttle
 from logloom.plans import views
 from tests.conftest import TESTDATA
 
@@ -77,19 +76,11 @@ def test_held(data):
         assert got.loc[row.seq, "firing"] == firing
 
 
-def test_batches(spark, data):
-    pdf, df = data
-    sent = df.select(F.col("series").alias("endpoint"), "ts", F.col("seq").alias("record_id"))
-    got = buffer.batches(sent, 7, MINUTE).toPandas().set_index("record_id")["batch_id"].sort_index()
-    want = pdf.groupby("series").cumcount() // 7
-    assert got.tolist() == want.tolist()
-
-
 def test_salted_lookup(spark):
     facts = spark.range(2000).selectExpr("id as record_id", "if(id % 3 = 0, 'hot', concat('k', id % 50)) as host")
     table = spark.range(40).selectExpr("if(id = 0, 'hot', concat('k', id)) as host", "id as route")
     small = lookup_join(facts, table, ["host"], spread="record_id")
-    large = lookup_join(facts, table, ["host"], spread="record_id", max_rows=0)
+    large = lookup_join(facts, table, ["host"], spread="record_id", max_rows=0, rows_per_task=100)
     assert "_salt" in large._jdf.queryExecution().toString()
     assert small.count() == large.count() == 2000
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
@@ -105,36 +96,3 @@ def test_as_of_paths_agree(spark):
     assert by_lookup.count() == by_order.count() == logs.count()
     assert by_lookup.exceptAll(by_order).isEmpty()
     assert by_order.groupBy("disposition").count().count() >= 3
-
-
-def bucket(rows, rate, burst):
-    state, admitted = {}, {}
-    for endpoint, at, rid in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        level, last = state.get(endpoint, (burst * 1_000_000, at))
-        level = min(burst * 1_000_000, level + rate * (at - last))
-        ok = level >= 1_000_000
-        state[endpoint] = (level - 1_000_000 if ok else level, at)
-        admitted[rid] = ok
-    return admitted
-
-
-@pytest.mark.parametrize("seed,gap", [(1, 0.05), (2, 0.2), (3, 0.5), (4, 3.0), (5, 0.33)])
-def test_throttle(spark, seed, gap):
-    """Overload, critical load and idle phases, cut into slices of five seconds."""
-    rng, rows, at = random.Random(seed), [], 1_700_000_000_000_000
-    for i in range(900):
-        pace = gap * (8 if i % 300 > 220 else 1)
-        at += int(rng.expovariate(1 / pace) * 1_000_000) if rng.random() < 0.95 else 0
-        rows.append(("hot" if rng.random() < 0.7 else "cold", at, f"{i:04d}"))
-    df = spark.createDataFrame(rows, "endpoint string, at bigint, record_id string")
-    sent = df.select("endpoint", F.timestamp_micros("at").alias("ts"), "record_id")
-    got = {r.record_id: r.admitted for r in throttle(sent, 3, width=5_000_000).collect()}
-    assert got == bucket(rows, 3, 6)
-
-
-def test_requeue_until_given_up(spark):
-    failed = spark.sql("select 'a' record_id, 9 attempt union all select 'b', 10")
-    fresh = spark.sql("select 'c' record_id, 0 attempt")
-    again = sorted(map(tuple, buffer.requeue(failed, fresh, 10).collect()))
-    assert again == [("a", 10), ("c", 0)]
-    assert [r.record_id for r in buffer.given_up(failed, 10).collect()] == ["b"]
