@@ -1,9 +1,9 @@
 """Ordered windows over keys of any size.
 
-A plain window puts a whole key into one task. Here a key is cut into slices of time; each
-slice is one window group, and what a slice needs from earlier ones comes from a summary with
-one row per key and slice. The summary grows with the time span, not with the rows.
-Keys are never NULL.
+A plain window puts a whole key into one task. Here a key is cut into slices of time that hold at
+most `ROWS` rows each: spans of the given width, and shorter ones where rows were counted to be
+denser. Each slice is one window group, and what a slice needs from earlier ones comes from a
+summary with one row per key and slice. Keys are never NULL.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.values import micros
+from logloom.session import settle
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
@@ -25,6 +26,46 @@ def slice_of_micros(at: Column, width: int) -> Column:
     return ((at - F.pmod(at, F.lit(width))) / width).cast("bigint")
 
 
+ROWS = 1_000_000
+SECOND, MINUTE = 1_000_000, 60_000_000
+
+
+def cut(df: DataFrame, keys: list[str], ts: str, width: int, rows: int | None = None) -> DataFrame:
+    """Add `_slice`, the first microsecond of a row's slice.
+
+    Rows are counted by key and second. A span of `width` with too many is cut into minutes, such
+    a minute into seconds, such a second into its moments. Spans that are too dense number at most
+    the rows over `rows`, so their table is broadcast. The input is computed once and kept in the
+    shared folder, for it is read to count, to sum up and to order.
+    """
+    df, rows = settle(df), rows or ROWS
+    at = micros(F.col(ts))
+    minute_size, second_size = min(MINUTE, width), min(SECOND, width)
+
+    def start(moment: Column, size: int) -> Column:
+        return moment - F.pmod(moment, F.lit(size))
+
+    counts = df.groupBy(*keys, start(at, second_size).alias("_second")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumns({"_span": start(F.col("_second"), width),
+                                 "_minute": start(F.col("_second"), minute_size)})
+    in_span = F.sum("_n").over(Window.partitionBy(*keys, "_span"))
+    in_minute = F.sum("_n").over(Window.partitionBy(*keys, "_span", "_minute"))
+    dense = counts.withColumn("_all", in_span).filter(F.col("_all") > rows).withColumn(
+        "_some", in_minute).groupBy(*keys, "_span").agg(
+        F.collect_set(F.when(F.col("_some") > rows, F.col("_minute"))).alias("_minutes"),
+        F.collect_set(F.when(F.col("_n") > rows, F.col("_second"))).alias("_seconds"))
+    dense = F.broadcast(dense.withColumnsRenamed({k: f"_dense_{k}" for k in [*keys, "_span"]}))
+    own = df.withColumn("_span", start(at, width))
+    same = [F.col(k) == F.col(f"_dense_{k}") for k in [*keys, "_span"]]
+    chosen = (
+        F.when(F.col("_minutes").isNull(), F.col("_span"))
+        .when(~F.array_contains("_minutes", start(at, minute_size)), start(at, minute_size))
+        .when(~F.array_contains("_seconds", start(at, second_size)), start(at, second_size))
+        .otherwise(at))
+    return own.join(dense, same, "left").withColumn("_slice", chosen).select(*df.columns, "_slice")
+
+
 def _with_carry(
     sliced: DataFrame, keys: list[str], summary: DataFrame, spec: dict[str, Column]
 ) -> DataFrame:
@@ -48,7 +89,7 @@ def neighbour(
 
     `columns` maps a source column to the name its neighbour value gets.
     """
-    sliced = df.withColumn("_slice", slice_of(F.col(order[0]), width))
+    sliced = cut(df, keys, order[0], width)
     position, row = F.struct(*order), F.struct(*columns)
     edge = F.min_by(row, position) if ahead else F.max_by(row, position)
     summary = sliced.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
@@ -77,7 +118,7 @@ def running(
     `totals` maps an output name to (`"sum"` or `"max"`, column). Rows must be distinct in
     `order`.
     """
-    sliced = df.withColumn("_slice", slice_of(F.col(order[0]), width))
+    sliced = cut(df, keys, order[0], width)
     summary = sliced.groupBy(*keys, "_slice").agg(
         *(_COMBINE[how](c).alias(f"_part_{n}") for n, (how, c) in totals.items())
     )
@@ -100,30 +141,3 @@ def running(
         return F.coalesce(here + carried, here, carried)
 
     return joined.select(*df.columns, *(total(n, *t).alias(n) for n, t in totals.items()))
-
-
-def trailing(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    seconds: int,
-    aggregates: dict[str, Column],
-    width: int = HOUR,
-) -> DataFrame:
-    """Aggregates over the rows of the last `seconds`, both ends included, per key.
-
-    A row close enough to the end of its slice to be seen from the next one is copied there.
-    """
-    span = seconds * 1_000_000
-    width = max(width, 4 * span)  # at most a quarter of the rows is copied
-    at, own = micros(F.col(ts)), slice_of(F.col(ts), width)
-    reaches_next = (own + 1) * width - at <= span
-    copies = F.when(reaches_next, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = df.withColumn("_at", at).withColumn("_own", own).withColumn(
-        "_slice", F.explode(copies)
-    )
-    frame = Window.partitionBy(*keys, "_slice").orderBy("_at").rangeBetween(-span, 0)
-    computed = spread.select(
-        *df.columns, "_own", "_slice", *(a.over(frame).alias(n) for n, a in aggregates.items())
-    )
-    return computed.filter("_own = _slice").drop("_own", "_slice")

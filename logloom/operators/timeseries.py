@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.values import micros
-from logloom.operators.slices import HOUR, neighbour, running, trailing
+from logloom.operators.slices import HOUR, neighbour, running
 
 # Thresholds and service level targets.
 WARNING = {"queue_size": 400.0, "export_latency": 5.0, "error_rate": 0.01}
@@ -45,19 +45,46 @@ def increases(df: DataFrame, width: int = HOUR) -> DataFrame:
     return df.withColumn("increase", grown).drop("_previous")
 
 
+def _met(df: DataFrame, sample_at: Column, marker_at: Column, inclusive: bool, value: Column,
+         name: str, width: int) -> DataFrame:
+    """Add `name`: `value` of the last sample before (or at) each row's marker on the same axis.
+
+    Samples and markers are ordered together once, so the cost does not depend on how many
+    samples a window holds.
+    """
+    sample, marker = (0, 1) if inclusive else (1, 0)
+    samples = df.select("series", F.timestamp_micros(sample_at).alias("_at"),
+                        F.lit(sample).alias("_kind"), value.alias("_value"))
+    markers = df.select("series", F.timestamp_micros(marker_at).alias("_at"),
+                        F.lit(marker).alias("_kind"), F.struct("*").alias("_row"))
+    seen = F.when(F.col("_kind") == sample, F.struct("_at", "_value"))
+    last = running(samples.unionByName(markers, allowMissingColumns=True), ["series"],
+                   ["_at", "_kind"], {"_last": ("max", seen)}, width)
+    return last.filter(F.col("_kind") == marker).select(
+        "_row.*", F.col("_last._value").alias(name))
+
+
 def rate(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
-    """Add per-second `rate` over the last `seconds` at every sample (no extrapolation)."""
-    counted = increases(df, width)
-    spans = {"rate": F.sum("increase")}
-    rated = trailing(counted, ["series"], "ts", seconds, spans, width)
-    return rated.withColumn("rate", F.coalesce("rate", F.lit(0.0)) / seconds).drop("increase")
+    """Add per-second `rate` over the last `seconds` at every sample (no extrapolation).
+
+    The increase within a window is the difference of its running sums at both ends.
+    """
+    grown = F.coalesce("increase", F.lit(0.0))
+    counted = running(increases(df, width), ["series"], ["ts"], {"_sum": ("sum", grown)}, width)
+    at = micros(F.col("ts"))
+    both = _met(counted, at, at - seconds * 1_000_000, False, F.col("_sum"), "_before", width)
+    inside = F.col("_sum") - F.coalesce("_before", F.lit(0.0))
+    return both.withColumn("rate", inside / seconds).drop("increase", "_sum", "_before")
 
 
 def delta(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
-    """Add `delta`: newest minus oldest value of the last `seconds`."""
-    ends = {"_oldest": F.min_by("value", "ts"), "_newest": F.max_by("value", "ts")}
-    both = trailing(df, ["series"], "ts", seconds, ends, width)
-    return both.withColumn("delta", F.expr("_newest - _oldest")).drop("_oldest", "_newest")
+    """Add `delta`: the value less the oldest one of the last `seconds`.
+
+    The oldest value is the last one at or before the window's start with time turned round.
+    """
+    back = -micros(F.col("ts"))
+    both = _met(df, back, back + seconds * 1_000_000, True, F.col("value"), "_oldest", width)
+    return both.withColumn("delta", F.expr("value - _oldest")).drop("_oldest")
 
 
 def rate_sum(rated: DataFrame, *by: str) -> DataFrame:

@@ -10,6 +10,7 @@ from logloom.operators.relabel import Rule, relabel
 from logloom.plans import views
 from logloom.plans.oracle import SAMPLES, sql
 from logloom.plans.registry import query
+from logloom.session import settle
 
 RATES = """
 increases AS (
@@ -40,7 +41,7 @@ def rate_by_label(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(sql("""
-SELECT series, ts, seq, round(last_value(value) OVER w - first_value(value) OVER w, 9) AS delta
+SELECT series, ts, seq, round(value - first_value(value) OVER w, 9) AS delta
 FROM gauge WINDOW w AS (PARTITION BY series ORDER BY ts
   RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)""", SAMPLES))
 def gauge_delta(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,7 +111,8 @@ SELECT alert, series, count(*) FILTER (bad) AS active FROM (
 GROUP BY ALL""", SAMPLES, RATES, BUCKETS))
 def alert_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The seven shipped rules, each over a fitting value; active samples per series."""
-    samples, rates = views.metric_samples(spark, folder), _rates(spark, folder)
+    samples = settle(views.metric_samples(spark, folder))
+    rates = settle(timeseries.rate(samples, 10_800))
     previous = timeseries.neighbour(samples, ["series"], ["ts"], {"value": "before"})
     grown = previous.withColumn("delta", F.coalesce(F.expr("value - before"), F.lit(0.0)))
     buckets = views.latency_buckets(spark, folder)

@@ -12,7 +12,10 @@ from logloom.functions.values import html_safe
 from logloom.operators.routing import CLIENT_TYPES
 
 # Fields that name a stored log stream.
-STREAM_FIELDS = ("k8s.namespace.name", "k8s.container.name", "severity", "origin")
+STREAM_FIELDS = (
+    "k8s.event.reason", "k8s.node.name", "k8s.namespace.name", "k8s.object.name", "k8s.pods.name",
+    "k8s.container.name", "severity", "k8s.object.kind", "origin",
+)
 
 
 class Sink(Protocol):

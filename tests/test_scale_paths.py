@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom import RouteOptions
-from logloom.operators import clusters, routing, timeseries
+from logloom.operators import clusters, routing, slices, timeseries
 from logloom.operators.lookup import lookup_join
-from logloom.operators.slices import neighbour, running, trailing
+from logloom.operators.slices import neighbour, running
 from logloom.plans import views
 from tests.conftest import TESTDATA
 
@@ -53,16 +53,37 @@ def test_running(data):
     pd.testing.assert_series_equal(got["top"], by.cummax(), check_names=False)
 
 
-@pytest.mark.parametrize("seconds,width", [(30, MINUTE), (300, MINUTE), (7200, 3600 * 1_000_000)])
-def test_trailing(data, seconds, width):
+@pytest.mark.parametrize("seconds", [30, 300, 7200])
+@pytest.mark.parametrize("rows", [20, 10_000])
+def test_rate_and_delta(data, seconds, rows, monkeypatch):
+    monkeypatch.setattr(slices, "ROWS", rows)
     pdf, df = data
-    got = trailing(df, ["series"], "ts", seconds, {"n": F.count(F.lit(1)), "s": F.sum("value")}, width)
-    got = got.toPandas().set_index("seq").sort_index()
-    assert len(got) == len(pdf)
+    rates = timeseries.rate(df, seconds).toPandas().set_index("seq")["rate"]
+    deltas = timeseries.delta(df, seconds).toPandas().set_index("seq")["delta"]
+    before = pdf.groupby("series")["value"].shift(1)
+    grown = (pdf.value - before).where(pdf.value >= before, pdf.value).where(before.notna(), 0)
+    assert len(rates) == len(deltas) == len(pdf)
     for i, row in pdf.iterrows():
         near = pdf[(pdf.series == row.series) & (pdf.ts <= row.ts)
                    & (pdf.ts >= row.ts - timedelta(seconds=seconds))]
-        assert (got.loc[i, "n"], got.loc[i, "s"]) == (len(near), near.value.sum())
+        assert rates[i] == pytest.approx(grown[near.index].sum() / seconds)
+        assert deltas[i] == row.value - near.value.iloc[0]
+
+
+def test_no_window_group_exceeds_the_target(spark, monkeypatch):
+    """One key has all its rows within a minute, half of them within a second."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("series"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.when(
+            F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") * 14_000)).alias("ts"),
+        F.col("id").alias("seq"), F.lit(1).cast("bigint").alias("value"))
+    sliced = slices.cut(df, ["series"], "ts", 3600 * 1_000_000, rows=100)
+    assert sliced.count() == 4000
+    assert sliced.groupBy("series", "_slice").count().agg(F.max("count")).first()[0] <= 100
+    monkeypatch.setattr(slices, "ROWS", 100)
+    total = running(df, ["series"], ["ts", "seq"], {"n": ("sum", F.col("value"))})
+    assert total.groupBy("series").agg(F.max("n"), F.count_distinct("n")).collect() == [
+        r for r in total.groupBy("series").agg(F.count("n"), F.count("n")).collect()]
 
 
 def test_held(data):
