@@ -19,15 +19,15 @@ AVAILABILITY_TARGET = 0.999
 ERROR_RATIO_TARGET = 0.001
 LATENCY_TARGET = 5.0
 SLO_DAYS = 30
-# Alert -> (kind, range in seconds, comparison, bound, held for seconds).
+# Alert -> (kind, range in seconds, comparison, bound, held for seconds, severity).
 ALERTS = {
-    "QueueGrowing": ("delta", 300, ">", 100.0, 600),
-    "QueueNearCapacity": ("per_client", 0, ">", 400.0, 300),
-    "LogsDropped": ("rate", 300, ">", 0.0, 60),
-    "HighErrorRate": ("rate", 300, ">", 0.1, 300),
-    "HighExportLatency": ("p95", 300, ">", 10.0, 300),
-    "PluginUnhealthy": ("value", 0, "==", 0.0, 120),
-    "NoLogsSent": ("rate", 300, "==", 0.0, 600),
+    "QueueGrowing": ("delta", 300, ">", 100.0, 600, "warning"),
+    "QueueNearCapacity": ("per_client", 0, ">", 400.0, 300, "warning"),
+    "LogsDropped": ("rate", 300, ">", 0.0, 60, "critical"),
+    "HighErrorRate": ("rate", 300, ">", 0.1, 300, "warning"),
+    "HighExportLatency": ("p95", 300, ">", 10.0, 300, "warning"),
+    "PluginUnhealthy": ("value", 0, "==", 0.0, 120, "critical"),
+    "NoLogsSent": ("rate", 300, "==", 0.0, 600, "warning"),
 }
 
 
@@ -120,7 +120,9 @@ def histogram_quantile(buckets: DataFrame, q: float, keys: list[str], value: str
     )
 
 
-def held(df: DataFrame, condition: Column, seconds: int, width: int = HOUR) -> DataFrame:
+def held(
+    df: DataFrame, condition: Column, seconds: int | Column, width: int = HOUR
+) -> DataFrame:
     """Add `active` (condition), `active_since` and `firing`: true without a break for at
     least `seconds` at this sample."""
     df = df.withColumn("active", F.coalesce(condition, F.lit(False)))
@@ -136,14 +138,38 @@ def held(df: DataFrame, condition: Column, seconds: int, width: int = HOUR) -> D
     ).drop("_before", "_start")
 
 
-def alert(df: DataFrame, name: str, value: str, seconds: int | None = None) -> DataFrame:
-    """State of one shipped alert rule over an already computed `value` column."""
-    _, _, comparison, bound, hold = ALERTS[name]
-    column = F.col(value)
-    condition = column > bound if comparison == ">" else column == bound
-    return held(df, condition, hold if seconds is None else seconds).withColumn(
-        "alert", F.lit(name)
-    )
+def condition(df: DataFrame, name: str, seconds: int | None = None) -> DataFrame:
+    """A shipped rule's condition at every sample: `alert, severity, hold, series, ts, active`.
+
+    `df` has the samples that the rule's kind needs in `value`: counters for a rate, gauges for a
+    delta, and for the other kinds what is compared. Rates and deltas are taken over the rule's
+    range, or over `seconds`; a frame that has the column `rate` or `delta` already is not asked.
+    """
+    kind, span, comparison, bound, hold, severity = ALERTS[name]
+    column = F.col("value")
+    if kind in ("rate", "delta"):
+        if kind not in df.columns:
+            df = (rate if kind == "rate" else delta)(df, seconds or span)
+        column = F.col(kind)
+    active = column > bound if comparison == ">" else column == bound
+    return df.select(F.lit(name).alias("alert"), F.lit(severity).alias("severity"),
+                     F.lit(hold).alias("hold"), "series", "ts", active.alias("active"))
+
+
+def unhealthy(up: DataFrame, probe: DataFrame) -> DataFrame:
+    """The health rule: `up == 0 or probe == 0`, the second only where the first has no sample."""
+    down = [df.filter(F.col("value") == 0) for df in (up, probe)]
+    either = vector_or(*(d.select("series", "ts", "value") for d in down), ["series", "ts"])
+    every = up.select("series", "ts").unionByName(probe.select("series", "ts")).distinct()
+    return condition(every.join(either, ["series", "ts"], "left"), "PluginUnhealthy")
+
+
+def alerts(conditions: DataFrame) -> DataFrame:
+    """`active, active_since, firing` of every rule's samples, ordered together once."""
+    one = F.to_json(F.array("alert", "series"))
+    rows = conditions.select("*", F.col("series").alias("_of")).withColumn("series", one)
+    states = held(rows, F.col("active"), F.col("hold"))
+    return states.drop("series", "hold").withColumnRenamed("_of", "series")
 
 
 def level(kind: str, value: Column) -> Column:

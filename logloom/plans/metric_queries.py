@@ -99,37 +99,60 @@ def condition_held(spark: SparkSession, folder: str) -> DataFrame:
     return timeseries.held(samples, F.col("value") > 10, 1800).drop("value")
 
 
+ALERT_STATES = """
+short AS (
+  SELECT series, ts, coalesce(sum(increase) OVER (PARTITION BY series ORDER BY ts
+    RANGE BETWEEN INTERVAL 300 SECONDS PRECEDING AND CURRENT ROW), 0) / 300 AS rate FROM increases),
+moved AS (
+  SELECT series, ts, seq, value - first_value(value) OVER (PARTITION BY series ORDER BY ts
+    RANGE BETWEEN INTERVAL 300 SECONDS PRECEDING AND CURRENT ROW) AS delta FROM gauge),
+health AS (
+  SELECT series, ts, NOT (value < 2 OR value % 5 = 0) AS up FROM samples),
+conditions AS (
+  SELECT 'LogsDropped' AS alert, 'critical' AS severity, 60 AS hold, series, ts, 0 AS seq,
+    rate > 0 AS bad FROM short
+  UNION ALL SELECT 'HighErrorRate', 'warning', 300, series, ts, 0, rate > 0.1 FROM short
+  UNION ALL SELECT 'NoLogsSent', 'warning', 600, series, ts, 0, rate = 0 FROM short
+  UNION ALL SELECT 'QueueGrowing', 'warning', 600, series, ts, seq, delta > 100 FROM moved
+  UNION ALL SELECT 'QueueNearCapacity', 'warning', 300, s.series, s.ts, 0, s.value / c.clients > 400
+    FROM samples s JOIN (SELECT ts, count(*) / 100 AS clients FROM samples GROUP BY ts) c USING (ts)
+  UNION ALL SELECT 'PluginUnhealthy', 'critical', 120, series, ts, 0, NOT up FROM health
+  UNION ALL SELECT 'HighExportLatency', 'warning', 300, series, ts, 0, quantile > 10
+    FROM quantiles WHERE q = 0.95),
+streaks AS (
+  SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (
+    PARTITION BY alert, series ORDER BY ts, seq) AS streak FROM conditions),
+fired AS (
+  SELECT *, bad AND epoch(ts) - epoch(min(CASE WHEN bad THEN ts END) OVER (
+    PARTITION BY alert, series, streak)) >= hold AS firing FROM streaks)"""
+
+
 @query(sql("""
-SELECT alert, series, count(*) FILTER (bad) AS active FROM (
-  SELECT 'LogsDropped' AS alert, series, rate > 0 AS bad FROM rates
-  UNION ALL SELECT 'HighErrorRate', series, rate > 0.1 FROM rates
-  UNION ALL SELECT 'NoLogsSent', series, rate = 0 FROM rates
-  UNION ALL SELECT 'QueueGrowing', series, value - coalesce(before, value) > 100 FROM increases
-  UNION ALL SELECT 'QueueNearCapacity', series, value * 100 > 400 FROM samples
-  UNION ALL SELECT 'PluginUnhealthy', series, value < 2 FROM samples
-  UNION ALL SELECT 'HighExportLatency', series, quantile > 10 FROM quantiles WHERE q = 0.95)
-GROUP BY ALL""", SAMPLES, RATES, BUCKETS))
+SELECT alert, severity, series, count(*) FILTER (bad) AS active, count(*) FILTER (firing) AS firing
+FROM fired GROUP BY ALL""", SAMPLES, RATES, BUCKETS, ALERT_STATES))
 def alert_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """The seven shipped rules, each over a fitting value; active samples per series."""
+    """The seven shipped rules with their ranges and hold times; samples active and firing."""
     samples = settle(views.metric_samples(spark, folder))
-    rates = settle(timeseries.rate(samples, 10_800))
-    previous = timeseries.neighbour(samples, ["series"], ["ts"], {"value": "before"})
-    grown = previous.withColumn("delta", F.coalesce(F.expr("value - before"), F.lit(0.0)))
     buckets = views.latency_buckets(spark, folder)
+    clients = samples.groupBy("ts").agg((F.count(F.lit(1)) / 100).alias("value")).withColumn(
+        "series", F.lit("clients"))
+    near = timeseries.per_scalar(samples, clients, "load").select("series", "ts", F.col("load").alias("value"))
     p95 = timeseries.histogram_quantile(buckets, 0.95, ["series", "ts"], "value")
-    inputs = {
-        "LogsDropped": (rates, "rate"), "HighErrorRate": (rates, "rate"),
-        "NoLogsSent": (rates, "rate"), "QueueGrowing": (grown, "delta"),
-        "QueueNearCapacity": (samples.withColumn("per_client", F.expr("value * 100")), "per_client"),
-        "PluginUnhealthy": (samples.withColumn("up", F.expr("if(value < 2, 0.0, 1.0)")), "up"),
-        "HighExportLatency": (p95, "quantile"),
-    }
-    result = None
-    for name, (df, value) in inputs.items():
-        states = timeseries.alert(df.select("series", "ts", value), name, value)
-        counted = states.groupBy("alert", "series").agg(F.count_if("active").alias("active"))
-        result = counted if result is None else result.unionByName(counted)
-    return result
+    up = samples.withColumn("value", F.expr("if(value < 2, 0.0D, 1.0D)"))
+    probe = samples.withColumn("value", F.expr("if(value % 5 = 0, 0.0D, 1.0D)"))
+    rates = settle(timeseries.rate(samples, 300))
+    rules = [timeseries.condition(rates, n) for n in ("LogsDropped", "HighErrorRate", "NoLogsSent")]
+    rules += [
+        timeseries.condition(views.gauge_samples(spark, folder), "QueueGrowing"),
+        timeseries.condition(near, "QueueNearCapacity"),
+        timeseries.condition(p95.withColumnRenamed("quantile", "value"), "HighExportLatency"),
+        timeseries.unhealthy(up, probe),
+    ]
+    every = rules[0]
+    for more in rules[1:]:
+        every = every.unionByName(more)
+    return timeseries.alerts(every).groupBy("alert", "severity", "series").agg(
+        F.count_if("active").alias("active"), F.count_if("firing").alias("firing"))
 
 
 @query(sql("""
