@@ -22,6 +22,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,7 +40,9 @@ SHARD_TOKENS = 400_000
 #: A pair is frequent if it occurs so often in its shard.
 FREQUENT = 24
 MAGIC = b"RPR1"
-SLOTS = 1 << 20
+#: Entries of a worker's table of runs; those met first stay when it is full.
+KEEP, FULL = 500_000, 1_000_000
+SLOT_BITS = 18
 
 
 class Encoder:
@@ -53,6 +56,8 @@ class Encoder:
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode the runs in one call; a letter before a last `.` or `,` ends a word there."""
+        if not runs:
+            return
         stems = {self.stem(r) for r in runs} | {b".", b","}
         todo = [s for s in stems if s not in self.known]
         for stem, found in zip(todo, self.library.encode_batch_fast(
@@ -67,16 +72,17 @@ class Encoder:
         return run[:-1] if run[-1:] in b".," and len(run) > 1 and 97 <= run[-2] <= 122 else run
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        trim(self.known)
-        cut = []
-        for text in texts:
-            raw = text.encode()
-            cut.append((raw if b"<|" in raw else raw.lower()).split())
-        known = self.known
-        missing = {r for runs in cut for r in runs if r not in known}
-        if missing:
-            self.learn(missing)
-        return [b"".join([known[r] for r in runs]) for runs in cut]
+        trim(self.known, KEEP, FULL)
+        known = self.known.get
+        raw = [t.encode() for t in texts]
+        cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        found = [[known(r) for r in runs] for runs in cut]
+        open_ones = [n for n, parts in enumerate(found) if None in parts]
+        self.learn({r for n in open_ones for r, p in zip(cut[n], found[n], strict=True)
+                    if p is None})
+        for n in open_ones:
+            found[n] = [known(r) for r in cut[n]]
+        return [b"".join(parts) for parts in found]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -88,21 +94,22 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def chosen_pairs(symbols: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs that occur at least `FREQUENT` times, and the codes of the pairs there.
+def chosen_pairs(symbols: np.ndarray, last: np.ndarray, newest: int) -> tuple:
+    """(places, rule of each place, codes of the rules) of pairs that occur often.
 
+    Every frequent pair of the round before has been replaced or broken up, and counts of old
+    pairs only fall, so a pair can be frequent only if it has a symbol made since: `newest` on.
     A table of hashed counts leaves the pairs that may be frequent; these are counted exactly.
     """
-    left, right = symbols[:-1].astype(np.uint64), symbols[1:].astype(np.uint64)
-    code = (left << np.uint64(32)) | right
-    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    slot[last[:-1]] = SLOTS
-    seen = np.bincount(slot, minlength=SLOTS + 1)
-    seen[SLOTS] = 0
-    place = np.flatnonzero(seen[slot] >= FREQUENT)
-    _, back, count = np.unique(code[place], return_inverse=True, return_counts=True)
-    place = place[count[back] >= FREQUENT]
-    return place, code[place]
+    fresh = symbols >= newest
+    inside = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~last[:-1])
+    code = (symbols[inside].astype(np.uint64) << np.uint64(32)) | symbols[inside + 1]
+    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    may = np.flatnonzero((np.bincount(slot, minlength=1 << SLOT_BITS) >= FREQUENT)[slot])
+    rules, rule, count = np.unique(code[may], return_inverse=True, return_counts=True)
+    often = count >= FREQUENT
+    good = often[rule]
+    return inside[may[good]], (np.cumsum(often) - 1)[rule[good]], rules[often]
 
 
 def compressed(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple:
@@ -113,15 +120,14 @@ def compressed(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple:
     lefts, rights, rounds = [], [], []
     made = 0
     while len(symbols) > 1:
-        place, code = chosen_pairs(symbols, last)
+        place, rule, rules = chosen_pairs(symbols, last, first + made - rounds[-1] if rounds else 0)
         if not len(place):
             break
         # of overlapping pairs the first, third, ... of each run are taken
         fresh = np.flatnonzero(np.diff(place, prepend=-2) != 1)
         run_start = np.repeat(place[fresh], np.diff(np.append(fresh, len(place))))
         take = (place - run_start) % 2 == 0
-        place, code = place[take], code[take]
-        rules, rule = np.unique(code, return_inverse=True)
+        place, rule = place[take], rule[take]
         symbols[place] = (first + made + rule).astype(np.uint32)
         last[place] = last[place + 1]
         keep = np.ones(len(symbols), dtype=bool)
@@ -258,6 +264,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        gc.disable()  # the table of runs is large and holds no cycles
         part, own, number = TaskContext.get().partitionId(), encoder(name), 0
         store, base = open_store(folder)
         store.create_dir(base, recursive=True)
