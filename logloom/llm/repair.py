@@ -41,7 +41,7 @@ SHARD_TOKENS = 400_000
 FREQUENT = 24
 MAGIC = b"RPR1"
 #: Entries of a worker's table of runs; those met first stay when it is full.
-KEEP, FULL = 500_000, 1_000_000
+KEEP, FULL = 1_000_000, 2_000_000
 SLOT_BITS = 18
 
 
