@@ -190,9 +190,9 @@ def shard_bytes(docs: list[int | None], parts: list[np.ndarray]) -> bytes:
     ends = np.cumsum([len(p) for p in parts])
     first = int(ids.max()) + 1
     symbols, last, left, right, _ = compressed(ids, ends, first)
-    sizes = np.ones(first + len(left), dtype=np.int64)
-    for n in range(len(left)):
-        sizes[first + n] = sizes[left[n]] + sizes[right[n]]
+    sizes: list[int] = []
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        sizes.append((sizes[a - first] if a >= first else 1) + (sizes[b - first] if b >= first else 1))
     begins = np.concatenate([[0], np.flatnonzero(last) + 1]).astype("<i8")
     wide = 3 if first + len(left) < 1 << 24 else 4
     packed = symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide].tobytes()
@@ -202,7 +202,7 @@ def shard_bytes(docs: list[int | None], parts: list[np.ndarray]) -> bytes:
         np.array([d or 0 for d in docs], dtype="<i8").tobytes(),
         np.array([d is None for d in docs], dtype=np.uint8).tobytes(),
         begins.tobytes(), left.astype("<u4").tobytes(), right.astype("<u4").tobytes(),
-        sizes[first:].astype("<u4").tobytes(), packed])
+        np.array(sizes, dtype="<u4").tobytes(), packed])
 
 
 class Shard:
@@ -337,7 +337,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                         ids.append(shard.doc_id(n))
                         begin.append(at)
                         count.append(len(tokens))
-                        crc.append(zlib.crc32(tokens.astype("<u4").tobytes()))
+                        crc.append(zlib.crc32(tokens.astype("<u4", copy=False)))
                         at += len(tokens)
                 yield pa.record_batch({
                     "doc_id": pa.array(ids, pa.int64()), "start": pa.array(begin, pa.int64()),
