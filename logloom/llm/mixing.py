@@ -31,7 +31,7 @@ BLOCK = 128
 SHARD_SLOTS = 4096
 SEED = 20
 #: Documents of one source whose places are summed in one task.
-PLACED_TOGETHER = 50_000
+PLACED_TOGETHER = 5_000
 
 
 def targets(sized: DataFrame) -> DataFrame:
