@@ -38,6 +38,7 @@ WORDS = 3
 RADIUS = 2
 TILE = 4096
 PLANES_AT_ONCE = 8
+WORDS_AT_ONCE = 8192
 
 
 def shingle_hashes(text: str, words: int, seed: int) -> np.ndarray:
@@ -135,7 +136,7 @@ def close_pairs(prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, n
     one = np.uint64(0xFFFFFFFFFFFFFFFF)
     set_in = np.bitwise_count(planes).sum(axis=1, dtype=np.int64)
     mixed = np.flatnonzero((set_in > 0) & (set_in < n))  # the others never differ
-    step = max(1, 400_000 // lanes)
+    step = max(1, 200_000 // lanes)
     for low in range(0, n, step):
         high = min(n, low + step)
         query, lane = np.divmod(np.arange((high - low) * lanes), lanes)
@@ -158,10 +159,13 @@ def close_pairs(prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, n
                 sums = [s[alive] for s in sums]
             if not len(query):
                 break
-        if len(query):
-            near = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        # where all pairs are close a word has 64 of them, so few words are spelled out at once
+        for at in range(0, len(query), WORDS_AT_ONCE):
+            part = slice(at, at + WORDS_AT_ONCE)
+            near = np.unpackbits((~over[part]).view(np.uint8).reshape(-1, 8), axis=1,
+                                 bitorder="little")
             row, bit = np.nonzero(near)
-            i, j = query[row], lane[row] * 64 + bit
+            i, j = query[part][row], lane[part][row] * 64 + bit
             good = (j > i) & (j < n)
             if good.any():
                 yield i[good], j[good]
