@@ -13,6 +13,11 @@ two tiles meet in a task of their own. A bucket passes on a spanning forest of i
 
 Equal fingerprints are one row before anything is compared, so groups of copies cost nothing.
 
+For keeping one of several near copies the fingerprints only propose: documents that hang together
+within a bucket are compared by their sets of shingles, and only a pair that shares 0.8 of its
+union is linked. Documents with equal sets are one row, and each pass over a group compares one
+member with those not yet reached, so a group of near copies costs about one pass.
+
 Defined cases: NULL and empty texts have fingerprint zero, linked like any other. A text with
 fewer words than a shingle is one shingle. Rows without an id link like others but name no
 component; a class of such rows only has a NULL one. Rows that share an id are separate documents.
@@ -187,8 +192,8 @@ def forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return member, root[member]
 
 
-def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple]) -> DataFrame:
-    """Edges (a, b) between the `rep` of fingerprints, enough to connect all within the radius."""
+def meetings(prints: DataFrame, names: list[str], masks: list[tuple]) -> DataFrame:
+    """`all`: the fingerprints of each bucket, or of each two tiles of a large one."""
     keys = F.explode(F.array(*(
         F.struct(F.lit(t).alias("t"), *(
             F.col(n).bitwiseAND(F.lit(signed(m)).cast("long")).alias(f"k{i}")
@@ -205,17 +210,24 @@ def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple])
     meet = F.transform(F.sequence(F.lit(0), cuts - 1), lambda other: F.struct(
         F.least(own, other).alias("x"), F.greatest(own, other).alias("y")))
     rows = rows.withColumn("tile", F.explode(meet)).select("bucket", "tile", "rep", *names)
-    buckets = rows.groupBy("bucket", "tile").agg(
-        F.collect_list(F.struct("rep", *names)).alias("all")).filter(F.size("all") > 1)
+    return rows.groupBy("bucket", "tile").agg(
+        F.collect_list(F.struct("rep", *names)).alias("all")).filter(F.size("all") > 1).select("all")
+
+
+def met(column: pa.Array, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(reps, fingerprints, offsets) of a batch of `meetings`."""
+    flat = column.flatten()
+    bits = np.stack([flat.field(n).to_numpy().view(np.uint64) for n in names], axis=1)
+    return flat.field("rep").to_numpy(), bits, column.offsets.to_numpy() - column.offsets[0].as_py()
+
+
+def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple]) -> DataFrame:
+    """Edges (a, b) between the `rep` of fingerprints, enough to connect all within the radius."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            column = batch["all"]
-            flat = column.flatten()
-            reps = flat.field("rep").to_numpy()
-            bits = np.stack([flat.field(n).to_numpy().view(np.uint64) for n in names], axis=1)
-            offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
+            reps, bits, offsets = met(batch["all"], names)
             sizes = np.diff(offsets)
             for size in np.unique(sizes[sizes <= 4]):
                 at = offsets[:-1][sizes == size]
@@ -230,7 +242,7 @@ def links(prints: DataFrame, names: list[str], radius: int, masks: list[tuple])
             edges = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
             yield pa.record_batch({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
 
-    return buckets.select("all").mapInArrow(compare, "a long, b long")
+    return meetings(prints, names, masks).mapInArrow(compare, "a long, b long")
 
 
 def grouped(
@@ -260,13 +272,172 @@ def grouped(
     return rows.join(reps, on).select("doc_id", "_text", *names, "class", "component_id")
 
 
-#: For keeping one of several near copies: five-word shingles and 128 bits, of which at most
-#: `NEAR_RADIUS` differ: about what shingle sets that share 0.8 of their union lead to (19 or 20).
+#: For keeping one of several near copies: five-word shingles and 128 bits. Shingle sets that share
+#: 0.8 of their union differ in 19 or 20 bits on average, in over `NEAR_RADIUS` once in a thousand.
 NEAR_WORDS = 5
 NEAR_SEEDS = (42, 43)
-NEAR_RADIUS = 21
-NEAR_BITS = 16
-NEAR_TABLES = 24
+NEAR_RADIUS = 32
+NEAR_BITS = 14
+NEAR_TABLES = 64
+#: Shared part of the union of two shingle sets that are near copies, as a fraction.
+NEAR_SHARE = (4, 5)
+#: Fingerprints that are compared each with each, without bit planes.
+FEW = 192
+#: Shingles and members of a candidate group that one task holds of it, twice.
+TILE_SHINGLES = 1_000_000
+TILE_MEMBERS = 2048
+
+
+def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text or "", words, seed))
+
+
+def near_prints(docs: DataFrame) -> DataFrame:
+    """`doc_id, _text`, `rep` (digest of the shingle set), its `size`, and f0, f1 of the set."""
+    ship(docs.sparkSession)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[], [], [], []]
+            for text in batch["text"]:
+                own = shingle_set(text.as_py(), NEAR_WORDS, NEAR_SEEDS[0])
+                found[0].append(xxhash.xxh64_intdigest(own.tobytes()))
+                found[1].append(len(own))
+                found[2].append(fingerprint(own))
+                found[3].append(fingerprint(shingle_set(text.as_py(), NEAR_WORDS, NEAR_SEEDS[1])))
+            columns = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in found]
+            yield pa.record_batch({"doc_id": batch["doc_id"], "_text": batch["_text"]}
+                                  | dict(zip(("rep", "size", "f0", "f1"), columns, strict=True)))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64("text").alias("_text"), "text")
+    return rows.mapInArrow(
+        compute, "doc_id long, _text long, rep long, size long, f0 long, f1 long")
+
+
+def close_forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """`forest`, for few fingerprints by comparing all at once."""
+    if len(prints) > FEW:
+        return forest(prints, radius)
+    apart = np.bitwise_count(prints[:, None, 0] ^ prints[None, :, 0])
+    for k in range(1, prints.shape[1]):
+        apart = apart + np.bitwise_count(prints[:, None, k] ^ prints[None, :, k])
+    near = apart <= radius
+    root = np.arange(len(prints))
+    if np.count_nonzero(near) > len(prints):
+        while True:
+            least = np.where(near, root[None, :], len(prints)).min(axis=1)
+            if (least == root).all():
+                break
+            root = least
+    member = np.flatnonzero(root != np.arange(len(prints)))
+    return member, root[member]
+
+
+def candidates(prints: DataFrame, names: list[str], radius: int, masks: list[tuple]) -> DataFrame:
+    """`of, rep`: the fingerprints that hang together within a bucket, each such group once."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps, bits, offsets = met(batch["all"], names)
+            groups = []
+            sizes = np.diff(offsets)
+            at = offsets[:-1][sizes == 2]
+            near = np.bitwise_count(bits[at] ^ bits[at + 1]).sum(axis=1) <= radius
+            groups += [reps[x : x + 2] for x in at[near].tolist()]
+            for n in np.flatnonzero(sizes > 2):
+                own = slice(int(offsets[n]), int(offsets[n + 1]))
+                member, root = close_forest(bits[own], radius)
+                order = np.argsort(root, kind="stable")
+                member, root = member[order], root[order]
+                cut = np.flatnonzero(np.diff(root)) + 1
+                if len(root):
+                    firsts = root[np.concatenate([[0], cut])]
+                    groups += [reps[own][np.append(m, r)]
+                               for m, r in zip(np.split(member, cut), firsts, strict=True)]
+            groups = [np.sort(g) for g in groups]
+            names_of = np.array([xxhash.xxh64_intdigest(g.tobytes()) for g in groups], dtype=np.uint64)
+            yield pa.record_batch({
+                "of": pa.array(np.repeat(names_of, [len(g) for g in groups]).view(np.int64)),
+                "rep": pa.array(np.concatenate(groups) if groups else np.zeros(0, dtype=np.int64))})
+
+    return meetings(prints, names, masks).mapInArrow(compare, "of long, rep long").distinct()
+
+
+def verified(ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Edges that connect all sets with a chain of pairs sharing `NEAR_SHARE` of their union.
+
+    Set i is `ids[ends[i]:ends[i + 1]]`, no value twice; none is empty. Every pair that is not
+    connected by others is compared.
+    """
+    part, whole = NEAR_SHARE
+    values, ids = np.unique(ids, return_inverse=True)
+    sizes = np.diff(ends)
+    mine = np.zeros(len(values), dtype=bool)
+    left, queue = np.arange(len(sizes)), []
+    rest, starts = ids, ends[:-1]
+    while len(left):
+        x = queue.pop() if queue else int(left[-1])
+        own = ids[ends[x] : ends[x + 1]]
+        mine[own] = True
+        shared = np.add.reduceat(mine[rest], starts, dtype=np.int64)
+        mine[own] = False
+        good = whole * shared >= part * (sizes[x] + sizes[left] - shared)
+        for y in left[good].tolist():
+            if y != x:
+                queue.append(y)
+                yield x, y
+        if good.any():
+            rest = rest[np.repeat(~good, sizes[left])]
+            left = left[~good]
+            starts = np.cumsum(sizes[left]) - sizes[left]
+
+
+def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between the `rep` of candidates whose shingle sets are near copies."""
+    names = [f"f{i}" for i in range(len(NEAR_SEEDS))]
+    masks = sampled_masks(len(NEAR_SEEDS), NEAR_BITS, NEAR_TABLES)
+    # one document, with an id if there is one, stands for those with equal sets
+    some = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text"))
+    reps = stored(rows.filter("size > 0").groupBy("rep", "size", *names).agg(
+        some.alias("one")), "reps")
+    found = stored(candidates(reps, names, NEAR_RADIUS, masks), "candidates")
+    wanted = reps.join(found.select("rep").distinct(), "rep", "left_semi").select(
+        F.col("one.doc_id").alias("_id"), F.col("one._text").alias("_text"), "rep")
+    texts = packed(docs.select("doc_id", "text")).join(wanted, same_row()).select(
+        "rep", F.col("_row.text").alias("text"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), NEAR_WORDS, NEAR_SEEDS[0]).view(np.int64)
+                    for t in batch["text"]]
+            yield pa.record_batch({"rep": batch["rep"], "shingles": pa.array(
+                sets, type=pa.list_(pa.int64()))})
+
+    sets = texts.mapInArrow(split, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    members = found.join(reps.select("rep", "size"), "rep")
+    cuts = F.greatest(F.ceil(F.sum("size") / TILE_SHINGLES), F.ceil(F.count("rep") / TILE_MEMBERS))
+    large = members.groupBy("of").agg(cuts.cast("int").alias("cuts")).filter("cuts > 1")
+    members = members.join(large, "of", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("cuts")).cast("int")
+    meet = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda other: F.struct(
+        F.least(own, other).alias("x"), F.greatest(own, other).alias("y")))
+    members = members.withColumn("tile", F.explode(meet)).select("of", "tile", "rep")
+    groups = members.join(sets, "rep").groupBy("of", "tile").agg(
+        F.collect_list(F.struct("rep", "shingles")).alias("all")).filter(F.size("all") > 1)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = []
+            for group in batch["all"]:
+                flat = group.values
+                reps, lists = flat.field("rep").to_numpy(), flat.field("shingles")
+                ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                edges += [(reps[x], reps[y]) for x, y in verified(lists.flatten().to_numpy(), ends)]
+            both = np.array(edges, dtype=np.int64).reshape(-1, 2)
+            yield pa.record_batch({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+
+    return groups.select("all").mapInArrow(compare, "a long, b long")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -274,9 +445,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A row without an id stays only if no copy of it has one.
     """
-    masks = sampled_masks(len(NEAR_SEEDS), NEAR_BITS, NEAR_TABLES)
-    rows = stored(grouped(docs, NEAR_WORDS, NEAR_SEEDS, NEAR_RADIUS, masks), "groups")
-    rows = rows.select(F.col("doc_id").alias("_id"), "_text", "class")
+    rows = stored(near_prints(docs), "prints")
+    found = components(near_links(docs, rows))
+    rows = stored(rows.join(found, F.col("rep") == F.col("node"), "left").select(
+        F.col("doc_id").alias("_id"), "_text", F.coalesce("component", "rep").alias("class")), "groups")
     own = F.struct(F.col("_id").isNull(), "_id", "_text")
     first = rows.groupBy("class").agg(F.min(own).alias("first"))
     gone = rows.join(first, "class").filter(~own.eqNullSafe(F.col("first"))).select("_id", "_text")

@@ -124,6 +124,58 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).collect() == []
 
 
+def shingles(text):
+    found = text.lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def test_near_copies_are_those_that_share_enough_shingles(spark):
+    rng = random.Random(12)
+    rows, near, clean = [], set(), set()
+    for n in range(400):
+        base = prose(rng, 300)
+        share = rng.choice((0.6, 0.7, 0.76, 0.79, 0.81, 0.85, 0.9))
+        other = base[: round(300 * 2 * share / (1 + share))]
+        other += prose(rng, 300 - len(other))
+        a, b = shingles(" ".join(base)), shingles(" ".join(other))
+        (near if 5 * len(a & b) >= 4 * len(a | b) else clean).add(10 * n + 1)
+        rows += [(10 * n, " ".join(base), "en", "a"), (10 * n + 1, " ".join(other), "en", "a")]
+    kept = {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()}
+    assert clean <= kept and {10 * n for n in range(400)} <= kept
+    assert len(near & kept) <= 0.03 * len(near)
+
+
+def test_verified_sets_equal_brute_force():
+    rng = random.Random(13)
+    sets = []
+    for _ in range(30):
+        base = rng.sample(range(500), 40)
+        sets += [{*rng.sample(base, rng.randint(30, 40))} for _ in range(rng.randint(1, 5))]
+    rng.shuffle(sets)
+    ends = np.cumsum([0, *map(len, sets)])
+    edges = list(simhash.verified(np.array([x for s in sets for x in sorted(s)]), ends))
+    assert all(5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]) for x, y in edges)
+    root = list(range(len(sets)))
+    for _ in sets:
+        for x, y in edges:
+            root[x] = root[y] = min(root[x], root[y])
+    want = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if 5 * len(a & b) >= 4 * len(a | b):
+                    want[i] = want[j] = min(want[i], want[j])
+    assert root == want
+
+
+def test_large_candidate_groups_are_tiled(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE_MEMBERS", 5)
+    rng = random.Random(14)
+    base = prose(rng, 300)
+    rows = [(n, " ".join([*base[:n], "other", *base[n + 1 :]]), "en", "a") for n in range(40)]
+    assert [r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()] == [0]
+
+
 def test_leaks_exact_substituted_partial(spark):
     rng = random.Random(7)
     items = [(i, " ".join(prose(rng, n)).capitalize() + ".") for i, n in enumerate((14, 30, 60, 9))]
