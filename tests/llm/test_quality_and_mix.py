@@ -117,6 +117,23 @@ def test_clean_stays_and_junk_goes(spark):
     assert {r.doc_id for r in rows if r.kept} == {g[0] for g in good}
 
 
+def test_repetition_the_base_rule_lets_pass_is_an_outlier(spark):
+    rng = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9)))
+                        for _ in range(n))
+
+    good = [(i, prose(rng.randint(60, 900)), "en", "s") for i in range(300)]
+    good += [(500, f"{prose(23)}\n{(line := prose(9))}\n{prose(23)}\n{line}", "en", "s")]
+    junk = [(1000, prose(520) + "\n" + f"{prose(5)}\n" * 96, "en", "s"),
+            (1001, prose(520) + "\n" + f"{prose(10)}\n" * 48, "en", "s"),
+            (1002, prose(520) + f" {prose(240)}" * 2, "en", "s")]
+    rows = outliers.quality(documents(spark, good + junk)).collect()
+    assert not any(r.base_failed for r in rows)
+    assert {r.doc_id for r in rows if r.kept} == {g[0] for g in good}
+
+
 def stated_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
     names += [None] if None in sizes else []
