@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from logloom.llm import (
     chat,
     decontaminate,
+    interactions,
     langid,
     mixing,
     outliers,
     repair,
+    repairs,
     simhash,
     surrogates,
     tokens,
     warc,
+    wrappers,
 )
 from logloom.llm.common import table
 
@@ -151,3 +154,62 @@ def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return surrogates.replaced(docs, key="op3").select(
         "doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
+
+
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), read AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY t) AS first_id FROM texts
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+    CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN read.doc_id > first_id THEN 16 ELSE 0 END AS mask
+  FROM read LEFT JOIN marks ON read.doc_id = marks.doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM failed GROUP BY part, mask
+), letters(c, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits, a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), steps AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INTEGER AS step)
+)
+SELECT part, filter_order, step,
+  sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN mask & own > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN bad ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(CASE WHEN mask & own > 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM cells, steps GROUP BY part, filter_order, step
+"""
+
+
+@query(AUDIT_SQL)
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove in every order, for every source."""
+    return interactions.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op12_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extracted(table(spark, folder, "pages"))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation damaged, and what repairs it at the least cost."""
+    conversations = table(spark, folder, "conversations")
+    return repairs.all_conversations(conversations, repairs.repair(repairs.damaged(conversations)))
