@@ -1,10 +1,10 @@
 """Filter interaction audit over a sparse document-term matrix.
 
-Tasks read whole texts into shards of documents, each with a vocabulary of its own: a row of the
-shard counts the words of one document by place in that vocabulary. The vocabularies, a row for
-each word and shard, meet by word and get the words' columns, which are the same in all shards;
-with these the shards become compressed sparse rows (`matrix`). A word has at most one row for
-each shard however often it occurs, so no word is a hot key.
+Tasks read whole texts into shards of documents in compressed sparse rows, whose entries point
+into the shard's list of words. The words' columns are global: a word is encoded by a 64-bit hash,
+so every shard knows its columns without asking, and the dictionary of all words is built to prove
+that no two of them share a code (otherwise the next seed is taken). The dictionary has a row for
+a word and shard however often it occurs, combined before the shuffle, so no word is a hot key.
 
 Row sums are the words of a document, nonzero counts its distinct words; they decide two filters.
 The flags of the others are attached, documents are counted by the set of filters that they fail,
@@ -31,7 +31,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,61 +110,28 @@ def shards(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(fill, LOCAL_DDL), "shards")
 
 
-def dictionary(local: DataFrame) -> DataFrame:
-    """(word, column, shard, place): one row for each word of each shard's vocabulary.
+def code(word: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), word)
 
-    Equal words lie beside each other in one task, which numbers the different ones it has.
-    """
-    ship(local.sparkSession)
-    listed = local.select("shard", F.posexplode("vocabulary").alias("place", "word"))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        column, last = (TaskContext.get().partitionId() << 40) - 1, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = batch.column("word")
-            new = np.ones(len(words), bool)
-            new[0] = words[0].as_py() != last
-            new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
-            columns = column + np.cumsum(new)
-            column, last = int(columns[-1]), words[len(words) - 1].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [words, pa.array(columns, pa.int64()), batch.column("shard"), batch.column("place")],
-                names=["word", "column", "shard", "place"])
-
-    ordered = listed.repartition("word").sortWithinPartitions("word")
-    return ordered.mapInArrow(number, "word binary, column long, shard long, place int")
+def dictionary(local: DataFrame, seed: int) -> DataFrame:
+    """Every `column`, and whether all words that it stands for are `alike`."""
+    words = local.select(F.explode("vocabulary").alias("word"))
+    # told by another 64 bits: aggregates of numbers need no sort
+    coded = words.select(code(F.col("word"), seed).alias("column"), code(F.col("word"), ~seed).alias("check"))
+    return coded.groupBy("column").agg((F.min("check") == F.max("check")).alias("alike"))
 
 
 def matrix(docs: DataFrame) -> DataFrame:
-    """The document-term matrix: `shard`, `facts` of its rows, `indptr`, `columns`, `counts`.
+    """The document-term matrix: `shard`, `facts`, `vocabulary`, `indptr`, `places`, `counts`, `columns`.
 
-    Row r of a shard has the entries from `indptr[r]` to `indptr[r + 1]`.
+    Row r of a shard has the entries e from `indptr[r]` to `indptr[r + 1]`; entry e says that the
+    word of column `columns[places[e]]` occurs `counts[e]` times.
     """
-    local = shards(docs)
-    columns = dictionary(local).groupBy("shard").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "column"))),
-                    lambda x: x["column"]).alias("known"))
-    both = local.drop("vocabulary").join(
-        columns.withColumnRenamed("shard", "_shard"), F.col("shard") == F.col("_shard"), "left")
-
-    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                row = batch.slice(n, 1)
-                known, places = (row.column(c).flatten().to_numpy(zero_copy_only=False)
-                                 for c in ("known", "places"))
-                named = known.astype(np.int64)[places]
-                yield pa.RecordBatch.from_arrays(
-                    [row.column("shard"), row.column("facts"), row.column("indptr"),
-                     pa.ListArray.from_arrays([0, len(named)], pa.array(named, pa.int64())),
-                     row.column("counts")],
-                    names=["shard", "facts", "indptr", "columns", "counts"])
-
-    kind = f"shard long, facts {FACTS_DDL}, indptr array<long>, columns array<long>, counts array<int>"
-    wanted = both.select("shard", "facts", "indptr", "places", "counts", "known")
-    return stored(wanted.mapInArrow(rename, kind), "matrix")
+    local, seed = shards(docs), 0
+    while dictionary(local, seed).filter("NOT alike").limit(1).count():
+        seed += 1
+    return local.withColumn("columns", F.transform("vocabulary", lambda w: code(w, seed)))
 
 
 def failures(made: DataFrame) -> DataFrame:
