@@ -79,8 +79,8 @@ class Shard:
             (SYMBOLS.search(raw) is not None) << 3)
         self.facts.append((doc_id, source or "", flags, hashlib.blake2b(raw, digest_size=16).digest()))
 
-    def full(self) -> bool:
-        return len(self.places) >= SHARD_WORDS or self.indptr[-1] >= SHARD_ENTRIES
+    def full(self, words: int, entries: int) -> bool:
+        return len(self.places) >= words or self.indptr[-1] >= entries
 
     def batch(self, number: int) -> pa.RecordBatch:
         facts = pa.StructArray.from_arrays(
@@ -94,13 +94,14 @@ class Shard:
 def shards(docs: DataFrame) -> DataFrame:
     """Documents in shards, counted by the words of the shard's own vocabulary; computed once."""
     ship(docs.sparkSession)
+    limits = SHARD_WORDS, SHARD_ENTRIES
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, shard, made = TaskContext.get().partitionId() << 32, Shard(), 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "text"))):
                 shard.add(*row)
-                if shard.full():
+                if shard.full(*limits):
                     yield shard.batch(first + made)
                     shard, made = Shard(), made + 1
         if shard.facts:

@@ -87,7 +87,7 @@ def described(turns: list[tuple]) -> list[tuple[str, bool, bool]]:
 
 def segments_of(rows: DataFrame) -> DataFrame:
     """Turns in order, cut into segments with the moves between stack tops; computed once."""
-    spark = rows.sparkSession
+    spark, bound = rows.sparkSession, SEGMENT
     ship(spark)
 
     def segment(conv, place, turns, alone) -> tuple:
@@ -108,16 +108,16 @@ def segments_of(rows: DataFrame) -> DataFrame:
 
         for got in batches:
             for row in zip(*(got.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "n", "fault"))):
-                if turns and (row[0] != conv or length >= SEGMENT):
+                if turns and (row[0] != conv or length >= bound):
                     ready.append(segment(conv, place, turns, sure))
                     # a conversation that begins inside a task begins with its first turn
                     place, turns, length, sure = place + 1, [], 0, row[0] != conv
                 conv = row[0]
                 left = row[4]
-                while length + left > 2 * SEGMENT:  # a row with very many copies
-                    turns.append((*row[1:4], SEGMENT, row[5]))
+                while length + left > 2 * bound:  # a row with very many copies
+                    turns.append((*row[1:4], bound, row[5]))
                     ready.append(segment(conv, place, turns, sure))
-                    place, turns, length, sure, left = place + 1, [], 0, False, left - SEGMENT
+                    place, turns, length, sure, left = place + 1, [], 0, False, left - bound
                     row = (*row[:5], row[5] if row[5] == BLANK else DUPLICATE)
                 turns.append((*row[1:4], left, row[5]))
                 length, size = length + left, size + len(row[3])
