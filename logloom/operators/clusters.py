@@ -111,21 +111,30 @@ def _with_policy(df: DataFrame, options: RouteOptions) -> DataFrame:
     )
 
 
+def effective_changes(changes: DataFrame, options: RouteOptions) -> DataFrame:
+    """Changes that have an effect: `host, ts, seq, action, state`."""
+    return classify_changes(changes, options).filter("action <> 'ignore'").select(
+        F.col("name").alias("host"), "ts", "seq", "action", "state"
+    )
+
+
 def current_routes(changes: DataFrame, options: RouteOptions) -> DataFrame:
     """One row per live cluster: the latest effective change decides. Partial aggregation."""
-    effective = classify_changes(changes, options).filter("action <> 'ignore'")
-    last = effective.groupBy(F.col("name").alias("host")).agg(
-        F.max_by(F.struct("action", "state"), "seq").alias("last")
-    )
+    return routes_of(effective_changes(changes, options), options)
+
+
+def routes_of(effective: DataFrame, options: RouteOptions) -> DataFrame:
+    last = effective.groupBy("host").agg(F.max_by(F.struct("action", "state"), "seq").alias("last"))
     live = last.filter("last.action = 'keep'").select("host", "last.state")
     return _with_policy(live, options)
 
 
 def route_history(changes: DataFrame, options: RouteOptions, width: int = DAY) -> DataFrame:
     """Intervals `[valid_from, valid_to)` of every live route; the open end is NULL."""
-    effective = classify_changes(changes, options).filter("action <> 'ignore'").select(
-        F.col("name").alias("host"), "ts", "seq", "action", "state"
-    )
+    return history_of(effective_changes(changes, options), options, width)
+
+
+def history_of(effective: DataFrame, options: RouteOptions, width: int = DAY) -> DataFrame:
     ended = neighbour(effective, ["host"], ["ts", "seq"], {"ts": "valid_to"}, True, width)
     live = ended.filter("action = 'keep' and (valid_to is null or valid_to > ts)")
     return _with_policy(

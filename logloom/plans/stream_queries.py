@@ -12,7 +12,7 @@ from logloom.operators.parse import json_records
 from logloom.options import RouteOptions
 from logloom.plans import views
 from logloom.plans.oracle import CHANGES, KUBE_EVENTS, LEDGER, LOGS, sql
-from logloom.plans.registry import query
+from logloom.plans.registry import ORACLES, query
 from logloom.session import checkpoint_dir
 from logloom.streaming import jobs
 
@@ -41,6 +41,18 @@ def streamed_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{work}/ledger").select("record_id", "host", "disposition")
 
 
+@query(ORACLES["delivery_ledger_as_of"])
+def streamed_ledger_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of changes kept by one query; another gives each record the route of its own time."""
+    work = _workspace(spark)
+    events = views.stream_of(spark, folder, "events")
+    _drain(views.cluster_changes_of(events), jobs.keep_routes(f"{work}/routes", OPTIONS, 2), f"{work}/c1")
+    deliver = jobs.route_records(
+        work, OPTIONS, lambda: jobs.known_history(spark, f"{work}/routes", OPTIONS), as_of=True)
+    _drain(json_records(views.raw_logs_of(events)), deliver, f"{work}/c2")
+    return spark.read.parquet(f"{work}/ledger").select("record_id", "host", "disposition")
+
+
 @query(sql("""
 SELECT make_timestamp(CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600000000) AS tick, host,
   count(*) AS records FROM hosted WHERE NOT failed GROUP BY ALL""", LOGS))
@@ -66,16 +78,20 @@ def streamed_kubernetes_events(spark: SparkSession, folder: str) -> DataFrame:
     return shown.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-@query(sql("SELECT count(*) AS records, count(DISTINCT event_id) AS ids FROM events"))
+@query(sql("""
+SELECT event_type, count(*) AS records, count(DISTINCT CASE WHEN event_id % 7 <> 0 THEN event_id END) AS ids
+FROM (SELECT *, unnest(range(CASE WHEN event_id % 7 = 0 AND event_id % 3 = 0 THEN 2 ELSE 1 END)) FROM events)
+GROUP BY event_type"""))
 def streamed_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    """Every third record is sent twice and stored once."""
+    """Every third record is sent twice and stored once, unless it is one of those without an id."""
     work = _workspace(spark)
     events = views.stream_of(spark, folder, "events")
     copies = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )
-    sent = events.select("ts", F.col("event_id").alias("record_id"), F.explode(copies).alias("copy"))
+    own_id = F.when(F.col("event_id") % 7 != 0, F.col("event_id"))
+    sent = events.select("ts", "event_type", own_id.alias("record_id"), F.explode(copies).alias("copy"))
     _drain(sent, jobs.deliver_once(f"{work}/out"), f"{work}/c")
-    return spark.read.parquet(f"{work}/out").agg(
+    return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("records"), F.count_distinct("record_id").alias("ids")
     )

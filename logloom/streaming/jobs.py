@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logloom.functions.once import once
-from logloom.operators import clusters, counters, otel, routing
+from logloom.operators import bloom, clusters, counters, otel, routing
 from logloom.options import RouteOptions
+from logloom.session import settle
 from logloom.sources.readers import spread_if_narrow
 from logloom.sources.sinks import sink_for
+from logloom.streaming.log import BatchLog
 
 Deliver = Callable[[DataFrame, int], None]
 
@@ -32,97 +34,104 @@ def start(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def deliver_once(path: str) -> Deliver:
-    """Store each record one time however often and late it comes, by `record_id` and day of `ts`.
-
-    A repeat has the time of its first copy, so only the days in a batch are looked up, by
-    partition. A batch that runs again replaces its own folder and does not see it.
-    """
-
-    def deliver(records: DataFrame, batch_id: int) -> None:
-        batch = records.dropDuplicates(["record_id"]).withColumn("day", F.to_date("ts"))
-        known = committed_batches(records.sparkSession, path, batch_id)
-        if known:
-            days = [r.day for r in records.select(F.to_date("ts").alias("day")).distinct().collect()]
-            stored = records.sparkSession.read.option("basePath", path).parquet(*known)
-            stored = stored.filter(F.col("day").isin(days) | F.col("day").isNull())
-            batch = batch.join(stored.select("record_id"), "record_id", "left_anti")
-        batch.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
-
-    return deliver
+def _day(ts: str = "ts"):
+    """The group of a stored file: its day, empty without one."""
+    return F.coalesce(F.to_date(ts).cast("string"), F.lit(""))
 
 
-def _listed(spark: SparkSession, pattern: str) -> list:
-    """Hadoop paths that match, on whatever file system they are."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath() for s in store.globStatus(path) or ()]
+def files_holding(records: DataFrame, path: str, before: int) -> list[str]:
+    """Stored files of batches below `before` that may hold a record of `records`."""
+    index = BatchLog(records.sparkSession, f"{path}/_index").read(before)
+    if index is None:
+        return []
+    wanted = settle(records.select(_day().alias("group"), F.col("record_id").cast("string").alias("item")))
+    days = wanted.select("group").distinct()
+    return bloom.files_with_any(index.join(F.broadcast(days), "group", "left_semi"), wanted)
 
 
-def _numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
-    """Folders `name=N` below `path` whose write was committed."""
-    done = (p.getParent() for p in _listed(spark, f"{path}/{name}=*/_SUCCESS"))
-    return {int(p.getName().partition("=")[2]): p.toString() for p in done}
+def deliver_once(path: str, merge_every: int = 64) -> Deliver:
+    """Store each record one time however often and late it comes, by `record_id` and day of `ts`.
 
+    A repeat has the time of its first copy. An index of Bloom filters by stored file, one delta a
+    batch, tells which files of those days may hold a record of this batch; only these are opened. A
+    batch that runs again replaces its own files and does not see them. A record without an id is
+    no repeat of another: all are stored.
+    """
 
-def committed_batches(spark: SparkSession, path: str, before: int) -> list[str]:
-    return [p for n, p in sorted(_numbered(spark, path, "batch_id").items()) if n < before]
+    def deliver(records: DataFrame, batch_id: int) -> None:
+        spark = records.sparkSession
+        named = records.filter("record_id IS NOT NULL").dropDuplicates(["record_id"])
+        batch = settle(named.unionByName(records.filter("record_id IS NULL")))
+        files = files_holding(batch, path, batch_id)
+        new = batch
+        if files:
+            known = spark.read.parquet(*files).select("record_id").filter("record_id IS NOT NULL")
+            new = batch.join(known, "record_id", "left_anti").select(*batch.columns)
+        folder = f"{path}/batch_id={batch_id}"
+        new.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(folder)
+        written = spark.read.schema(batch.schema).parquet(folder)
+        log = BatchLog(spark, f"{path}/_index")
+        log.append(bloom.index_of(written.select(
+            _day().alias("group"), F.col("_metadata.file_path").alias("file"),
+            F.col("record_id").cast("string").alias("item"))), batch_id)
+        if merge_every and batch_id % merge_every == merge_every - 1:
+            log.merge()
 
+    return deliver
 
-#: Snapshots before the newest that stay, for readers that opened one.
-KEPT_VERSIONS = 2
 
 # --- routes --------------------------------------------------------------------------------
 
 
-def keep_routes(path: str) -> Deliver:
-    """Maintain the last change per cluster as numbered snapshots under `path`."""
+def keep_routes(path: str, options: RouteOptions = RouteOptions(), merge_every: int = 64) -> Deliver:
+    """Keep the effective cluster changes as a log: a batch writes its own changes and no more."""
 
     def deliver(changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        known = changes.select("seq", "name", "op", "deletion_ts", "shoot_json")
-        versions = {n: p for n, p in _numbered(spark, path, "version").items() if n < batch_id}
-        if versions:
-            known = known.unionByName(spark.read.parquet(versions[max(versions)]))
-        _last_changes(known).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        for n in sorted(versions)[:-KEPT_VERSIONS]:
-            old = spark._jvm.org.apache.hadoop.fs.Path(versions[n])
-            store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            store.delete(old, True)
+        log = BatchLog(changes.sparkSession, path)
+        log.append(clusters.effective_changes(changes, options), batch_id)
+        if merge_every and batch_id % merge_every == merge_every - 1:
+            log.merge()
 
     return deliver
 
 
-def _last_changes(changes: DataFrame) -> DataFrame:
-    """Per cluster only the last change that has an effect is needed later."""
-    effective = clusters.classify_changes(
-        changes.withColumn("shoot_copy", F.col("shoot_json")), RouteOptions()
-    ).filter("action <> 'ignore'")
-    row = F.struct("seq", "op", "deletion_ts", F.col("shoot_copy").alias("shoot_json"))
-    return effective.groupBy("name").agg(F.max_by(row, "seq").alias("r")).select("name", "r.*")
+def kept_changes(spark: SparkSession, path: str) -> DataFrame:
+    """All effective changes known now, each once."""
+    return BatchLog(spark, path).read().dropDuplicates(["host", "seq"])
 
 
 def latest_routes(spark: SparkSession, path: str, options: RouteOptions) -> DataFrame:
-    """Routes of the newest committed snapshot."""
-    versions = _numbered(spark, path, "version")
-    return clusters.current_routes(spark.read.parquet(versions[max(versions)]), options)
+    """The routes of now."""
+    return clusters.routes_of(kept_changes(spark, path), options)
+
+
+def known_history(spark: SparkSession, path: str, options: RouteOptions) -> DataFrame:
+    """The intervals of all routes, for records that come late."""
+    return clusters.history_of(kept_changes(spark, path), options)
 
 
 # --- records -------------------------------------------------------------------------------
 
 
 def route_records(
-    path: str, options: RouteOptions, routes: Callable[[], DataFrame | None]
+    path: str, options: RouteOptions, routes: Callable[[], DataFrame | None], as_of: bool = False
 ) -> Deliver:
     """Decide and deliver each micro-batch with the routes known when it runs.
 
+    With `as_of`, `routes` gives the known history, and a record gets the route of its own time
+    however late it comes.
+
     Writes the ledger and its counters, and hands the records to the sink of their client type.
     The ledger is written first and read back, so a batch is parsed and decided one time.
     """
 
     def deliver(records: DataFrame, batch_id: int) -> None:
         spread = spread_if_narrow(records, "record_id")
-        decided = routing.ledger(spread, routes(), options, settled=True)
+        known = routes()  # computed once: joins measure it first
+        if as_of:
+            decided = routing.ledger_as_of(spread, known, options)
+        else:
+            decided = routing.ledger(spread, None if known is None else settle(known), options, settled=True)
         folder = f"{path}/ledger/batch_id={batch_id}"
         flat = decided.withColumn("record", F.to_json("fields")).drop("fields")
         flat.write.mode("overwrite").parquet(folder)
