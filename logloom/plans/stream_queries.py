@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators import kube_events, routing
+from logloom.operators import clusters, kube_events, routing
 from logloom.operators.parse import json_records
 from logloom.options import RouteOptions
 from logloom.plans import views
@@ -95,3 +95,14 @@ def streamed_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("records"), F.count_distinct("record_id").alias("ids")
     )
+
+
+@query(sql("SELECT host, to_shoot, to_seed FROM routes", CHANGES))
+def streamed_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Mute flags of every live cluster, held in keyed state."""
+    work = _workspace(spark)
+    jobs.use_state_store(spark)
+    changes = views.cluster_changes_of(views.stream_of(spark, folder, "events"))
+    flags = jobs.mute_flags(clusters.effective_changes(changes, OPTIONS), OPTIONS)
+    _drain(flags, jobs.keep_flags(f"{work}/flags"), f"{work}/c", mode="update")
+    return jobs.kept_flags(spark, f"{work}/flags")

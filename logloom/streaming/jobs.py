@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from logloom.functions.once import once
 from logloom.operators import bloom, clusters, counters, otel, routing
@@ -180,3 +180,81 @@ def count_batches(path: str, *by: str, every: str = "30 seconds") -> Deliver:
 def interval_counts(spark: SparkSession, path: str, *by: str) -> DataFrame:
     """Sums over all batches of `count_batches`."""
     return spark.read.parquet(path).groupBy("tick", *by).agg(F.sum("records").alias("records"))
+
+
+# --- mute flags ----------------------------------------------------------------------------
+
+FLAGS = "host string, seq bigint, live boolean, to_shoot boolean, to_seed boolean"
+
+
+def flags_processor(policy: dict[str, tuple[bool, bool]]) -> StatefulProcessor:
+    """The processor of `mute_flags`. Its class is made here, so it travels to the workers by value."""
+
+    class Flags(StatefulProcessor):
+        """One row of state per cluster: the change that decided last, and the two flags it left."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("flags", "seq bigint, live boolean, to_shoot boolean, to_seed boolean")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            seq, live, shoot, seed = self.state.get() or (-1, False, False, False)
+            before = seq
+            for changes in rows:
+                for change in changes.sort_values("seq").itertuples():
+                    if change.seq <= seq:  # late or repeated
+                        continue
+                    seq = int(change.seq)
+                    if change.action == "remove":
+                        live, shoot, seed = False, False, False
+                        continue
+                    # an unknown state keeps the flags; a new cluster with one starts with both off
+                    live, (shoot, seed) = True, policy.get(change.state, (shoot, seed))
+            if seq != before:
+                self.state.update((seq, live, shoot, seed))
+                yield pd.DataFrame({"host": [key[0]], "seq": [seq], "live": [live], "to_shoot": [shoot],
+                                    "to_seed": [seed]})
+
+        def close(self) -> None:
+            pass
+
+    return Flags()
+
+
+def mute_flags(effective: DataFrame, options: RouteOptions) -> DataFrame:
+    """Flags of every cluster that a micro-batch changes, from state kept by cluster.
+
+    `effective` is a stream with `host, seq, action, state`. The session must use the RocksDB state
+    store (`use_state_store`).
+    """
+    policy = {state: tuple(pair) for state, pair in options.policy.items()}
+    return effective.select("host", "seq", "action", "state").groupBy("host").transformWithStateInPandas(
+        flags_processor(policy), outputStructType=FLAGS, outputMode="Update", timeMode="None")
+
+
+def use_state_store(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def keep_flags(path: str, merge_every: int = 64) -> Deliver:
+    """Keep the changed flags as a log, merged to one row per cluster."""
+
+    def deliver(flags: DataFrame, batch_id: int) -> None:
+        log = BatchLog(flags.sparkSession, path)
+        log.append(flags, batch_id)
+        if merge_every and batch_id % merge_every == merge_every - 1:
+            log.merge(_newest)
+
+    return deliver
+
+
+def _newest(flags: DataFrame) -> DataFrame:
+    last = flags.groupBy("host").agg(F.max_by(F.struct("seq", "live", "to_shoot", "to_seed"), "seq").alias("f"))
+    return last.select("host", "f.*")
+
+
+def kept_flags(spark: SparkSession, path: str) -> DataFrame:
+    """`host, to_shoot, to_seed` of every live cluster."""
+    return _newest(BatchLog(spark, path).read()).filter("live").select("host", "to_shoot", "to_seed")

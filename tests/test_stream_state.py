@@ -106,3 +106,25 @@ def test_late_records_get_the_route_of_their_time(spark, parts, tmp_path):
     now = jobs.latest_routes(spark, f"{work}/r", OPTIONS)
     want = clusters.current_routes(views.cluster_changes(spark, TESTDATA), OPTIONS)
     assert now.exceptAll(want).isEmpty() and want.exceptAll(now).isEmpty()
+
+
+def test_flags_survive_a_restart_and_an_unknown_state(spark, tmp_path):
+    work, schema = str(tmp_path), "host string, seq bigint, action string, state string"
+    jobs.use_state_store(spark)
+
+    def run(rows):
+        n = len(list((tmp_path / "in").glob("*"))) if (tmp_path / "in").exists() else 0
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{work}/in/part={n}")
+        stream = spark.readStream.schema(schema).parquet(f"{work}/in")
+        jobs.start(jobs.mute_flags(stream, OPTIONS), jobs.keep_flags(f"{work}/flags", 2), f"{work}/c",
+                   mode="update").awaitTermination()
+        return {r.host: (r.to_shoot, r.to_seed) for r in jobs.kept_flags(spark, f"{work}/flags").collect()}
+
+    assert run([("a", 2, "keep", "hibernated"), ("a", 1, "keep", "ready"), ("b", 3, "keep", "migration"),
+                ("n", 4, "keep", None)]) == {"a": (False, False), "b": (True, True), "n": (False, False)}
+    # a state nobody knows keeps what was there, also after a restart; late changes do nothing
+    assert run([("b", 7, "keep", "melting"), ("a", 1, "keep", "creation"), ("c", 8, "keep", "ready")]) == {
+        "a": (False, False), "b": (True, True), "n": (False, False), "c": (True, False)}
+    assert run([("b", 9, "remove", None), ("a", 10, "keep", "waking"), ("c", 11, "keep", "odd")]) == {
+        "a": (True, False), "n": (False, False), "c": (True, False)}
+    assert spark.read.parquet(f"{work}/flags/delta=2").count() == 3
