@@ -1,7 +1,7 @@
 """Ordered windows over keys of any size.
 
-A plain window puts a whole key into one task. Here a key is cut into slices of time that hold at
-most `ROWS` rows each: spans of the given width, and shorter ones where rows were counted to be
+A plain window puts a whole key into one task. That is what happens if no key has more than `ROWS`
+rows, which is counted first. Beyond, a key is cut into slices of time that hold at most `ROWS` each: spans of the given width, and shorter ones where rows were counted to be
 denser. Each slice is one window group, and what a slice needs from earlier ones comes from a
 summary with one row per key and slice. Keys are never NULL.
 """
@@ -30,6 +30,13 @@ ROWS = 1_000_000
 SECOND, MINUTE = 1_000_000, 60_000_000
 
 
+def measured(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
+    """`df`, computed once, and whether each of its keys is few enough rows for one window group."""
+    df = settle(df)
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return df, (largest or 0) <= ROWS
+
+
 def cut(df: DataFrame, keys: list[str], ts: str, width: int, rows: int | None = None) -> DataFrame:
     """Add `_slice`, the first microsecond of a row's slice.
 
@@ -89,12 +96,16 @@ def neighbour(
 
     `columns` maps a source column to the name its neighbour value gets.
     """
+    df, small = measured(df, keys)
+    shift = F.lead if ahead else F.lag
+    if small:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(*df.columns, *(shift(c).over(whole).alias(n) for c, n in columns.items()))
     sliced = cut(df, keys, order[0], width)
     position, row = F.struct(*order), F.struct(*columns)
     edge = F.min_by(row, position) if ahead else F.max_by(row, position)
     summary = sliced.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
     across = Window.partitionBy(*keys).orderBy("_slice")
-    shift = F.lead if ahead else F.lag
     joined = _with_carry(sliced, keys, summary, {"_carry": shift("_edge").over(across)})
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     near = F.coalesce(shift(row).over(inside), F.col("_carry"))
@@ -118,6 +129,11 @@ def running(
     `totals` maps an output name to (`"sum"` or `"max"`, column). Rows must be distinct in
     `order`.
     """
+    df, small = measured(df, keys)
+    if small:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *(
+            _COMBINE[how](c).over(whole).alias(n) for n, (how, c) in totals.items()))
     sliced = cut(df, keys, order[0], width)
     summary = sliced.groupBy(*keys, "_slice").agg(
         *(_COMBINE[how](c).alias(f"_part_{n}") for n, (how, c) in totals.items())

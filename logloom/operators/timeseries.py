@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.once import let
 from logloom.functions.values import micros
-from logloom.operators.slices import HOUR, neighbour, running
+from logloom.operators.slices import HOUR, measured, neighbour, running
 
 # Thresholds and service level targets.
 WARNING = {"queue_size": 400.0, "export_latency": 5.0, "error_rate": 0.01}
@@ -36,13 +37,15 @@ def series_key(labels: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(labels))))
 
 
+def _grown(value: Column, before: Column) -> Column:
+    """Increase since the sample before; after a reset that is the new value."""
+    return F.when(value < before, value).otherwise(value - before)
+
+
 def increases(df: DataFrame, width: int = HOUR) -> DataFrame:
-    """Add `increase` since the previous sample; after a reset that is the new value."""
+    """Add `increase` since the previous sample."""
     df = neighbour(df, ["series"], ["ts"], {"value": "_previous"}, width=width)
-    grown = F.when(F.col("value") < F.col("_previous"), F.col("value")).otherwise(
-        F.col("value") - F.col("_previous")
-    )
-    return df.withColumn("increase", grown).drop("_previous")
+    return df.withColumn("increase", _grown(F.col("value"), F.col("_previous"))).drop("_previous")
 
 
 def _met(df: DataFrame, sample_at: Column, marker_at: Column, inclusive: bool, value: Column,
@@ -64,17 +67,36 @@ def _met(df: DataFrame, sample_at: Column, marker_at: Column, inclusive: bool, v
         "_row.*", F.col("_last._value").alias(name))
 
 
-def rate(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
-    """Add per-second `rate` over the last `seconds` at every sample (no extrapolation).
+def rates(df: DataFrame, columns: dict[str, str], seconds: int, width: int = HOUR) -> DataFrame:
+    """Add per-second rates of several counters over the last `seconds` at every sample.
 
-    The increase within a window is the difference of its running sums at both ends.
+    `columns` maps a counter to the name of its rate. The increase within a window is the
+    difference of its running sums at both ends (no extrapolation). If every series fits one
+    window group, lag and both sums come from one sort; their frames begin with the series, so
+    the cost does not depend on how many samples a window holds.
     """
-    grown = F.coalesce("increase", F.lit(0.0))
-    counted = running(increases(df, width), ["series"], ["ts"], {"_sum": ("sum", grown)}, width)
-    at = micros(F.col("ts"))
-    both = _met(counted, at, at - seconds * 1_000_000, False, F.col("_sum"), "_before", width)
-    inside = F.col("_sum") - F.coalesce("_before", F.lit(0.0))
-    return both.withColumn("rate", inside / seconds).drop("increase", "_sum", "_before")
+    df, small = measured(df, ["series"])
+    at, span = micros(F.col("ts")), seconds * 1_000_000
+    grown = {f"_sum_{c}": F.coalesce(_grown(F.col(c), F.col(f"_was_{c}")), F.lit(0.0)) for c in columns}
+    if small:
+        order = Window.partitionBy("series").orderBy("_at")
+        lagged = df.withColumn("_at", at).withColumns({f"_was_{c}": F.lag(c).over(order) for c in columns})
+        upto = order.rangeBetween(Window.unboundedPreceding, 0)
+        before = order.rangeBetween(Window.unboundedPreceding, -span - 1)
+        found = {name: (F.sum(f"_sum_{c}").over(upto) - F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0.0)))
+                 / seconds for c, name in columns.items()}
+        return lagged.withColumns(grown).select(*df.columns, *(v.alias(n) for n, v in found.items()))
+    lagged = neighbour(df, ["series"], ["ts"], {c: f"_was_{c}" for c in columns}, width=width)
+    counted = running(lagged, ["series"], ["ts"], {n: ("sum", g) for n, g in grown.items()}, width)
+    both = _met(counted, at, at - span, False, F.struct(*grown), "_before", width)
+    found = {name: (F.col(f"_sum_{c}") - F.coalesce(F.col("_before")[f"_sum_{c}"], F.lit(0.0))) / seconds
+             for c, name in columns.items()}
+    return both.select(*df.columns, *(v.alias(n) for n, v in found.items()))
+
+
+def rate(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
+    """Add per-second `rate` of `value` over the last `seconds` at every sample."""
+    return rates(df, {"value": "rate"}, seconds, width)
 
 
 def delta(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
@@ -82,8 +104,13 @@ def delta(df: DataFrame, seconds: int, width: int = HOUR) -> DataFrame:
 
     The oldest value is the last one at or before the window's start with time turned round.
     """
-    back = -micros(F.col("ts"))
-    both = _met(df, back, back + seconds * 1_000_000, True, F.col("value"), "_oldest", width)
+    df, small = measured(df, ["series"])
+    back, span = -micros(F.col("ts")), seconds * 1_000_000
+    if small:
+        seen = Window.partitionBy("series").orderBy("_at").rangeBetween(Window.unboundedPreceding, span)
+        oldest = F.last("value").over(seen)
+        return df.withColumn("_at", back).select(*df.columns, (F.col("value") - oldest).alias("delta"))
+    both = _met(df, back, back + span, True, F.col("value"), "_oldest", width)
     return both.withColumn("delta", F.expr("value - _oldest")).drop("_oldest")
 
 
@@ -120,17 +147,65 @@ def histogram_quantile(buckets: DataFrame, q: float, keys: list[str], value: str
     )
 
 
+def bucket_quantiles(counts: Column, bounds: tuple[float, ...], qs: tuple[float, ...]) -> Column:
+    """Quantiles of one histogram: `counts` is an array of cumulative counts by bound.
+
+    A count below its predecessor (a bucket reset or scraped apart) is raised to it. Linear inside
+    a bucket; in the infinite bucket the highest finite bound; NULL if the histogram is empty.
+    """
+    les = F.lit([float(b) for b in bounds])
+    start = F.array().cast("array<double>")
+    steady = F.aggregate(counts, start, lambda done, x: F.array_append(done, F.greatest(
+        x, F.coalesce(F.get(done, F.size(done) - 1), F.lit(0.0)))))
+
+    def quantile(found: Column, q: float) -> Column:
+        total = F.get(found, F.size(found) - 1)
+        rank = total * q
+        at = F.get(F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.get(found, i) >= rank), F.lit(0))
+        bound, floor = F.get(les, at), F.get(les, at - 1)
+        low = F.coalesce(floor, F.when(bound > 0, F.lit(0.0)).otherwise(bound))
+        below = F.coalesce(F.get(found, at - 1), F.lit(0.0))
+        inside = low + (bound - low) * F.try_divide(rank - below, F.get(found, at) - below)
+        point = F.when(bound == float("inf"), floor).otherwise(F.coalesce(inside, bound))
+        return F.when(total > 0, point)
+
+    return let(steady, lambda found: F.array(*(quantile(found, q) for q in qs)))
+
+
+def rate_quantiles(
+    histograms: DataFrame, bounds: tuple[float, ...], seconds: int, qs: tuple[float, ...], width: int = HOUR
+) -> DataFrame:
+    """`series, ts, q, quantile`: `histogram_quantile(q, rate(bucket[seconds]))` for all `qs` at once.
+
+    `histograms` has one row per series and moment with the cumulative counters `buckets`, an array
+    by bound. Each bucket has its own resets; all share one order of the series.
+    """
+    names = {f"_b{i}": f"_r{i}" for i in range(len(bounds))}
+    spread = histograms.select("series", "ts", *(
+        F.get("buckets", F.lit(i)).alias(c) for i, c in enumerate(names)))
+    rated = rates(spread, names, seconds, width)
+    found = bucket_quantiles(F.array(*names.values()), bounds, qs)
+    point = F.arrays_zip(F.lit(list(qs)).alias("q"), found.alias("quantile"))
+    return rated.select("series", "ts", F.inline(point)).toDF("series", "ts", "q", "quantile")
+
+
 def held(
     df: DataFrame, condition: Column, seconds: int | Column, width: int = HOUR
 ) -> DataFrame:
     """Add `active` (condition), `active_since` and `firing`: true without a break for at
     least `seconds` at this sample."""
     df = df.withColumn("active", F.coalesce(condition, F.lit(False)))
-    df = neighbour(df, ["series"], ["ts"], {"active": "_before"}, width=width)
+    df, small = measured(df, ["series"])
     begins = F.col("active") & ~F.coalesce("_before", F.lit(False))
-    df = running(
-        df, ["series"], ["ts"], {"_start": ("max", F.when(begins, F.col("ts")))}, width
-    )
+    if small:
+        order = Window.partitionBy("series").orderBy("ts")
+        start = F.max(F.when(begins, F.col("ts"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        df = df.withColumn("_before", F.lag("active").over(order)).withColumn("_start", start)
+    else:
+        df = neighbour(df, ["series"], ["ts"], {"active": "_before"}, width=width)
+        df = running(
+            df, ["series"], ["ts"], {"_start": ("max", F.when(begins, F.col("ts")))}, width
+        )
     since = F.when(F.col("active"), F.col("_start"))
     long_enough = micros(F.col("ts")) - micros(since) >= seconds * 1_000_000
     return df.withColumns(
