@@ -147,13 +147,12 @@ def histogram_quantile(buckets: DataFrame, q: float, keys: list[str], value: str
     )
 
 
-def bucket_quantiles(counts: Column, bounds: tuple[float, ...], qs: tuple[float, ...]) -> Column:
-    """Quantiles of one histogram: `counts` is an array of cumulative counts by bound.
+def bucket_quantiles(counts: Column, les: Column, qs: tuple[float, ...]) -> Column:
+    """Quantiles of one histogram: arrays of cumulative counts and of their bounds, ascending.
 
     A count below its predecessor (a bucket reset or scraped apart) is raised to it. Linear inside
     a bucket; in the infinite bucket the highest finite bound; NULL if the histogram is empty.
     """
-    les = F.lit([float(b) for b in bounds])
     start = F.array().cast("array<double>")
     steady = F.aggregate(counts, start, lambda done, x: F.array_append(done, F.greatest(
         x, F.coalesce(F.get(done, F.size(done) - 1), F.lit(0.0)))))
@@ -172,6 +171,15 @@ def bucket_quantiles(counts: Column, bounds: tuple[float, ...], qs: tuple[float,
     return let(steady, lambda found: F.array(*(quantile(found, q) for q in qs)))
 
 
+def histogram_quantiles(buckets: DataFrame, qs: tuple[float, ...], keys: list[str], value: str) -> DataFrame:
+    """`keys`, `q`, `quantile` for all `qs` at once, from cumulative buckets (keys, `le`, `value`)."""
+    rows = F.array_sort(F.collect_list(F.struct("le", F.col(value).alias("n"))))
+    listed = buckets.groupBy(*keys).agg(rows.alias("_rows"))
+    found = bucket_quantiles(F.transform("_rows", lambda r: r["n"]), F.transform("_rows", lambda r: r["le"]), qs)
+    return listed.select(*keys, F.inline(F.arrays_zip(F.lit(list(qs)), found))).toDF(*keys, "q", "quantile").filter(
+        "quantile IS NOT NULL")
+
+
 def rate_quantiles(
     histograms: DataFrame, bounds: tuple[float, ...], seconds: int, qs: tuple[float, ...], width: int = HOUR
 ) -> DataFrame:
@@ -184,9 +192,9 @@ def rate_quantiles(
     spread = histograms.select("series", "ts", *(
         F.get("buckets", F.lit(i)).alias(c) for i, c in enumerate(names)))
     rated = rates(spread, names, seconds, width)
-    found = bucket_quantiles(F.array(*names.values()), bounds, qs)
-    point = F.arrays_zip(F.lit(list(qs)).alias("q"), found.alias("quantile"))
-    return rated.select("series", "ts", F.inline(point)).toDF("series", "ts", "q", "quantile")
+    found = bucket_quantiles(F.array(*names.values()), F.lit([float(b) for b in bounds]), qs)
+    return rated.select("series", "ts", F.inline(F.arrays_zip(F.lit(list(qs)), found))).toDF(
+        "series", "ts", "q", "quantile")
 
 
 def held(
@@ -292,23 +300,55 @@ def last_value(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def service_levels(df: DataFrame) -> DataFrame:
-    """Service levels over one row per interval and series.
+def _daily_availability(up: DataFrame) -> DataFrame:
+    """`series, day`: microseconds up and microseconds known. A sample holds until the next one."""
+    held_until = neighbour(up, ["series"], ["ts", "value"], {"ts": "_until"}, ahead=True)
+    start, end = F.col("ts"), F.col("_until")
+    last = (end - F.expr("INTERVAL 1 MICROSECOND")).cast("date")
+    days = held_until.filter(end > start).select(
+        "series", "ts", "_until", "value", F.explode(F.sequence(start.cast("date"), last)).alias("day"))
+    midnight = micros(F.col("day").cast("timestamp_ntz"))
+    inside = F.least(micros(end), midnight + 86_400_000_000) - F.greatest(micros(start), midnight)
+    return days.groupBy("series", "day").agg(
+        F.sum(F.when(F.col("value") > 0, inside).otherwise(0)).alias("up"), F.sum(inside).alias("known"))
+
 
-    Columns: `up`, `errors`, `enqueued`, `p95`, `dropped`. One result row with the four
-    measures and whether each meets its target.
+def service_levels(
+    up: DataFrame, traffic: DataFrame, bounds: tuple[float, ...], days: int = SLO_DAYS
+) -> DataFrame:
+    """Service levels of every series over the `days` that end with each day.
+
+    `up`: samples (series, ts, value), a step function. `traffic`: counters (series, ts, `errors`,
+    `enqueued`, `dropped` and the latency `buckets`, an array by bound), which may reset. Availability is the
+    share of known time that was up; p95 comes from the histograms merged over the window. Days
+    add up first; a window is the difference of two running totals, a row per series and day.
     """
-    measured = df.agg(
-        F.avg("up").alias("availability"),
-        F.try_divide(F.sum("errors"), F.sum("enqueued")).alias("error_ratio"),
-        F.max("p95").alias("worst_p95"),
-        F.sum("dropped").alias("dropped"),
-    )
-    return measured.withColumns(
+    counters = {f"_b{i}": F.get("buckets", F.lit(i)) for i in range(len(bounds))}
+    plain = ("errors", "enqueued", "dropped")
+    flat = traffic.select("series", "ts", *plain, *(v.alias(n) for n, v in counters.items()))
+    names = [*plain, *counters]
+    grown = neighbour(flat, ["series"], ["ts"], {n: f"_was_{n}" for n in names})
+    more = {n: F.coalesce(_grown(F.col(n), F.col(f"_was_{n}")), F.lit(0.0)) for n in names}
+    moved = grown.groupBy("series", F.col("ts").cast("date").alias("day")).agg(
+        *(F.sum(v).alias(n) for n, v in more.items()))
+    daily = moved.join(_daily_availability(up), ["series", "day"], "full")
+    ends = daily.groupBy("series").agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    calendar = ends.select("series", F.explode(F.sequence("a", "b")).alias("day"))
+    sums = [*names, "up", "known"]
+    order = Window.partitionBy("series").orderBy("day")
+    every = calendar.join(daily, ["series", "day"], "left").fillna(0, sums)
+    total = every.select("series", "day", *(F.sum(n).over(order).alias(n) for n in sums))
+    inside = total.select("series", "day", *(
+        (F.col(n) - F.lag(n, days, 0).over(order)).alias(n) for n in sums))
+    p95 = F.get(bucket_quantiles(F.array(*counters), F.lit([float(b) for b in bounds]), (0.95,)), F.lit(0))
+    measured_ = inside.select(
+        "series", "day", F.try_divide("up", "known").alias("availability"),
+        F.try_divide("errors", "enqueued").alias("error_ratio"), p95.alias("p95"), "dropped")
+    return measured_.withColumns(
         {
             "availability_met": F.col("availability") >= AVAILABILITY_TARGET,
             "errors_met": F.col("error_ratio") < ERROR_RATIO_TARGET,
-            "latency_met": F.col("worst_p95") < LATENCY_TARGET,
+            "latency_met": F.col("p95") < LATENCY_TARGET,
             "no_loss": F.col("dropped") == 0,
         }
     )

@@ -71,13 +71,60 @@ quantiles AS (
 SELECT series, ts, q, round(quantile, 6) AS quantile FROM quantiles""", BUCKETS))
 def latency_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     """p50, p95 and p99 from cumulative buckets."""
-    buckets = views.latency_buckets(spark, folder)
-    result = None
-    for q in (0.5, 0.95, 0.99):
-        one = timeseries.histogram_quantile(buckets, q, ["series", "ts"], "value")
-        one = one.withColumn("q", F.lit(q))
-        result = one if result is None else result.unionByName(one)
-    return result.withColumn("quantile", F.round("quantile", 6))
+    found = timeseries.histogram_quantiles(
+        views.latency_buckets(spark, folder), (0.5, 0.95, 0.99), ["series", "ts"], "value")
+    return found.withColumn("quantile", F.round("quantile", 6))
+
+
+# counters of a service (a quarter of the users) or type of event, from hourly counts
+TRAFFIC = """
+hours AS (
+  SELECT KEY AS series, date_trunc('hour', ts) AS ts, le, count(*) FILTER (value <= le) AS n,
+    count(*) AS enqueued, count(*) FILTER (event_type = 'error') AS errors,
+    count(*) FILTER (event_id % 97 = 0) AS dropped
+  FROM events, (SELECT unnest([1, 5, 10, 25, 50, 100, 'infinity'::DOUBLE]) AS le) GROUP BY ALL),
+counters AS (
+  SELECT series, ts, le, sum(n) OVER w AS n, sum(enqueued) OVER w AS enqueued,
+    sum(errors) OVER w AS errors, sum(dropped) OVER w AS dropped
+  FROM hours WINDOW w AS (PARTITION BY series, le, floor(epoch(ts) / 360000) ORDER BY ts)),
+grown AS (
+  SELECT series, ts, le,
+    coalesce(CASE WHEN n < lag(n) OVER w THEN n ELSE n - lag(n) OVER w END, 0) AS n,
+    coalesce(CASE WHEN enqueued < lag(enqueued) OVER w THEN enqueued
+      ELSE enqueued - lag(enqueued) OVER w END, 0) AS enqueued,
+    coalesce(CASE WHEN errors < lag(errors) OVER w THEN errors
+      ELSE errors - lag(errors) OVER w END, 0) AS errors,
+    coalesce(CASE WHEN dropped < lag(dropped) OVER w THEN dropped
+      ELSE dropped - lag(dropped) OVER w END, 0) AS dropped
+  FROM counters WINDOW w AS (PARTITION BY series, le ORDER BY ts))"""
+
+
+def point(q: str, *keys: str) -> str:
+    """Quantile `q` of the histograms `steady` (keys, le, n), n ascending with le."""
+    by = ", ".join(keys)
+    return f"""
+placed AS (
+  SELECT *, coalesce(lag(n) OVER w, 0) AS below, lag(le) OVER w AS low,
+    max(n) OVER (PARTITION BY {by}) AS total FROM steady WINDOW w AS (PARTITION BY {by} ORDER BY le)),
+points AS (
+  SELECT {by}, {q} AS q, arg_min(CASE WHEN isinf(le) THEN low ELSE coalesce(low, 0)
+      + (le - coalesce(low, 0)) * (total * {q} - below) / nullif(n - below, 0) END, le)
+    FILTER (total > 0 AND n >= total * {q}) AS quantile
+  FROM placed, (SELECT unnest([0.5::DOUBLE, 0.95, 0.99]) AS q) GROUP BY ALL)"""
+
+
+@query(sql("""
+SELECT series, ts, q, round(quantile, 6) AS quantile FROM points""", TRAFFIC.replace("KEY", "event_type"), """
+steady AS (
+  SELECT series, ts, le, max(rate) OVER (PARTITION BY series, ts ORDER BY le) AS n FROM (
+    SELECT series, ts, le, sum(n) OVER (PARTITION BY series, le ORDER BY ts
+      RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW) / 21600 AS rate FROM grown))""",
+           point("q", "series", "ts")))
+def latency_rate_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """p50, p95 and p99 of the rates of a histogram's counters over six hours."""
+    histograms = views.traffic_counters(spark, folder, F.col("event_type"))
+    found = timeseries.rate_quantiles(histograms, views.BOUNDS, 21_600, (0.5, 0.95, 0.99))
+    return found.withColumn("quantile", F.round("quantile", 6))
 
 
 HELD = """
@@ -171,26 +218,53 @@ def threshold_levels(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("samples"))
 
 
+LEVELS = """
+ups AS (
+  SELECT series, ts, v, lead(ts) OVER (PARTITION BY series ORDER BY ts, v) AS until FROM (
+    SELECT user_id % 4 AS series, ts, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS v FROM events)),
+pieces AS (
+  SELECT series, v, day, epoch_us(least(until, day + INTERVAL 1 DAY)) - epoch_us(greatest(ts, day)) AS us
+  FROM (SELECT *, unnest(generate_series(date_trunc('day', ts),
+      date_trunc('day', until - INTERVAL 1 MICROSECOND), INTERVAL 1 DAY)) AS day FROM ups WHERE until > ts)),
+known AS (SELECT series, day, sum(us * v) AS up, sum(us) AS known FROM pieces GROUP BY ALL),
+moved AS (
+  SELECT series, date_trunc('day', ts) AS day, le, sum(n) AS n, sum(enqueued) AS enqueued,
+    sum(errors) AS errors, sum(dropped) AS dropped FROM grown GROUP BY ALL),
+calendar AS (
+  SELECT series, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day
+  FROM (SELECT series, day FROM known UNION ALL SELECT series, day FROM moved) GROUP BY series),
+spans AS (SELECT unnest([7, 30]) AS days),
+summed AS (
+  SELECT c.series, c.day, days, le, sum(n) AS n, sum(enqueued) AS enqueued, sum(errors) AS errors,
+    sum(dropped) AS dropped
+  FROM calendar c, spans, moved m WHERE m.series = c.series AND m.day <= c.day
+    AND m.day > c.day - to_days(days) GROUP BY ALL),
+uptime AS (
+  SELECT c.series, c.day, days, sum(up) / sum(known) AS availability FROM calendar c, spans, known k
+  WHERE k.series = c.series AND k.day <= c.day AND k.day > c.day - to_days(days) GROUP BY ALL),
+steady AS (
+  SELECT series, day, days, le, max(n) OVER (PARTITION BY series, day, days ORDER BY le) AS n FROM summed)"""
+
+
 @query(sql("""
-SELECT round(avg(up), 9) AS availability, round(sum(errors) / sum(enqueued), 9) AS error_ratio,
-  max(p95) AS worst_p95, CAST(sum(dropped) AS BIGINT) AS dropped,
-  avg(up) >= 0.999 AS availability_met, sum(errors) / sum(enqueued) < 0.001 AS errors_met,
-  max(p95) < 5 AS latency_met, sum(dropped) = 0 AS no_loss
-FROM (SELECT date_trunc('hour', ts) AS hour, 1.0::DOUBLE AS up,
-    CAST(count(*) FILTER (event_type = 'error') AS DOUBLE) AS errors,
-    CAST(count(*) AS DOUBLE) AS enqueued, max(value) AS p95,
-    count(*) FILTER (event_id % 97 = 0) AS dropped
-  FROM events GROUP BY ALL)"""))
+SELECT series, CAST(day AS DATE) AS day, days, round(availability, 9) AS availability,
+  round(errors / nullif(enqueued, 0), 9) AS error_ratio, round(quantile, 6) AS p95,
+  CAST(dropped AS BIGINT) AS dropped, availability >= 0.999 AS availability_met,
+  errors / nullif(enqueued, 0) < 0.001 AS errors_met, quantile < 5 AS latency_met, dropped = 0 AS no_loss
+FROM (SELECT * FROM summed WHERE isinf(le)) JOIN points USING (series, day, days)
+  LEFT JOIN uptime USING (series, day, days) WHERE q = 0.95""",
+           TRAFFIC.replace("KEY", "user_id % 4"), LEVELS, point("q", "series", "day", "days")))
 def service_levels(spark: SparkSession, folder: str) -> DataFrame:
-    """Availability, error ratio, latency and loss against their targets."""
-    e = views.table(spark, folder, "events")
-    hourly = e.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp"))).agg(
-        F.count_if(F.col("event_type") == "error").cast("double").alias("errors"),
-        F.count(F.lit(1)).cast("double").alias("enqueued"), F.max("value").alias("p95"),
-        F.count_if(F.col("event_id") % 97 == 0).alias("dropped"), F.lit(1.0).alias("up"),
-    )
-    levels = timeseries.service_levels(hourly)
-    return levels.withColumns({c: F.round(c, 9) for c in ("availability", "error_ratio")})
+    """Availability, error ratio, p95 and loss of every service over the last 7 and 30 days, each day."""
+    service = F.col("user_id") % 4
+    up = settle(views.up_samples(spark, folder, service))
+    traffic = settle(views.traffic_counters(spark, folder, service))
+    found = None
+    for days in (7, timeseries.SLO_DAYS):
+        one = timeseries.service_levels(up, traffic, views.BOUNDS, days).withColumn("days", F.lit(days))
+        found = one if found is None else found.unionByName(one)
+    rounded = {c: F.round(c, n) for c, n in (("availability", 9), ("error_ratio", 9), ("p95", 6))}
+    return found.withColumns(rounded).withColumn("dropped", F.col("dropped").cast("bigint"))
 
 
 @query(sql("""

@@ -288,3 +288,29 @@ def latency_buckets(spark: SparkSession, folder: str) -> DataFrame:
           for i, b in enumerate(BOUNDS))
     )
     return counts.select("series", "ts", F.inline(pairs))
+
+
+def _reset_hourly(hourly: DataFrame, *columns: str) -> DataFrame:
+    """Counts of an hour as counters that begin anew every 100 hours."""
+    epoch = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 360_000)
+    so_far = Window.partitionBy("series", epoch).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    return hourly.select("series", "ts", *(F.sum(c).over(so_far).alias(c) for c in columns))
+
+
+def traffic_counters(spark: SparkSession, folder: str, series: Column) -> DataFrame:
+    """Hourly counters of `series` with a histogram of values: (series, ts, errors, enqueued, dropped, buckets)."""
+    e = table(spark, folder, "events")
+    tick = F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    bounds = {f"b{i}": F.count_if(F.col("value") <= b) for i, b in enumerate(BOUNDS)}
+    counts = {"errors": F.count_if(F.col("event_type") == "error"), "enqueued": F.count(F.lit(1)),
+              "dropped": F.count_if(F.col("event_id") % 97 == 0), **bounds}
+    hourly = e.groupBy(series.alias("series"), tick.alias("ts")).agg(
+        *(v.cast("double").alias(n) for n, v in counts.items()))
+    return _reset_hourly(hourly, *counts).select(
+        "series", "ts", "errors", "enqueued", "dropped", F.array(*bounds).alias("buckets"))
+
+
+def up_samples(spark: SparkSession, folder: str, series: Column) -> DataFrame:
+    """Whether each event of `series` was no error, as samples of a step function."""
+    return table(spark, folder, "events").select(
+        series.alias("series"), "ts", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"))
