@@ -39,3 +39,10 @@ def overflow(depths: DataFrame, max_queue: int, seconds: int = 30) -> DataFrame:
         .agg(F.max("depth").alias("peak"), F.count(F.lit(1)).alias("samples"))
         .select("endpoint", F.col("tick.start").alias("tick"), "peak", "samples")
     )
+
+
+def rejected(depths: DataFrame, max_queue: int) -> DataFrame:
+    """Records that a queue of `max_queue` would have turned away, per endpoint: those whose entry
+    took the depth above the limit."""
+    return depths.groupBy("endpoint").agg(
+        F.count_if((F.col("change") > 0) & (F.col("depth") > max_queue)).alias("rejected"))

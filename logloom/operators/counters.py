@@ -17,11 +17,12 @@ WITHOUT_METADATA = "logs_without_metadata_total"
 ERRORS = "errors_total"
 DROPPED = "dropped_logs_total"
 OUTPUT = "output_client_logs_total"
-EXPORTED = "exported_client_logs_total"
-THROTTLED = "throttled_logs_total"
 CLIENTS = "clients_total"
 MISSING_METADATA_TYPE = "Kubernetes"
 INVALID_KEY = "InvalidRecordKey"
+QUEUE_FULL = "queue_full"
+#: Not a fixed value: lines of a source that are no record.
+MALFORMED_LINE = "MalformedLine"
 
 
 def _increment(metric: str, label: Column, reason: Column | None = None) -> Column:
@@ -71,6 +72,28 @@ def invalid_key_errors(records: DataFrame) -> DataFrame:
     )
 
 
+def malformed_lines(corrupt: DataFrame) -> DataFrame:
+    """Lines that did not parse (`source`, `line`), as an error counter."""
+    return corrupt.groupBy(F.concat(F.lit(f"{MALFORMED_LINE}:"), "source").alias("label")).agg(
+        F.count(F.lit(1)).alias("value")).select(
+        F.lit(ERRORS).alias("metric"), "label", F.lit("").alias("reason"), "value")
+
+
+def queue_full(rejected: DataFrame) -> DataFrame:
+    """Records that a full queue turned away (`endpoint`, `rejected`), as a drop counter."""
+    return rejected.filter("rejected > 0").select(
+        F.lit(DROPPED).alias("metric"), F.col("endpoint").alias("label"), F.lit(QUEUE_FULL).alias("reason"),
+        F.col("rejected").cast("bigint").alias("value"))
+
+
+def summed(*parts: DataFrame) -> DataFrame:
+    """One frame of counters from several, of sources or of batches."""
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("metric", "label", "reason").agg(F.sum("value").alias("value")).filter("value > 0")
+
+
 def clients(routes: DataFrame, controller_seed: bool = True) -> DataFrame:
     """Live destinations by type: routes, plus the seed client of plugin and controller."""
     shoot = routes.agg(F.count(F.lit(1)).alias("value")).select(

@@ -68,10 +68,11 @@ def normal_time(source: Column, unix_seconds: Column | None = None) -> Column:
     return F.coalesce(*choices, F.current_timestamp())
 
 
-def container_lines(df: DataFrame, line: str = "value") -> DataFrame:
+def container_lines(df: DataFrame, line: str = "value", arrival: str = "file_ts") -> DataFrame:
     """`<time> <stdout|stderr> <logtag> <message>`; a line of another form is kept as `log`.
 
-    Adds the four parts, a parsed `ts` and the fraction in `nanos`.
+    Adds the four parts, `ts` and the fraction in `nanos`. Every line has a time: its own, else
+    that of the column `arrival` if there is one, else now.
     """
     parts = F.split(F.col(line), " ", 4)
     fits = (
@@ -80,6 +81,8 @@ def container_lines(df: DataFrame, line: str = "value") -> DataFrame:
         & F.get(parts, F.lit(1)).isin("stdout", "stderr")
     )
 
+    arrived = [F.col(arrival).cast("timestamp")] if arrival in df.columns else []
+
     def part(i: int) -> Column:
         return F.when(fits, F.get(parts, F.lit(i)))
 
@@ -93,10 +96,10 @@ def container_lines(df: DataFrame, line: str = "value") -> DataFrame:
             "logtag": part(2),
             "message": part(3),
             "log": F.when(~F.coalesce(fits, F.lit(False)), F.col(line)),
-            "ts": F.try_to_timestamp(part(0)),
+            "ts": F.coalesce(F.try_to_timestamp(part(0)), *arrived, F.current_timestamp()),
             "nanos": nanos,
         }
-    ).drop(line)
+    ).drop(line, arrival)
 
 
 def container_records(df: DataFrame) -> DataFrame:

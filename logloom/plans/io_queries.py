@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators import clusters, collectors, otel, routing
+from logloom.operators import buffer, clusters, collectors, counters, otel, routing, search, select
+from logloom.operators.stored import stored_logs
 from logloom.options import RouteOptions
 from logloom.plans import views
 from logloom.plans.oracle import CHANGES, KUBE_EVENTS, LEDGER, LOGS, SAMPLES, sql
 from logloom.plans.registry import query
-from logloom.plans.routing_queries import COLLECTORS
+from logloom.plans.routing_queries import (
+    COLLECTORS,
+    COUNTERS_SQL,
+    ID_PATTERN,
+    QUEUE,
+    STORED,
+    invalid_key_errors,
+    queue_depths,
+)
 from logloom.session import checkpoint_dir
-from logloom.sources import readers, sinks
+from logloom.sources import readers, records, sinks
 
 OPTIONS = RouteOptions()
 
@@ -95,6 +105,65 @@ def kube_event_feed(spark: SparkSession, folder: str) -> DataFrame:
                         "count")
 
 
+MALFORMED = """
+SELECT 'errors_total' AS metric, 'MalformedLine:journal' AS label, '' AS reason, count(*) AS value
+FROM conversations WHERE conv_id % 5 = 2
+UNION ALL
+SELECT 'errors_total', 'MalformedLine:kubernetes', '', count(*) FROM orders WHERE o_orderkey % 7 = 3"""
+
+
+def cut_lines(rows: DataFrame, lost: Column, path: str) -> None:
+    """Store rows as JSON lines; of those that are `lost` the end is missing."""
+    line = F.to_json(F.struct(*(c for c in rows.columns if c != "lost")))
+    rows = rows.withColumn("lost", lost)
+    short = F.substring(line, F.lit(1), F.length(line) - 1 - F.length(line) % 9)
+    rows.select(F.when(F.col("lost"), short).otherwise(line).alias("value")).write.text(path)
+
+
+def feeds_with_cut_lines(spark: SparkSession, folder: str, path: str) -> dict[str, DataFrame]:
+    """Lines of a journal and of Kubernetes events, some cut off, by source."""
+    cut_lines(views.journal(spark, folder).drop("record_id", "ts", "nanos", "tag"),
+              F.col("_PID").cast("bigint") % 5 == 2, f"{path}/journal")
+    number = F.regexp_extract("name", "([0-9]+)$", 1).cast("bigint")
+    cut_lines(views.kube_events(spark, folder), number % 7 == 3, f"{path}/kubernetes")
+    return {"journal": readers.json_lines(spark.read, f"{path}/journal", readers.JOURNAL_SCHEMA),
+            "kubernetes": readers.json_lines(spark.read, f"{path}/kubernetes", readers.KUBE_EVENT_SCHEMA)}
+
+
+@query(sql(MALFORMED))
+def malformed_line_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that do not parse, counted by source as errors."""
+    feeds = feeds_with_cut_lines(spark, folder, _workspace(spark))
+    return counters.summed(*(counters.malformed_lines(readers.corrupt(rows, name))
+                             for name, rows in feeds.items()))
+
+
+@query(sql("""
+SELECT namespace, 'event-' || o_orderkey AS name, CAST(o_orderkey % 4 AS INTEGER) AS count
+FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'kube-system' WHEN 1 THEN 'default'
+        ELSE 'other' END AS namespace FROM orders) WHERE o_orderkey % 7 <> 3"""))
+def events_beside_cut_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Kubernetes events of a feed in which some lines are cut off: the others, and no row of NULLs."""
+    path = _workspace(spark)
+    feeds_with_cut_lines(spark, folder, path)
+    return readers.kube_events(spark.read, f"{path}/kubernetes").select("namespace", "name", "count")
+
+
+@query(sql(f"{COUNTERS_SQL} UNION ALL {MALFORMED} UNION ALL " + """
+SELECT 'errors_total', 'InvalidRecordKey', '', count(*) FROM part WHERE p_size % 7 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'dropped_logs_total', endpoint, 'queue_full', count(*) FROM depths
+WHERE change > 0 AND depth > 20 GROUP BY endpoint""", LOGS, CHANGES, LEDGER, QUEUE))
+def all_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every error and drop reason that a table here has, and all other record counters, in one frame."""
+    routes = clusters.current_routes(views.cluster_changes(spark, folder), OPTIONS)
+    ledger = routing.ledger(views.logs(spark, folder), routes, replace(OPTIONS, seed_type="noop"))
+    feeds = feeds_with_cut_lines(spark, folder, _workspace(spark))
+    return counters.summed(
+        counters.ledger_counters(ledger), invalid_key_errors(spark, folder),
+        counters.queue_full(buffer.rejected(queue_depths(spark, folder), 20)),
+        *(counters.malformed_lines(readers.corrupt(rows, name)) for name, rows in feeds.items()))
+
+
 @query(sql("SELECT series, ts, value FROM samples", SAMPLES))
 def metric_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Metric samples with labels."""
@@ -130,6 +199,54 @@ def delivered_by_sink(spark: SparkSession, folder: str) -> DataFrame:
         lines.select(F.lit("stdout").alias("sink"), F.lit("").alias("endpoint"), "records"))
 
 
+@query(sql(r"""
+SELECT endpoint, count(*) AS records, min(record_id) AS first_id FROM sent WHERE target = 'SHOOT'
+GROUP BY endpoint""", LOGS, CHANGES, LEDGER))
+def committed_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of the shoots through a data source with commits; every batch is delivered twice."""
+    path = _workspace(spark)
+    routes = clusters.current_routes(views.cluster_changes(spark, folder), OPTIONS)
+    sent = routing.fan_out(routing.ledger(views.logs(spark, folder), routes, OPTIONS)).filter(
+        "target = 'SHOOT'").select("endpoint", "record_id")
+    for batch_id in (0, 0, 1, 1):
+        half = F.pmod(F.col("record_id").cast("bigint"), F.lit(2)) == batch_id
+        records.CommittedSink(path).write(sent.filter(half), batch_id)
+    found = spark.read.format(records.NAME).load(path)
+    return found.groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min(F.get_json_object("record", "$.record_id")).alias("first_id"))
+
+
+@query(sql(r"""
+SELECT record_id, body FROM stored WHERE regexp_matches(body, 'value 1($|\W)') AND namespace IS NOT NULL
+  AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""", LOGS, STORED))
+def phrase_in_indexed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A phrase and a span of time, looked up in the index of stored files before any is opened."""
+    path = _workspace(spark)
+    logs = stored_logs(views.logs(spark, folder), OPTIONS).filter("namespace IS NOT NULL")
+    sinks.write_streams(sinks.with_stream_id(logs, "namespace", "container", "severity_text"), path)
+    search.write_index(spark, path, "body")
+    found = search.search(spark, path, {"body": "value 1"}, since="2024-01-10", until="2024-01-20")
+    return found.select("record_id", "body")
+
+
+@query(sql(r"""
+SELECT namespace, count(DISTINCT id) AS "unique", TRUE AS close FROM (
+  SELECT namespace, nullif(regexp_extract(body, 'id: "([0-9]+)"', 1), '') AS id FROM stored)
+GROUP BY namespace""", LOGS, STORED))
+def unique_ids_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct ids of the month from hourly sketches, within 5 % of the exact number beside them."""
+    path = _workspace(spark)
+    logs = stored_logs(views.logs(spark, folder), OPTIONS)
+    ids = select.extract(logs, ID_PATTERN, "body", "id").withColumn("namespace", F.coalesce("namespace", F.lit("")))
+    select.unique_sketches(ids, "id", "namespace").write.parquet(path)
+    estimate = select.unique_in(spark.read.parquet(path), "2024-01-01", "2024-02-01", "namespace")
+    exact = select.count_unique(ids, "id", "namespace")
+    both = exact.join(estimate.withColumnRenamed("unique", "estimate"), "namespace")
+    close = F.abs(F.col("estimate") - F.col("unique")) <= F.greatest(0.05 * F.col("unique"), F.lit(1.0))
+    return both.select(F.nullif("namespace", F.lit("")).alias("namespace"), "unique", close.alias("close"))
+
+
 @query(sql("""
 SELECT namespace, count(*) AS events, count(DISTINCT stream) AS streams FROM (
   SELECT *, (namespace, reason, object, origin, type) AS stream FROM shown)

@@ -42,8 +42,7 @@ SELECT record_id, time, stream, logtag, message, log, ts FROM (
     CASE WHEN fits THEN CASE WHEN event_id % 3 = 0 THEN 'stderr' ELSE 'stdout' END END AS stream,
     CASE WHEN fits THEN 'F' END AS logtag,
     CASE WHEN fits THEN 'user ' || user_id || ' did ' || event_type END AS message,
-    CASE WHEN NOT fits THEN 'panic ' || event_type END AS log,
-    CASE WHEN fits THEN ts END AS ts
+    CASE WHEN NOT fits THEN 'panic ' || event_type END AS log, ts
   FROM events)"""))
 def container_line_parser(spark: SparkSession, folder: str) -> DataFrame:
     parsed = parse.container_lines(views.container_text(spark, folder))

@@ -390,7 +390,7 @@ depths AS (
     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM moves)"""
 
 
-def _depths(spark: SparkSession, folder: str) -> DataFrame:
+def queue_depths(spark: SparkSession, folder: str) -> DataFrame:
     """Every event enters the queue of its endpoint and leaves it minutes later."""
     e = views.table(spark, folder, "events")
     left_at = F.col("ts") + F.make_dt_interval(mins=F.col("event_id") % 600)
@@ -406,13 +406,13 @@ def _depths(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql("SELECT endpoint, ts, seq, depth FROM depths", QUEUE))
 def queue_occupancy(spark: SparkSession, folder: str) -> DataFrame:
-    return _depths(spark, folder).select("endpoint", "ts", "seq", "depth")
+    return queue_depths(spark, folder).select("endpoint", "ts", "seq", "depth")
 
 
 @query(sql("SELECT endpoint, arg_max(depth, (ts, seq)) AS buffered FROM depths GROUP BY endpoint",
            QUEUE))
 def buffered_now(spark: SparkSession, folder: str) -> DataFrame:
-    return buffer.buffered(_depths(spark, folder))
+    return buffer.buffered(queue_depths(spark, folder))
 
 
 TICK = "make_timestamp(CAST(floor(epoch(ts) / 30) AS BIGINT) * 30000000)"
@@ -423,7 +423,7 @@ SELECT endpoint, {TICK} AS tick, arg_max(depth, (ts, seq)) AS depth FROM depths
            QUEUE))
 def queue_size_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Queue depth every 30 seconds."""
-    return buffer.depth_samples(_depths(spark, folder))
+    return buffer.depth_samples(queue_depths(spark, folder))
 
 
 @query(sql(f"""
@@ -431,4 +431,4 @@ SELECT endpoint, {TICK} AS tick, max(depth) AS peak, count(*) AS samples FROM de
 WHERE depth >= 20 GROUP BY 1, 2""", QUEUE))
 def queue_overflow(spark: SparkSession, folder: str) -> DataFrame:
     """Intervals with a queue at its limit."""
-    return buffer.overflow(_depths(spark, folder), 20)
+    return buffer.overflow(queue_depths(spark, folder), 20)

@@ -114,6 +114,7 @@ def container_text(spark: SparkSession, folder: str) -> DataFrame:
         F.when(eid % 40 == 0, F.concat(F.lit("panic "), F.col("event_type"))).otherwise(line).alias(
             "value"
         ),
+        F.col("ts").alias("file_ts"),
     )
 
 

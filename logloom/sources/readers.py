@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.once import once
 from logloom.functions.patterns import glob_regex
 
 # Default locations and units.
@@ -46,16 +47,42 @@ def tag_of(path: Column) -> Column:
 
 
 def container_lines(reader, path: str = CONTAINER_LOGS, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Lines of container log files (`value`) with their `tag`; excluded files are not kept."""
-    lines = reader.format("text").load(path).select("value", F.col("_metadata.file_path").alias("p"))
+    """Lines of container log files (`value`) with their `tag` and the file's time `file_ts`;
+    excluded files are not kept."""
+    lines = reader.format("text").load(path).select(
+        "value", F.col("_metadata.file_path").alias("p"),
+        F.col("_metadata.file_modification_time").alias("file_ts"))
     for glob in exclude:
         lines = lines.filter(~F.regexp_replace("p", "^file:/+", "/").rlike(glob_regex(glob)))
     return lines.withColumn("tag", tag_of(F.col("p"))).drop("p")
 
 
+def json_lines(reader, path: str, schema: str) -> DataFrame:
+    """JSON lines by `schema`, and `corrupt`: the raw text of a line that does not fit, else NULL."""
+    lines = reader.format("text").load(path).filter(F.trim("value") != "")
+    decoded = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    # a document that is no object leaves no corrupt text either
+    whole = F.startswith(F.ltrim("value"), F.lit("{")) & F.col("_row._corrupt").isNull()
+    rows = once(lines, _row=decoded).withColumn("corrupt", F.when(~whole, F.col("value")))
+    return rows.select("_row.*", "corrupt").drop("_corrupt")
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """The lines of `json_lines` that were read."""
+    return rows.filter("corrupt IS NULL").drop("corrupt")
+
+
+def corrupt(rows: DataFrame, source: str) -> DataFrame:
+    """The others, as `source` and raw `line`."""
+    return rows.filter("corrupt IS NOT NULL").select(F.lit(source).alias("source"), F.col("corrupt").alias("line"))
+
+
 def journal(reader, path: str, units: tuple[str, ...] = JOURNAL_UNITS) -> DataFrame:
-    """Journal export (JSON lines) of the given units, with `ts`, `nanos` and `tag`."""
-    entries = reader.schema(JOURNAL_SCHEMA).json(path)
+    """Journal export (JSON lines) of the given units, with `ts`, `nanos` and `tag`.
+
+    Lines that do not parse are in `corrupt(json_lines(reader, path, JOURNAL_SCHEMA), ...)`.
+    """
+    entries = parsed(json_lines(reader, path, JOURNAL_SCHEMA))
     entries = entries.filter(F.col("_SYSTEMD_UNIT").isin(*units))
     at = F.col("__REALTIME_TIMESTAMP").try_cast("bigint")
     return entries.withColumns(
@@ -80,8 +107,8 @@ def namespaces(reader, path: str) -> DataFrame:
 
 
 def kube_events(reader, path: str) -> DataFrame:
-    """Kubernetes events of one origin, one JSON object per line."""
-    return reader.schema(KUBE_EVENT_SCHEMA).json(path)
+    """Kubernetes events of one origin, one JSON object per line; `json_lines` has those that fail."""
+    return parsed(json_lines(reader, path, KUBE_EVENT_SCHEMA))
 
 
 def metric_samples(reader, path: str) -> DataFrame:

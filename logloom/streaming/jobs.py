@@ -17,7 +17,7 @@ from logloom.functions.once import once
 from logloom.operators import bloom, clusters, counters, otel, routing
 from logloom.options import RouteOptions
 from logloom.session import settle
-from logloom.sources.readers import spread_if_narrow
+from logloom.sources.readers import corrupt, spread_if_narrow
 from logloom.sources.sinks import sink_for
 from logloom.streaming.log import BatchLog
 
@@ -136,9 +136,7 @@ def route_records(
         flat = decided.withColumn("record", F.to_json("fields")).drop("fields")
         flat.write.mode("overwrite").parquet(folder)
         written = records.sparkSession.read.parquet(folder)
-        counters.ledger_counters(written).write.mode("overwrite").parquet(
-            f"{path}/counters/batch_id={batch_id}"
-        )
+        BatchLog(records.sparkSession, f"{path}/counters").append(counters.ledger_counters(written), batch_id)
         fields = F.try_variant_get(F.try_parse_json("record"), "$", "map<string,variant>")
         for client in dict.fromkeys((options.seed_type, options.shoot_type)):
             kind = routing.CLIENT_TYPES.get(client.upper(), "noop")
@@ -152,6 +150,27 @@ def route_records(
     return deliver
 
 
+def kept_counters(spark: SparkSession, *paths: str) -> DataFrame:
+    """Counters of all batches of the logs at `paths`: those of records, and of lines that fail."""
+    return counters.summed(*(BatchLog(spark, p).read() for p in paths))
+
+
+def merge_counters(spark: SparkSession, path: str) -> None:
+    BatchLog(spark, path).merge(counters.summed)
+
+
+def count_corrupt(path: str, source: str) -> Deliver:
+    """Count the lines of a stream of `json_lines` that do not parse, and keep their text."""
+
+    def deliver(lines: DataFrame, batch_id: int) -> None:
+        failed = corrupt(lines, source)
+        failed.write.mode("overwrite").parquet(f"{path}/lines/batch_id={batch_id}")
+        written = lines.sparkSession.read.schema(failed.schema).parquet(f"{path}/lines/batch_id={batch_id}")
+        BatchLog(lines.sparkSession, f"{path}/counters").append(counters.malformed_lines(written), batch_id)
+
+    return deliver
+
+
 def write_batches(path: str) -> Deliver:
     """Store each micro-batch in its own folder."""
 
