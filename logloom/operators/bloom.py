@@ -37,6 +37,11 @@ def _has(bits: Column, position: Column) -> Column:
     return F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (position % 8).cast("int")) == 1
 
 
+def stored_file() -> Column:
+    """The file a stored row is read from, as a path to read it by; metadata have it encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def index_of(items: DataFrame) -> DataFrame:
     """Index of `items` (group, file, item); NULL items are left out."""
     items = settle(items.filter("item IS NOT NULL").select("group", "file", "item").distinct())

@@ -24,7 +24,7 @@ def words(text: Column) -> Column:
 
 def write_index(spark: SparkSession, path: str, *columns: str) -> None:
     """Index the stored logs (`ts`, `stream_id`, text `columns`) below `path`, whole."""
-    rows = spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    rows = spark.read.parquet(path).withColumn("_file", bloom.stored_file())
     texts = [rows.select(F.lit(c).alias("group"), F.col("_file").alias("file"), F.explode(words(F.col(c))).alias("item"))
              for c in columns]
     items = rows.select(F.lit(STREAM).alias("group"), F.col("_file").alias("file"), F.col(STREAM).alias("item"))

@@ -105,6 +105,8 @@ def register(spark: SparkSession) -> None:
             return [InputPartition(name) for name in sorted(found)]
 
         def read(self, partition):
+            if partition is None:  # nothing was committed
+                return
             files, root = store(self.path)
             with files.open_input_stream(f"{root}/data/{partition.value}") as source:
                 left = b""

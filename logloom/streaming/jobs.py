@@ -72,7 +72,7 @@ def deliver_once(path: str, merge_every: int = 64) -> Deliver:
         written = spark.read.schema(batch.schema).parquet(folder)
         log = BatchLog(spark, f"{path}/_index")
         log.append(bloom.index_of(written.select(
-            _day().alias("group"), F.col("_metadata.file_path").alias("file"),
+            _day().alias("group"), bloom.stored_file().alias("file"),
             F.col("record_id").cast("string").alias("item"))), batch_id)
         if merge_every and batch_id % merge_every == merge_every - 1:
             log.merge()
