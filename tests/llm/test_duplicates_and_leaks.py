@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -215,3 +216,74 @@ def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "KEYS_PER_BLOCK", 400)
     assert plain(decontaminate.leaks(docs, benchmark).collect()) == whole
     assert len(whole) == 10
+
+
+def accepted(item, words):
+    """Whether some alignment of the item with the document agrees enough, by trying all."""
+    n, size = len(item), len(words)
+    if n < decontaminate.INSIDE:
+        return item == words
+    need = min(decontaminate.OVERLAP, n)
+    for shift in range(-n + 1, size):
+        equal = [words[i + shift] == item[i] for i in range(max(0, -shift), min(n, size - shift))]
+        if len(equal) >= need and (sum(equal) >= 0.8 * len(equal) or any(
+                sum(equal[i : i + need]) >= 0.8 * need for i in range(len(equal) - need + 1))):
+            return True
+    return False
+
+
+def test_masks_miss_no_accepted_overlap():
+    def hit(length, changed):
+        return any(not changed & {at + p for p in mask} for mask in decontaminate.MASKS
+                   for at in range(length - mask[-1]))
+
+    for length in range(9, 20):
+        for k in range(length // 5 + 1):
+            assert all(hit(length, set(c)) for c in itertools.combinations(range(length), k))
+    for length in range(20, 45):  # random placements of the most substitutions that 0.8 allows
+        rng = random.Random(length)
+        assert all(hit(length, set(rng.sample(range(length), length // 5))) for _ in range(300))
+
+
+def test_leaks_equal_brute_force(spark):
+    """Every placement of one in nine, two in ten; short items; random substitutions, cuts and repeats."""
+    rng, docs, items = random.Random(3), [], []
+
+    def word(n=400):
+        return f"w{rng.randrange(n)}"
+
+    def variant(item, places):
+        return [f"x{i}" if i in places else w for i, w in enumerate(item)]
+
+    for n, k in ((9, 1), (10, 2), (5, 1), (8, 1), (8, 0), (4, 0), (4, 1), (3, 0), (1, 0), (15, 3)):
+        item = [f"i{n}-{k}-{j}".replace("-", "q") for j in range(n)]
+        items.append(item)
+        places = list(itertools.combinations(range(n), k))
+        for c in places if len(places) < 60 else rng.sample(places, 60):
+            docs.append([word() for _ in range(7)] + variant(item, c) + [word() for _ in range(5)])
+        docs.append(item)
+    for _ in range(60):
+        items.append([word(12) for _ in range(rng.randrange(1, 30))])
+    for _ in range(120):
+        item = rng.choice(items)
+        at = rng.randrange(len(item))
+        part = variant(item[at : at + rng.randrange(8, 30)], {j for j in range(30) if rng.random() < 0.15})
+        docs.append([word(12) for _ in range(rng.randrange(6))] + part + [word(12) for _ in range(rng.randrange(6))])
+    items += [["same"] * 6, ["same"] * 20]
+    docs += [["same"] * 5, ["same"] * 12, ["same"] * 40, ["a", "same"] * 9, []]
+    table = documents(spark, [(i, " ".join(d), "en", "a") for i, d in enumerate(docs)])
+    benchmark = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(items)], "item_id long, text string")
+    first = {}
+    for i, d in enumerate(items):
+        first.setdefault(tuple(d), i)
+    want = {(i, n) for i, d in enumerate(docs) for item, n in first.items() if accepted(list(item), d)}
+    got = [(r._id, r.item_id) for r in decontaminate.leaks(table, benchmark).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len({i for i, n in want if n == 0}) == 10 and len({i for i, n in want if n == 1}) == 46
+
+
+def test_leaks_of_one_word_repeated(spark):
+    docs = documents(spark, [(1, "word " * 20_000, "en", "a"), (2, "other " * 50, "en", "a"), (2, "word " * 20_000, "en", "a")])
+    benchmark = spark.createDataFrame([(1, "word " * 60), (2, "word " * 5)], "item_id long, text string")
+    found = decontaminate.leaks(docs, benchmark).collect()
+    assert sorted((r._id, r.item_id, r.equal_words) for r in found) == [(1, 1, 60), (1, 2, 5), (2, 1, 60), (2, 2, 5)]
