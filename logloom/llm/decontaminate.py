@@ -70,8 +70,9 @@ def windows(rows: DataFrame, words: str, keys) -> DataFrame:
     """One row for each position `at` (0-based) and `key`, beside the columns of `rows`."""
     at = F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("at")
     placed = rows.filter(F.size(words) > 0).select("*", at)
-    listed = F.array_compact(F.array(*keys(F.col(words), F.col("at"))))
-    return placed.select("*", F.explode(listed).alias("key"))
+    # no filter of the array here: it would copy the words for every position
+    return placed.select("*", F.explode(F.array(*keys(F.col(words), F.col("at")))).alias("key")).filter(
+        "key IS NOT NULL")
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
