@@ -23,6 +23,8 @@ empty result. Other columns of either table are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,17 +148,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"), "text")
     texts = once(rows, words=word_hashes(F.col("text"))).select("_text", "words")
 
-    def keys(words, at):
-        return mask_keys(words, at) + [k for n in lengths for k in whole_keys(words, at, n)]
-
+    # one pass for the masks, one for each length of short items that there is
+    passes = [mask_keys, *((lambda words, at, n=n: whole_keys(words, at, n)) for n in lengths)]
     found = None
     for block in range(n_blocks):
         own = items.filter(F.pmod("item", F.lit(n_blocks)) == block)
-        met = windows(texts, "words", keys).join(
-            F.broadcast(item_keys(own, lengths)), F.col("key") == F.col("item_key"))
+        known = F.broadcast(item_keys(own, lengths))
+        shift = (F.col("at") - F.col("item_at")).alias("shift")
+        met = [windows(texts, "words", keys).join(known, F.col("key") == F.col("item_key")).select(
+            "_text", "item", "n", shift) for keys in passes]
         # one row for each different alignment, however many keys say so
-        shift = F.col("at") - F.col("item_at")
-        places = met.select("_text", "item", "n", shift.alias("shift")).distinct()
+        places = reduce(DataFrame.unionByName, met).distinct()
         spots = places.groupBy("_text", F.floor(F.col("shift") / SHIFTS_PER_ROW).alias("part")).agg(
             F.collect_list(F.struct("item", "n", "shift")).alias("spots"))
         near = once(lookup_join(rows, spots.drop("part"), ["_text"], "inner", spread="_id"),

@@ -4,27 +4,31 @@ One pattern finds mail addresses, secrets, card numbers, account numbers, networ
 numbers and titled names. A surrogate depends on a secret key, the entity's type and its canonical
 form alone, so every mention of one entity gets the same surrogate in all documents. It keeps what
 readers and parsers rely on: digits stay digits and letters letters in the mention's own format
-and case; a card number keeps its check digit valid if it was; address bytes stay in range; names
-keep gender (from the title) and script, word by word, so that a surname alone still matches.
+and case; a card number keeps its check digit valid if it was; address bytes stay in range; equal
+mail domains stay equal. Names are entities word by word, by script: the titles of all mentions of
+a given name tell its gender, and in a document that names a person with a title, the words of that
+name are replaced wherever else they stand.
 
 Surrogates are checked over the whole corpus: one that equals another entity's surrogate, or any
-entity found, is drawn again with the next attempt number until all are distinct. Columns, joins
-and windows only; documents without entities do not move.
+entity found, is drawn again with the next attempt number until all are distinct. From the eighth
+attempt on it grows, so the draws end even where a format has fewer values than entities. Columns,
+joins and windows only; documents without entities do not move.
 
 Defined cases: NULL stays NULL and has no entity. Mentions overlap never: the leftmost wins, then
-the order of `PATTERNS`. Repeated rows and ids are treated alike. An empty table gives an empty
-result. Other columns are kept by `replaced`.
+the order of `PATTERNS`. A given name with titles of both genders, or of none, has neither's form.
+Bare words of a name are replaced if capitalised, and are not listed as entities. Repeated rows and
+ids are treated alike. An empty table gives an empty result. Other columns are kept by `replaced`; if
+one is called `entities`, the list's name gets underscores until it is free.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.once import let, once
 from logloom.llm.common import packed, same_row, stored
+from logloom.operators.lookup import lookup_join
 
 #: Titles that tell a gender, and titles that do not.
 MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Господин", "Κύριος")
@@ -85,26 +89,33 @@ def one_of(titles: tuple, mention: Column) -> Column:
 
 
 def parts_of(kind: Column, mention: Column) -> Column:
-    """(what, canonical) of the entities in a mention: names give one for each word.
+    """(what, canonical, form) of the entities in a mention: one for each word of a name, two for an
+    address.
 
-    `what` is the type with all that a surrogate must keep: gender and script, length, country.
+    `what` is the type with all that a surrogate must keep, such as the script. `form` is what this
+    mention tells of a name's word: a surname, or a given name's gender.
     """
     digits = F.regexp_replace(mention, "[^0-9]", "")
     plain = F.regexp_replace(mention, "[ -]", "")
     gender = F.when(one_of(FEMALE, mention), "f").when(one_of(MALE, mention), "m").otherwise("n")
     words = F.split(F.regexp_replace(mention, "^" + _TITLE + " ", ""), " ")
 
+    def part(what: Column, canonical: Column, form: Column | None = None) -> Column:
+        return F.struct(what.alias("what"), canonical.alias("canonical"),
+                        (F.lit("") if form is None else form).alias("form"))
+
     def word(x: Column, i: Column) -> Column:
-        role = F.when(i < F.size(words) - 1, F.concat(F.lit("given_"), gender)).otherwise("surname")
-        return F.struct(F.concat(role, F.lit("_"), script_of(x)).alias("what"),
-                        F.lower(x).alias("canonical"))
+        form = F.when(i < F.size(words) - 1, gender).otherwise("")
+        return part(F.concat(F.lit("name_"), script_of(x)), F.lower(x), form)
 
     def single(what: Column, canonical: Column) -> Column:
-        return F.array(F.struct(what.alias("what"), canonical.alias("canonical")))
+        return F.array(part(what, canonical))
 
+    address = F.lower(mention)
     return (
         F.when(kind == "name", F.transform(words, word))
-        .when(kind == "email", single(F.lit("email"), F.lower(mention)))
+        .when(kind == "email", F.array(
+            part(F.lit("email"), address), part(F.lit("domain"), F.substring_index(address, "@", -1))))
         .when(kind == "secret", single(F.lit("secret"), mention))
         .when(kind == "iban", single(F.lit("iban"), plain))
         .when(kind == "ip", single(F.lit("ip"), mention))
@@ -150,13 +161,22 @@ def luhn(digits: Column) -> Column:
         lambda x: F.when(x > 9, x - 9).otherwise(x))), F.lit(0), lambda a, x: a + x)
 
 
+#: Attempts before surrogates grow, by one sign or syllable for every other attempt.
+FIXED_ATTEMPTS = 8
+#: Endings of made given names by script and gender.
+ENDINGS = {("latin", "f"): "na", ("latin", "m"): "n", ("cyrillic", "f"): "на", ("cyrillic", "m"): "н",
+           ("greek", "f"): "να", ("greek", "m"): "νος"}
+
+
 def surrogate(key: str, attempt: Column) -> Column:
-    """Surrogate of the canonical form, for a row with `what` and `canonical`."""
-    what, own = F.col("what"), F.col("canonical")
+    """Surrogate of the canonical form, for a row with `what`, `canonical` and `form`."""
+    what, own, form = F.col("what"), F.col("canonical"), F.col("form")
+    grown = F.greatest(F.lit(0), F.ceil((attempt - FIXED_ATTEMPTS + 1) / 2)).cast("int")
 
     def build(hexes: Column) -> Column:
         local, domain = F.substring_index(own, "@", 1), F.substring_index(own, "@", -1)
-        first_label, rest = F.substring_index(domain, ".", 1), F.regexp_replace(domain, r"^[^.]*", "")
+        label, rest = F.substring_index(own, ".", 1), F.regexp_replace(own, r"^[^.]*", "")
+        more = letters_for(F.repeat(F.lit("0"), grown), F.reverse(hexes))
         swapped = letters_for(own, hexes)
         head = F.substring(swapped, F.lit(1), F.length(own) - 1)
         check = F.pmod(10 - luhn(F.concat(head, F.lit("0"))) % 10, F.lit(10)).cast("string")
@@ -166,28 +186,31 @@ def surrogate(key: str, attempt: Column) -> Column:
         country = F.when(F.length(own) > 10, F.substring(own, 1, 1)).otherwise("")
         phone = F.concat(country, F.substring(swapped, F.length(country) + 1, F.length(own)))
         out = (
-            F.when(what == "email", F.concat(letters_for(local, hexes), F.lit("@"), letters_for(
-                first_label, F.reverse(hexes)), rest))
-            .when((what == "secret") & own.rlike("^[0-9a-f]+$"), hex_for(own, hexes))
+            # the domain is an entity of its own: `written` puts its surrogate here
+            F.when(what == "email", F.concat(letters_for(local, hexes), more, F.lit("@"), domain))
+            .when(what == "domain", F.concat(letters_for(label, hexes), more, rest))
+            .when((what == "secret") & own.rlike("^[0-9a-f]+$"), F.concat(hex_for(own, hexes), more))
             .when(what == "secret", F.concat(
                 F.regexp_extract(own, "^(AKIA|ASIA|sk-|gh[pousr]_)", 1),
-                letters_for(F.regexp_replace(own, "^(AKIA|ASIA|sk-|gh[pousr]_)", ""), hexes)))
+                letters_for(F.regexp_replace(own, "^(AKIA|ASIA|sk-|gh[pousr]_)", ""), hexes), more))
             .when(what == "iban", F.concat(F.substring(own, 1, 2), letters_for(
-                F.substring(own, F.lit(3), F.length(own)), hexes)))
-            .when(what == "ip", octets).when(what == "card", card).when(what == "phone", phone)
-            .when(what == "ssn", swapped))
+                F.substring(own, F.lit(3), F.length(own)), hexes), more))
+            .when(what == "ip", F.concat(octets, more)).when(what == "card", F.concat(card, more))
+            .when(what == "phone", F.concat(phone, more)).when(what == "ssn", F.concat(swapped, more)))
         for script, syllables in SYLLABLES.items():
             pool = F.array(*(F.lit(s) for s in syllables.split()))
-            made = reduce(F.concat, (
-                F.get(pool, drawn(hexes, F.lit(7 + k), len(syllables.split()))) for k in range(4)))
-            out = F.when(what == f"surname_{script}", made).otherwise(out)
-            for gender in "fmn":
-                names = (GIVEN[script, gender] if gender in "fm"
-                         else GIVEN[script, "f"] + " " + GIVEN[script, "m"]).lower().split()
+            size = len(syllables.split())
+            made = F.array_join(F.transform(
+                F.sequence(F.lit(7), F.lit(9) + grown), lambda k: F.get(pool, drawn(hexes, k, size))), "")
+            surname = F.concat(made, F.get(pool, drawn(hexes, F.lit(29), size)))
+            named = F.when(form == "", surname).otherwise(made)
+            for gender in "fm":
+                names = GIVEN[script, gender].lower().split()
                 given = F.get(F.array(*(F.lit(n) for n in names)), drawn(hexes, F.lit(3), len(names)))
                 # lists are short: from the third attempt on, syllables make the name
-                given = F.when(attempt < 2, given).otherwise(made)
-                out = F.when(what == f"given_{gender}_{script}", given).otherwise(out)
+                given = F.when(attempt < 2, given).otherwise(F.concat(made, F.lit(ENDINGS[script, gender])))
+                named = F.when(form == gender, given).otherwise(named)
+            out = F.when(what == f"name_{script}", named).otherwise(out)
         return out
 
     return let(stream(key, attempt), build)
@@ -199,8 +222,15 @@ def family() -> Column:
 
 
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """`what, canonical, surrogate` with distinct surrogates that are no entity of the corpus."""
-    rows = stored(entities.distinct().withColumns(
+    """`what, canonical, surrogate` with distinct surrogates that are no entity of the corpus.
+
+    `entities` has `what`, `canonical` and the `form` that each mention tells; an entity gets one.
+    """
+    told = {g: F.max((F.col("form") == g).cast("int")) == 1 for g in "fmn"}
+    form = F.when(told["f"] & told["m"], "n").when(told["f"], "f").when(told["m"], "m").when(
+        told["n"], "n").otherwise("")
+    rows = entities.groupBy("what", "canonical").agg(form.alias("form"))
+    rows = stored(rows.withColumns(
         {"attempt": F.lit(0), "surrogate": surrogate(key, F.lit(0))}), "surrogates")
     names = stored(rows.select(family().alias("of"), F.col("canonical").alias("taken")).distinct(),
                    "entities")
@@ -215,7 +245,7 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
         if checked.filter("again").isEmpty():
             return checked.select("what", "canonical", "surrogate")
         attempt = F.col("attempt") + F.col("again").cast("int")
-        rows = stored(checked.select("what", "canonical", attempt.alias("attempt"), F.when(
+        rows = stored(checked.select("what", "canonical", "form", attempt.alias("attempt"), F.when(
             F.col("again"), surrogate(key, attempt)).otherwise(F.col("surrogate")
                                                               ).alias("surrogate")), "surrogates")
 
@@ -229,13 +259,15 @@ def in_case(mention: Column, word: Column) -> Column:
 
 
 def in_format(mention: Column, signs: Column) -> Column:
-    """The mention with its letters and digits replaced, one by one, by those of `signs`."""
+    """The mention with its letters and digits replaced, one by one, by those of `signs`; what is
+    left of a grown surrogate follows."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
     return F.aggregate(F.split(mention, ""), start, lambda s, c: F.when(
         c.rlike("[0-9A-Za-z]"), F.struct(
             F.concat(s["out"], F.substring(signs, s["next"], F.lit(1))).alias("out"),
             (s["next"] + 1).alias("next"))
-    ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["next"].alias("next"))))["out"]
+    ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["next"].alias("next"))),
+        lambda s: F.concat(s["out"], F.substring(signs, s["next"], F.length(signs))))
 
 
 def written(kind: Column, mention: Column, surrogates: Column) -> Column:
@@ -244,17 +276,29 @@ def written(kind: Column, mention: Column, surrogates: Column) -> Column:
     words = F.split(F.regexp_replace(mention, "^" + _TITLE + " ", ""), " ")
     name = F.concat_ws(" ", title, F.array_join(F.zip_with(words, surrogates, in_case), " "))
     only = F.get(surrogates, F.lit(0))
+    address = F.concat(F.substring_index(only, "@", 1), F.lit("@"), F.get(surrogates, F.lit(1)))
     return (F.when(kind == "name", name)
-            .when(kind == "email", F.when(mention == F.upper(mention), F.upper(only)).otherwise(only))
+            .when(kind == "email", F.when(mention == F.upper(mention), F.upper(address)).otherwise(address))
             .when(kind.isin("ip", "secret"), only)
             .otherwise(in_format(mention, only)))
 
 
-def replaced(docs: DataFrame, key: str) -> DataFrame:
-    """`docs` with surrogates in `text`; `entities` lists (kind, surrogate) as they occur.
+#: A capitalised word, else a run without capitals, else one sign.
+_WORDS = (r"(?<![\p{L}\p{M}])\p{Lu}[\p{Ll}\p{M}]+(?:-\p{Lu}[\p{Ll}\p{M}]+)?(?![\p{L}\p{M}])"
+          r"|[^\p{Lu}]+|\p{Lu}")
 
-    A column named `entities` in `docs` must be renamed before.
-    """
+
+def bare_names(piece: Column, names: Column) -> Column:
+    """`piece` with the capitalised words that are keys of the map `names` replaced."""
+    return F.array_join(F.transform(F.regexp_extract_all(piece, F.lit(_WORDS), F.lit(0)), lambda w: F.coalesce(
+        in_case(w, F.element_at(names, F.lower(w))), w)), "")
+
+
+def replaced(docs: DataFrame, key: str) -> DataFrame:
+    """`docs` with surrogates in `text`; `entities` lists (kind, surrogate) as they occur."""
+    name = "entities"
+    while name in docs.columns:
+        name += "_"
     nothing = F.array().cast("array<struct<kind:string,surrogate:string>>")
     every = packed(docs)
     text = F.col("_row.text")
@@ -267,21 +311,30 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     own = ["_own_id", "_own_text", "at", "mention", "kind"]
     listed = listed.select(*own, F.posexplode(parts_of(F.col("kind"), F.col("mention"))).alias(
         "nr", "part"))
-    listed = stored(listed.select(*own, "nr", "part.what", "part.canonical"), "mentions")
-    known = distinct_surrogates(listed.select("what", "canonical"), key)
-    done = listed.join(known, ["what", "canonical"]).groupBy(*own).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("nr", "surrogate"))), lambda x: x["surrogate"]
-    ).alias("parts"))
-    done = once(done, out=written(F.col("kind"), F.col("mention"), F.col("parts")))
+    listed = stored(listed.select(*own, "nr", "part.what", "part.canonical", "part.form"), "mentions")
+    known = distinct_surrogates(listed.select("what", "canonical", "form"), key)
+    told = lookup_join(listed.drop("form"), known, ["what", "canonical"], "inner", spread="_own_text",
+                       settled=True)
+    done = told.groupBy(*own).agg(
+        F.sort_array(F.collect_list(F.struct("nr", "surrogate", "canonical"))).alias("all"))
+    parts = F.transform("all", lambda x: x["surrogate"])
+    done = once(done, out=written(F.col("kind"), F.col("mention"), parts), names=F.when(
+        F.col("kind") == "name", F.transform("all", lambda x: F.struct(x["canonical"], x["surrogate"]))))
     done = done.groupBy(F.col("_own_id").alias("_id"), F.col("_own_text").alias("_text")).agg(
         F.sort_array(F.collect_list(F.struct("at", "kind", F.col("out").alias("surrogate")))
-                     ).alias("_all"))
-    joined = F.array_join(F.transform(F.split(text, ANY, -1), lambda p, i: F.concat(p, F.coalesce(
-        F.get(F.col("_all"), i)["surrogate"], F.lit("")))), "")
-    changed = once(rows.join(done, same_row()), _new=joined).select(
+                     ).alias("_all"),
+        F.array_distinct(F.flatten(F.collect_list("names"))).alias("_names"))
+    named = F.size("_names") > 0
+
+    def joined(names: Column) -> Column:
+        return F.array_join(F.transform(F.split(text, ANY, -1), lambda p, i: F.concat(
+            F.when(named, bare_names(p, names)).otherwise(p),
+            F.coalesce(F.get(F.col("_all"), i)["surrogate"], F.lit("")))), "")
+
+    changed = once(rows.join(done, same_row()), _new=let(F.map_from_entries("_names"), joined)).select(
         *((F.col("_new") if c == "text" else F.col("_row").getField(c)).alias(c)
           for c in docs.columns),
-        F.transform("_all", lambda x: F.struct(x["kind"], x["surrogate"])).alias("entities"))
+        F.transform("_all", lambda x: F.struct(x["kind"], x["surrogate"])).alias(name))
     bare = every.filter(~hinted).select("_row").unionByName(
         found.filter(F.size("_mentions") == 0).select("_row"))
-    return bare.select("_row.*", nothing.alias("entities")).unionByName(changed)
+    return bare.select("_row.*", nothing.alias(name)).unionByName(changed)

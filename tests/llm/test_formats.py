@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from logloom.llm import chat, surrogates, warc
 from tests.llm.helpers import AWKWARD, documents, plain
@@ -145,3 +146,52 @@ def test_surrogates_are_distinct(spark):
 def test_kinds(spark, text, kind):
     row = surrogates.replaced(documents(spark, [(1, f"see {text} there", "en", "a")]), "k").first()
     assert [e.kind for e in row.entities] == [kind] and text not in row.text
+
+
+def words_of(text):
+    return re.findall(r"[^\W\d_]+", text)
+
+
+def test_one_person_has_one_name_everywhere(spark):
+    text = "Frau Anna Schmidt met Dr Anna Schmidt. Later Schmidt said that Anna Schmidt left. Annas schmidtern."
+    docs = documents(spark, [(1, text, "de", "a"), (2, "Dr Anna Meier", "de", "a"), (3, "Schmidt is free here", "de", "a")])
+    got = {r.doc_id: words_of(r.text) for r in surrogates.replaced(docs, "k").collect()}
+    anna, schmidt = got[1][1], got[1][2]
+    assert got[1] == f"Frau {anna} {schmidt} met Dr {anna} {schmidt} Later {schmidt} said that {anna} {schmidt} left Annas schmidtern".split()
+    assert got[2][1] == anna and anna.endswith("a") and {anna, schmidt}.isdisjoint({"Anna", "Schmidt"})
+    assert got[3] == "Schmidt is free here".split()
+
+
+def test_gender_is_kept_for_many(spark):
+    def given(n):
+        return "".join(chr(97 + n // 26**k % 26) for k in range(3)).capitalize()
+
+    rows = [(n, f"Mrs {given(n)} Young wrote.", "en", "a") for n in range(300)]
+    rows += [(1000 + n, f"Mr {given(500 + n)} Young wrote.", "en", "a") for n in range(100)]
+    rows += [(2000, f"Mr {given(7)} Old", "en", "a")]  # titles of both genders
+    got = {r.doc_id: words_of(r.text)[1] for r in surrogates.replaced(documents(spark, rows), "k").collect()}
+    assert got[2000] == got[7]
+    women, men = ({v for n, v in got.items() if lo <= n < hi and n != 7} for lo, hi in ((0, 1000), (1000, 2000)))
+    assert len(women) == 299 and all(w.endswith("a") for w in women)
+    assert len(men) == 100 and not any(m.endswith("a") for m in men)
+
+
+def test_domains_stay_equal_and_small_formats_end(spark):
+    few = [f"{a}@{b}.org" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows = [(n, f"mail {m} now", "en", "a") for n, m in enumerate(few)]
+    rows += [(9000, "ann@corp.example and Bob@corp.example or BOB@CORP.EXAMPLE", "en", "a")]
+    got = {r.doc_id: r.text for r in surrogates.replaced(documents(spark, rows), "k").collect()}
+    a, _, b, _, c = got[9000].split()
+    assert a.split("@")[1] == b.split("@")[1] != "corp.example" and c == b.upper()
+    made = [got[n].split()[1] for n in range(len(few))]
+    assert len(set(made)) == len(few) and not set(made) & set(few)
+    domains = {m.split("@")[1]: s.split("@")[1] for m, s in zip(few, made)}
+    assert all(domains[m.split("@")[1]] == s.split("@")[1] for m, s in zip(few, made))
+    assert len(set(domains.values())) == 26 and not set(domains.values()) & set(domains)
+
+
+def test_surrogates_beside_a_column_called_entities(spark):
+    docs = documents(spark, [(1, "Mr Bo Li", "en", "a"), (2, "none", "en", "a")]).withColumn("entities", F.lit(5))
+    got = surrogates.replaced(docs, "k")
+    assert got.columns == [*docs.columns, "entities_"]
+    assert {r.doc_id: (r.entities, len(r.entities_)) for r in got.collect()} == {1: (5, 1), 2: (5, 0)}
