@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from logloom.session import settle
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 << 20
 ROWS_PER_TASK = 2_000_000
+SPREAD_OF_NULLS = 10_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -55,9 +59,11 @@ def lookup_join(
             {k: f"_hot_{k}" for k in keys}))  # at most one row for `rows_per_task` facts
         salt_of = F.xxhash64(spread) if spread else F.xxhash64(*facts.columns)
         n = F.coalesce("_salts", F.lit(1))
+        # a fact with a NULL key meets nothing: such facts go anywhere but to one task
+        free = F.when(reduce(or_, (F.col(k).isNull() for k in keys)), F.lit(SPREAD_OF_NULLS))
         names_hot = [f"_hot_{k}" for k in keys]
         facts = facts.join(hot, [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left").withColumn(
-            "_salt", F.pmod(salt_of, n).cast("int")).drop("_salts", *names_hot)
+            "_salt", F.pmod(salt_of, F.coalesce(free, n)).cast("int")).drop("_salts", *names_hot)
         right = right.join(hot, [F.col(names[k]) == F.col(f"_hot_{k}") for k in keys], "left")
         right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop(
             "_salts", *names_hot)

@@ -112,6 +112,16 @@ def test_salted_lookup(spark):
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
 
 
+def test_facts_without_a_key_are_spread(spark):
+    facts = spark.range(2000).selectExpr("id as record_id", "if(id % 50 = 0, 'k', null) as host")
+    table = spark.sql("select 'k' as host, 1 as route union all select null, 2")
+    large = lookup_join(facts, table, ["host"], spread="record_id", max_rows=0, rows_per_task=100)
+    assert large.count() == 2000 and large.filter("route = 1").count() == 40 == large.filter("route is not null").count()
+    shuffled = large.filter("host is null").repartition(1).select("record_id").distinct()
+    assert shuffled.count() == 1960
+    assert "10000" in large._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("rows", [20, 1_000_000])
 def test_as_of_paths_agree(spark, rows, monkeypatch):
     monkeypatch.setattr(slices, "ROWS", rows)
