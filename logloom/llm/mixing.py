@@ -259,22 +259,26 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: for each epoch, the words of a document that its blocks bring.
 
     Neighbouring words keep the white space between them, so a document taken whole is as it was;
-    one taken in two epochs is there twice. Rows with equal id and text are mixed as one.
+    one taken in two epochs is there twice. Of rows with equal id, text and source each has its own
+    place in the mix; what it brings has the other columns of one of them.
     """
-    sized = sizes(docs).groupBy("doc_id", "_text", "size").agg(
-        F.min("source").alias("source")).withColumn("named", F.to_json(F.array("source")))
-    sized = stored(sized, "sizes")
+    same = sizes(docs).groupBy("doc_id", "_text", "size", "source", "named").agg(
+        F.count(F.lit(1)).alias("copies"))
+    sized = stored(same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop(
+        "copies"), "sizes")
     sources = stored(targets(sized), "targets")
     rows = placed(sized, sources)
     picked = slots(docs.sparkSession, sources.collect()).select("source_no", "block", "epoch")
     ranges = pieces(rows).join(picked, ["source_no", "block"]).groupBy(
-        "doc_id", "_text", "epoch").agg(F.sort_array(F.collect_list(F.struct(
+        "doc_id", "_text", "source", "copy", "epoch").agg(F.sort_array(F.collect_list(F.struct(
             F.col("low").cast("int").alias("low"), F.col("high").cast("int").alias("high")
         ))).alias("ranges"))
-    ranges = ranges.groupBy("doc_id", "_text").agg(
+    ranges = ranges.groupBy("doc_id", "_text", "source", "copy").agg(
         F.sort_array(F.collect_list(F.struct("epoch", "ranges"))).alias("epochs"))
-    ranges = ranges.select(F.col("doc_id").alias("_id"), "_text", "epochs")
-    both = packed(docs).join(ranges, same_row()).dropDuplicates(["_own_id", "_own_text"])
+    ranges = ranges.select(F.col("doc_id").alias("_id"), "_text", F.col("source").alias("_source"), "epochs")
+    own = packed(docs).withColumn("_own_source", F.col("_row.source")).dropDuplicates(
+        ["_own_id", "_own_text", "_own_source"])
+    both = own.join(ranges, same_row() & F.col("_own_source").eqNullSafe(F.col("_source")))
     units = F.regexp_extract_all(F.col("_row.text"), F.lit(
         "[ \\t\\n\\x0B\\f\\r]*[^ \\t\\n\\x0B\\f\\r]+[ \\t\\n\\x0B\\f\\r]*"), F.lit(0))
     both = once(both, _units=units).withColumn("_one", F.explode("epochs"))

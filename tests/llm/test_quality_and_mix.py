@@ -198,6 +198,18 @@ def test_blocks_and_documents_hold_what_is_taken(spark):
     assert mixing.mixed_documents(awkward.limit(0)).collect() == []
 
 
+def test_repeated_rows_are_mixed_each(spark):
+    rows = [(n, f"doc{n} " + "word " * 199, "en", s) for n in range(5) for s in ("a", "a", None)]
+    docs = documents(spark, rows)
+    mixed = mixing.mixed_documents(docs)
+    got, want = Counter(), Counter()
+    for r in mixed.collect():
+        got[r.doc_id, r.source] += len(words_of(r.text))
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.source] += r.taken
+    assert +got == +want and sum(got.values()) == sum(want.values()) >= 2000
+
+
 def test_permutations_and_draws():
     for size in (1, 2, 3, 17, 100, 4097):
         assert sorted(mixing.permuted(np.arange(size), size, 7).tolist()) == list(range(size))
