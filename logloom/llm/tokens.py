@@ -13,12 +13,13 @@ code point; the count of the prefix of n code points is the sum of the first n.
 
 Defined cases: a NULL text is empty and has no step and no token. Special strings inside a text
 are special tokens, as the library's default has it. Repeated rows are counted each; an empty
-table gives no rows; other columns are ignored. A run without white space of any length is handled
-in linear time if it is in composed form, else by encoding its prefixes.
+table gives no rows; other columns are ignored. A run without white space is handled in linear time
+whatever its length and form; only the marks on one letter cost time in the square of their number.
 """
 
 from __future__ import annotations
 
+import functools
 import gc
 import json
 import unicodedata
@@ -41,6 +42,8 @@ SHARED_PREFIX = 32
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 PARTS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+KINDS = regex.compile(r"(\p{L})|(\p{N})|(\p{White_Space})|.", regex.DOTALL)
+LETTER, NUMBER, SPACE = 1, 2, 3
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -67,6 +70,36 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def kind_of(char: str) -> int | None:
+    """`LETTER`, `NUMBER`, `SPACE` or None for everything else."""
+    return KINDS.match(char).lastindex
+
+
+@functools.cache
+def joining_starters() -> frozenset[str]:
+    """Characters without a combining class that can compose with the character before."""
+    out = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    for code in range(0x110000):
+        char = chr(code)
+        sides = unicodedata.decomposition(char).split()
+        if len(sides) == 2 and sides[0][0] != "<" and unicodedata.normalize("NFC", char) == char:
+            second = chr(int(sides[1], 16))
+            if not unicodedata.combining(second):
+                out.add(second)
+    return frozenset(out)
+
+
+@functools.lru_cache(1 << 16)
+def opens(char: str) -> bool:
+    """Does normalising a text give the same as normalising its parts before and from `char`?"""
+    first = unicodedata.normalize("NFD", char)[0]
+    return not unicodedata.combining(first) and first not in joining_starters()
+
+
+def composed(text: str) -> str:
+    return "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+
+
 class PrefixCounter:
     """Counts for all prefixes of words, from the vocabulary and merges of a tokenizer file."""
 
@@ -82,6 +115,7 @@ class PrefixCounter:
         self.specials = [t["content"] for t in stated["added_tokens"]]
         self.special_re = regex.compile("|".join(map(regex.escape, self.specials)))
         self.ends = self.suffixes(model["vocab"])
+        self.longest = max(map(len, self.ends))
         self.ranks = {tuple(pair): n for n, pair in enumerate(model["merges"])}
         self.made_of: dict[str, tuple[int, str, str]] = {}
         for (left, right), n in self.ranks.items():
@@ -167,10 +201,10 @@ class PrefixCounter:
                 return token, before[1] + 1, closed, {}
         raise ValueError("no token ends this prefix")
 
-    def word_counts(self, word: str) -> list[int]:
-        """Tokens of word[:1], word[:2], ... for a word in the vocabulary's letters."""
+    def word_states(self, word: str) -> list[tuple]:
+        """Nodes of word[:0], word[:1], ... for a word in the vocabulary's letters."""
         node = self.root
-        states, counts = [node], []
+        states = [node]
         for n, letter in enumerate(word, 1):
             after = node[3].get(letter) if n <= SHARED_PREFIX else None
             if after is None:
@@ -180,8 +214,19 @@ class PrefixCounter:
                     self.nodes += 1
             node = after
             states.append(node)
-            counts.append(node[2])
-        return counts
+        return states
+
+    def word_counts(self, word: str) -> list[int]:
+        """Tokens of word[:1], word[:2], ..."""
+        return [state[2] for state in self.word_states(word)[1:]]
+
+    def count_with(self, word: str, states: list, size: int, more: str) -> int:
+        """Tokens of word[:size] + more, from the states of the word."""
+        low = max(0, size - self.longest)
+        text, states = word[low:size] + more, states[low : size + 1]
+        for n in range(size - low + 1, len(text) + 1):
+            states.append(self.next_node(text, n, states))
+        return states[-1][2]
 
     def part_counts(self, part: str) -> list[int]:
         """Counts for the prefixes, by code point, of one piece of the pre-tokenizer."""
@@ -190,9 +235,12 @@ class PrefixCounter:
             return [1, *rest, self.whole(part)]
         return self.plain_counts(part)
 
+    def spelled(self, part: str) -> str:
+        return "".join([self.letters[b] for b in part.encode()])
+
     def plain_counts(self, part: str) -> list[int]:
         raw = part.encode()
-        counts = self.word_counts("".join([self.letters[b] for b in raw]))
+        counts = self.word_counts(self.spelled(part))
         if len(raw) == len(part):
             return counts
         ends = np.cumsum([len(c.encode()) for c in part])
@@ -207,11 +255,13 @@ class PrefixCounter:
             return self.word_counts(run.lower())
         low = run if run.isascii() else "".join([c.lower() for c in run])
         if not run.isascii() and (len(low) != len(run) or not unicodedata.is_normalized("NFC", run)):
-            encoded = self.library.encode_batch_fast(
-                [run[:n] for n in range(1, len(run) + 1)], add_special_tokens=False)
-            return [len(e.ids) for e in encoded]
+            return self.composing_counts(run)
         if run.isascii():
             low = low.lower()
+        return self.normal_counts(low)
+
+    def normal_counts(self, low: str) -> list[int]:
+        """Counts for the prefixes of a run in lower case and composed form."""
         counts, done, at = [], 0, 0
         for found in PARTS.finditer(low):
             counts += [done] * (found.start() - at)
@@ -220,6 +270,71 @@ class PrefixCounter:
             done, at = done + own[-1], found.end()
         return counts + [done] * (len(low) - at)
 
+    def composing_counts(self, run: str) -> list[int]:
+        """Counts for the prefixes of a run whose normal form has other code points.
+
+        The run is cut where its parts can be normalised each for itself: a letter with its marks
+        is one part. A prefix of whole parts is a prefix of the normal form. A prefix that ends
+        inside a part is the normal form up to the part, and then what the open part gives.
+        """
+        begins = [0, *(n for n in range(1, len(run)) if opens(run[n])), len(run)]
+        forms = [composed(run[a:b]) for a, b in zip(begins, begins[1:], strict=False)]
+        low = "".join(forms)
+        whole = [0, *self.normal_counts(low)]
+        pieces = [found.span() for found in PARTS.finditer(low)]
+        states: dict[int, tuple] = {}
+        counts, size, piece = [], 0, 0
+        for start, end, form in zip(begins, begins[1:], forms, strict=False):
+            if end - start > 1:
+                # the piece that holds the last letter before the part
+                while piece < len(pieces) and pieces[piece][1] < size:
+                    piece += 1
+                span = pieces[piece] if piece < len(pieces) else (size, size)
+                for n in range(start + 1, end):
+                    counts.append(self.open_count(low, whole, size, span, states,
+                                                  composed(run[start:n])))
+            size += len(form)
+            counts.append(whole[size])
+        return counts
+
+    def open_count(self, low: str, whole: list, size: int, span: tuple, states: dict,
+                   tail: str) -> int:
+        """Tokens of low[:size] + tail; `span` is the piece of `low` with its last letter."""
+        if not size:
+            return self.normal_counts(tail)[-1]
+        before, first = kind_of(low[size - 1]), kind_of(tail[0])
+        if before != first or first in (NUMBER, SPACE):
+            if low[size - 1] != "'" or first != LETTER:
+                return whole[size] + self.normal_counts(tail)[-1]
+        elif span[0] < size <= span[1] and kind_of(low[span[0]]) == first and (
+                first is None or low[span[0] - 1 : span[0]] != "'" or size - span[0] > 1):
+            # the tail lengthens a piece that is no contraction and cannot become one
+            if span[0] not in states:
+                word = self.spelled(low[span[0] : span[1]])
+                states.clear()
+                states[span[0]] = word, self.word_states(word)
+            word, nodes = states[span[0]]
+            more = 1
+            while more < len(tail) and kind_of(tail[more]) == first:
+                more += 1
+            own = self.count_with(word, nodes, len(low[span[0] : size].encode()),
+                                  self.spelled(tail[:more]))
+            rest = self.normal_counts(tail[more:])[-1] if more < len(tail) else 0
+            return whole[span[0]] + own + rest
+        # beside an apostrophe: from the last place where a piece must begin
+        at = size
+        while at and not self.breaks(low[at - 1], (low + tail)[at] if at == size else low[at]):
+            at -= 1
+        return whole[at] + self.normal_counts(low[at:size] + tail)[-1]
+
+    @staticmethod
+    def breaks(left: str, right: str) -> bool:
+        """Does a piece begin between these two, whatever is around them?"""
+        one, two = kind_of(left), kind_of(right)
+        if one in (NUMBER, SPACE) or two in (NUMBER, SPACE):
+            return True
+        return one != two and not (left == "'" and two == LETTER)
+
     def run_counts(self, run: str) -> list[int]:
         """Counts for the prefixes of a run without ASCII white space."""
         counts: list[int] = []

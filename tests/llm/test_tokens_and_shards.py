@@ -1,5 +1,6 @@
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logloom.llm import repair, tokens
+from tests.conftest import TESTDATA
 from tests.llm.helpers import AWKWARD, documents
 
 
@@ -36,6 +38,38 @@ def test_every_prefix_has_the_library_count(library):
             count(library, text[:n]) for n in range(1, len(text) + 1)], text
 
 
+def test_prefixes_of_runs_that_compose_have_the_library_count(library):
+    own = tokens.PrefixCounter(tokens.vocabulary_path())
+    rng = random.Random(5)
+    letters = ("aertsdlmv''1=\u2212\u4f60\u304b.,!\u3000\xa0\xe9\xb3"
+               "\u0338\u3099\u0327\u0323\u0301\u0130\u212b\u0958\u1100\u1161\u11a8\uac00")
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 18))) for _ in range(800)]
+    texts += ["".join(rng.choice("\u4ed6\u662f\u304e\u304b\u3099abe\u0301") for _ in range(300))
+              for _ in range(5)]
+    for text in texts:
+        steps = np.frombuffer(own.steps(text), np.int8).astype(int)
+        want = library.encode_batch_fast(
+            [text[:n] for n in range(1, len(text) + 1)], add_special_tokens=False)
+        assert np.cumsum(steps).tolist() == [len(e.ids) for e in want], ascii(text)
+
+
+@pytest.mark.parametrize("base", ["\u4f60\u597d\u5b66", "\u304b\u3099\u304d", "nai\u0308ve"])
+def test_a_long_run_that_composes_is_counted_in_linear_time(library, base):
+    own = tokens.PrefixCounter(tokens.vocabulary_path())
+    text = base * 33_333 + "e\u0301"
+    begun = time.process_time()
+    steps = np.frombuffer(own.steps(text), np.int8)
+    assert time.process_time() - begun < 60
+    assert int(steps.sum(dtype=np.int64)) == count(library, text)
+
+
+def test_counts_of_the_documents_table(spark, library):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = tokens.prefix_counts(docs).select("doc_id", "n_tokens").collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {d: count(library, t) for d, t in texts.items()}
+
+
 def test_counts_of_awkward_documents(spark, library):
     docs = documents(spark, AWKWARD, clashing=True)
     rows = tokens.prefix_counts(docs).collect()
