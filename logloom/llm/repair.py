@@ -1,18 +1,22 @@
 """Token ids in binary shards, compressed by a Re-Pair grammar.
 
 Documents are ordered by id over range partitions, encoded, and gathered into shards. In a shard,
-id pairs that occur often are replaced by nonterminals, again and again until no pair is frequent;
-each round takes all frequent pairs at once, from the left. A shard file holds the rules, their
-expansion lengths, and for every document where its symbols begin, so one document is decoded by
-reading the head, the rules and its own symbols. No rule crosses the end of a document.
+id pairs that occur often are replaced by nonterminals, again and again until no pair is frequent.
+Each round takes all frequent pairs at once; where two overlap the one that occurs more often wins,
+and a pair that loses so many places that its rule would not pay is left as it is. A shard file
+holds the rules, their expansion lengths, and for every document where its symbols begin, so one
+document is decoded by reading the head, the rules and its own symbols. No rule crosses the end of a
+document.
 
 Files are written under names of their own by each attempt; the index table, committed by Spark,
 names the ones that count, so lost and repeated tasks leave no trace in the result.
 
-File: `RPR1`, five counts (documents, rules, symbols, bytes of a symbol, rounds) as 64-bit
-integers; ids of documents (64-bit) and a byte each that tells missing ids; first symbol of each
-document and the end (64-bit); left and right side and expansion length of each rule (32-bit);
-symbols. All little-endian.
+File: `RPR2`, seven counts (documents, rules, symbols, bits of a symbol, bits of a length, ids that
+occur, bytes of their bitmap) as 64-bit integers; ids of documents (64-bit) and a byte each that
+tells missing ids; first symbol of each document and the end (64-bit); a bitmap of the ids that
+occur; then bit-packed, each from a byte of its own: left sides, right sides and expansion lengths of
+the rules, and the symbols. The first symbols are the ids that occur, in order; rules follow them.
+Integers are little-endian, packed bits begin with the highest.
 
 Defined cases: a NULL or empty text has just the end id. Missing ids come first; rows with equal
 ids are ordered by their text's hash, then text. Special strings inside texts are special tokens.
@@ -38,11 +42,15 @@ from logloom.llm.tokens import trim, vocabulary_path
 END_ID = 1
 SHARD_TOKENS = 400_000
 #: A pair is frequent if it occurs so often in its shard.
-FREQUENT = 24
-MAGIC = b"RPR1"
+FREQUENT = 12
+#: A rule pays if it is used so often.
+USED = 4
+MAGIC = b"RPR2"
 #: Entries of a worker's table of runs; those met first stay when it is full.
 KEEP, FULL = 1_000_000, 2_000_000
 SLOT_BITS = 18
+#: Marks the last symbol of a document.
+LAST = np.uint32(1 << 31)
 
 
 class Encoder:
@@ -94,51 +102,116 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def chosen_pairs(symbols: np.ndarray, last: np.ndarray, newest: int) -> tuple:
-    """(places, rule of each place, codes of the rules) of pairs that occur often.
+def chosen_pairs(symbols: np.ndarray, newest: int) -> tuple:
+    """(places, rule of each place, codes of the rules, their counts) of pairs that occur often.
 
-    Every frequent pair of the round before has been replaced or broken up, and counts of old
-    pairs only fall, so a pair can be frequent only if it has a symbol made since: `newest` on.
+    The frequent pairs of the round before have been replaced or broken up, and counts of old
+    pairs only fall, so a pair is looked for only if it has a symbol made since: `newest` on.
     A table of hashed counts leaves the pairs that may be frequent; these are counted exactly.
     """
-    fresh = symbols >= newest
-    inside = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~last[:-1])
-    code = (symbols[inside].astype(np.uint64) << np.uint64(32)) | symbols[inside + 1]
-    slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    may = np.flatnonzero((np.bincount(slot, minlength=1 << SLOT_BITS) >= FREQUENT)[slot])
-    rules, rule, count = np.unique(code[may], return_inverse=True, return_counts=True)
+    inner = symbols[:-1] < LAST
+    if newest:
+        fresh = (symbols & ~LAST) >= newest
+        inner &= fresh[:-1] | fresh[1:]
+    inside = np.flatnonzero(inner)
+    code = (symbols[inside].astype(np.uint64) << np.uint64(32)) | (symbols[inside + 1] & ~LAST)
+    if len(inside) > 1 << SLOT_BITS - 4:
+        slot = (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+        slot = slot.astype(np.int32)
+        may = np.flatnonzero((np.bincount(slot, minlength=1 << SLOT_BITS) >= FREQUENT)[slot])
+        inside, code = inside[may], code[may]
+    rules, rule, count = np.unique(code, return_inverse=True, return_counts=True)
     often = count >= FREQUENT
-    good = often[rule]
-    return inside[may[good]], (np.cumsum(often) - 1)[rule[good]], rules[often]
+    good = np.flatnonzero(often[rule])
+    return inside[good], (np.cumsum(often) - 1)[rule[good]], rules[often], count[often]
+
+
+def apart(place: np.ndarray, rule: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which of the ascending places are taken, none beside another; frequent pairs go first.
+
+    Of neighbours the pair with the higher count wins, of equal pairs the first, third, ... of a
+    run. What lies between the winners is looked at again, until every place is taken or beside one.
+    """
+    taken = np.zeros(len(place), dtype=bool)
+    strength = np.empty(len(count), dtype=np.int64)
+    strength[np.argsort(count, kind="stable")] = np.arange(len(count))
+    strength = strength[rule]
+    open_ones = np.arange(len(place))
+    while len(open_ones):
+        at, power = place[open_ones], strength[open_ones]
+        joined = np.diff(at) == 1
+        same = joined & (np.diff(power) == 0)
+        rising = joined & (np.diff(power) > 0)
+        falling = joined & (np.diff(power) < 0)
+        # runs of one pair stand and fall together
+        begin = np.append(0, np.flatnonzero(~same) + 1)
+        end = np.append(begin[1:], len(at)) - 1
+        beaten = np.zeros(len(begin), dtype=bool)
+        beaten[1:] |= falling[begin[1:] - 1]
+        beaten[:-1] |= rising[end[:-1]]
+        size = end - begin + 1
+        offset = np.arange(len(at)) - np.repeat(begin, size)
+        won = (offset % 2 == 0) & ~np.repeat(beaten, size)
+        taken[open_ones[won]] = True
+        left = np.repeat(beaten, size)
+        left[:-1] &= ~(joined & won[1:])
+        left[1:] &= ~(joined & won[:-1])
+        open_ones = open_ones[left]
+    return taken
 
 
 def compressed(ids: np.ndarray, ends: np.ndarray, first: int) -> tuple:
     """(symbols, last flags, left sides, right sides, rounds); nonterminals count from `first`."""
     symbols = ids.astype(np.uint32)
-    last = np.zeros(len(ids), dtype=bool)
-    last[ends - 1] = True
+    symbols[ends - 1] |= LAST
     lefts, rights, rounds = [], [], []
     made = 0
     while len(symbols) > 1:
-        place, rule, rules = chosen_pairs(symbols, last, first + made - rounds[-1] if rounds else 0)
+        place, rule, rules, count = chosen_pairs(
+            symbols, first + made - rounds[-1] if rounds else 0)
         if not len(place):
             break
-        # of overlapping pairs the first, third, ... of each run are taken
-        fresh = np.flatnonzero(np.diff(place, prepend=-2) != 1)
-        run_start = np.repeat(place[fresh], np.diff(np.append(fresh, len(place))))
-        take = (place - run_start) % 2 == 0
+        take = apart(place, rule, count)
         place, rule = place[take], rule[take]
-        symbols[place] = (first + made + rule).astype(np.uint32)
-        last[place] = last[place + 1]
+        pays = np.bincount(rule, minlength=len(rules)) >= USED
+        if not pays.any():
+            break
+        take = pays[rule]
+        place, rule, rules = place[take], (np.cumsum(pays) - 1)[rule[take]], rules[pays]
+        symbols[place] = (first + made + rule).astype(np.uint32) | (symbols[place + 1] & LAST)
         keep = np.ones(len(symbols), dtype=bool)
         keep[place + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        symbols = symbols[keep]
         lefts.append((rules >> np.uint64(32)).astype(np.uint32))
         rights.append((rules & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         rounds.append(len(rules))
         made += len(rules)
     join = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.uint32)
-    return symbols, last, join(lefts), join(rights), rounds
+    return symbols & ~LAST, symbols >= LAST, join(lefts), join(rights), rounds
+
+
+def bits_for(largest: int) -> int:
+    return max(1, int(largest).bit_length())
+
+
+def packed(values: np.ndarray, bits: int) -> bytes:
+    """The lowest `bits` bits of each value, one after another."""
+    width = 16 if bits <= 16 else 32
+    raw = values.astype(f">u{width // 8}").view(np.uint8).reshape(-1, width // 8)
+    return np.packbits(np.unpackbits(raw, axis=1)[:, width - bits :]).tobytes()
+
+
+def packed_size(count: int, bits: int) -> int:
+    return (count * bits + 7) // 8
+
+
+def unpacked(raw: bytes, count: int, bits: int, skip: int = 0) -> np.ndarray:
+    """`count` values of `bits` bits, after the first `skip` bits."""
+    flat = np.unpackbits(np.frombuffer(raw, np.uint8))[skip : skip + count * bits]
+    width = 16 if bits <= 16 else 32
+    wide = np.zeros((count, width), dtype=np.uint8)
+    wide[:, width - bits :] = flat.reshape(count, bits)
+    return np.packbits(wide).view(f">u{width // 8}").astype(np.uint32)
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -150,13 +223,15 @@ def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 class Grammar:
-    """Expansions of a shard's symbols: terminals are ids below `first`."""
+    """Expansions of a shard's symbols: first the ids that occur, then the rules."""
 
-    def __init__(self, first: int, left: np.ndarray, right: np.ndarray, sizes: np.ndarray):
-        self.first = first
-        self.sizes = sizes.astype(np.int64)
+    def __init__(self, terminals: np.ndarray, left: np.ndarray, right: np.ndarray,
+                 sizes: np.ndarray):
+        first = len(terminals)
+        self.sizes = np.concatenate([np.ones(first, dtype=np.int64), sizes.astype(np.int64)])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.zeros(int(self.sizes.sum()), dtype=np.uint32)
+        self.flat[:first] = terminals
         done = 0
         while done < len(left):
             # the longest stretch of rules whose sides are known already
@@ -165,44 +240,39 @@ class Grammar:
             upto = done + int(unknown[0]) if len(unknown) else len(left)
             sides = np.stack([left[done:upto], right[done:upto]], axis=1).ravel()
             own = self.expanded(sides)
-            at = int(self.starts[done])
+            at = int(self.starts[first + done])
             self.flat[at : at + len(own)] = own
             done = upto
 
     def lengths(self, symbols: np.ndarray) -> np.ndarray:
-        rule = symbols.astype(np.int64) - self.first
-        out = np.ones(len(symbols), dtype=np.int64)
-        out[rule >= 0] = self.sizes[rule[rule >= 0]]
-        return out
+        return self.sizes[symbols]
 
     def expanded(self, symbols: np.ndarray) -> np.ndarray:
-        rule = symbols.astype(np.int64) - self.first
-        is_rule = rule >= 0
-        pool = np.concatenate([self.flat, symbols[~is_rule]])
-        starts = np.zeros(len(symbols), dtype=np.int64)
-        starts[is_rule] = self.starts[rule[is_rule]]
-        starts[~is_rule] = len(self.flat) + np.arange(int((~is_rule).sum()))
-        return gathered(pool, starts, self.lengths(symbols))
+        return gathered(self.flat, self.starts[symbols], self.sizes[symbols])
 
 
 def shard_bytes(docs: list[int | None], parts: list[np.ndarray]) -> bytes:
     ids = np.concatenate(parts)
     ends = np.cumsum([len(p) for p in parts])
-    first = int(ids.max()) + 1
-    symbols, last, left, right, _ = compressed(ids, ends, first)
-    sizes: list[int] = []
+    occurs = np.bincount(ids) > 0
+    terminals = int(occurs.sum())
+    number = np.cumsum(occurs) - 1
+    symbols, last, left, right, _ = compressed(number[ids], ends, terminals)
+    sizes = [1] * terminals
     for a, b in zip(left.tolist(), right.tolist(), strict=True):
-        sizes.append((sizes[a - first] if a >= first else 1) + (sizes[b - first] if b >= first else 1))
+        sizes.append(sizes[a] + sizes[b])
+    lengths = np.array(sizes[terminals:], dtype=np.uint32)
     begins = np.concatenate([[0], np.flatnonzero(last) + 1]).astype("<i8")
-    wide = 3 if first + len(left) < 1 << 24 else 4
-    packed = symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide].tobytes()
-    head = np.array([len(docs), len(left), len(symbols), wide, first], dtype="<i8")
+    bits, length_bits = bits_for(terminals + len(left) - 1), bits_for(max(sizes))
+    bitmap = np.packbits(occurs)
+    head = np.array([len(docs), len(left), len(symbols), bits, length_bits, terminals,
+                     len(bitmap)], dtype="<i8")
     return b"".join([
         MAGIC, head.tobytes(),
         np.array([d or 0 for d in docs], dtype="<i8").tobytes(),
         np.array([d is None for d in docs], dtype=np.uint8).tobytes(),
-        begins.tobytes(), left.astype("<u4").tobytes(), right.astype("<u4").tobytes(),
-        np.array(sizes, dtype="<u4").tobytes(), packed])
+        begins.tobytes(), bitmap.tobytes(), packed(left, bits), packed(right, bits),
+        packed(lengths, length_bits), packed(symbols, bits)])
 
 
 class Shard:
@@ -210,17 +280,24 @@ class Shard:
 
     def __init__(self, file):
         self.file = file
-        size = len(MAGIC) + 40
+        size = len(MAGIC) + 56
         head = self.part(0, size)
         if head[:4] != MAGIC:
             raise ValueError("not a shard")
-        docs, rules, self.symbols, self.wide, first = np.frombuffer(head[4:], "<i8").tolist()
-        body = self.part(size, docs * 17 + 8 + rules * 12)
+        docs, rules, self.symbols, self.bits, length_bits, terminals, bitmap = np.frombuffer(
+            head[4:], "<i8").tolist()
+        side, length = packed_size(rules, self.bits), packed_size(rules, length_bits)
+        body = self.part(size, docs * 17 + 8 + bitmap + 2 * side + length)
         self.ids = np.frombuffer(body, "<i8", docs)
         self.missing = np.frombuffer(body, np.uint8, docs, docs * 8)
         self.begins = np.frombuffer(body, "<i8", docs + 1, docs * 9)
-        left, right, sizes = np.frombuffer(body, "<u4", 3 * rules, docs * 17 + 8).reshape(3, rules)
-        self.grammar = Grammar(first, left, right, sizes)
+        at = docs * 17 + 8
+        occurs = np.flatnonzero(np.unpackbits(np.frombuffer(body, np.uint8, bitmap, at)))
+        at += bitmap
+        left = unpacked(body[at : at + side], rules, self.bits)
+        right = unpacked(body[at + side : at + 2 * side], rules, self.bits)
+        sizes = unpacked(body[at + 2 * side :], rules, length_bits)
+        self.grammar = Grammar(occurs[:terminals], left, right, sizes)
         self.at = size + len(body)
 
     def part(self, start: int, size: int) -> bytes:
@@ -234,10 +311,9 @@ class Shard:
         return None if self.missing[n] else int(self.ids[n])
 
     def symbols_of(self, low: int, high: int) -> np.ndarray:
-        raw = self.part(self.at + low * self.wide, (high - low) * self.wide)
-        out = np.zeros((high - low, 4), dtype=np.uint8)
-        out[:, : self.wide] = np.frombuffer(raw, np.uint8).reshape(-1, self.wide)
-        return out.view("<u4").ravel()
+        begin = low * self.bits
+        raw = self.part(self.at + begin // 8, packed_size(high * self.bits, 1) - begin // 8)
+        return unpacked(raw, high - low, self.bits, begin % 8)
 
     def document(self, n: int) -> np.ndarray:
         """Ids of document `n`, from its own symbols and the rules."""
@@ -253,7 +329,7 @@ class Shard:
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
-    """Write the shards; their index: `part, shard, file, n_docs, n_tokens, n_symbols`.
+    """Write the shards; their index: `part, shard, file, n_docs, n_tokens, n_bytes`.
 
     `part` and `shard` order the shards as the documents are ordered.
     """
@@ -275,12 +351,14 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
         def flush() -> pa.RecordBatch:
             nonlocal ids, parts, held, number
             file = f"{part:06d}-{number:06d}-{uuid.uuid4().hex}.rpr"
+            content = shard_bytes(ids, parts)
             with store.open_output_stream(f"{base}/{file}") as out:
-                out.write(shard_bytes(ids, parts))
+                out.write(content)
             row = pa.record_batch({
                 "part": pa.array([part], pa.int32()), "shard": pa.array([number], pa.int32()),
                 "file": [file], "n_docs": pa.array([len(ids)], pa.int64()),
-                "n_tokens": pa.array([held], pa.int64())})
+                "n_tokens": pa.array([held], pa.int64()),
+                "n_bytes": pa.array([len(content)], pa.int64())})
             ids, parts, held, number = [], [], 0, number + 1
             return row
 
@@ -307,7 +385,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
         tasks, F.col("doc_id").asc_nulls_first(), "_hash")
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_hash", "text")
     return stored(rows.select("doc_id", "text").mapInArrow(
-        encode, "part int, shard int, file string, n_docs long, n_tokens long"), "shards")
+        encode, "part int, shard int, file string, n_docs long, n_tokens long, n_bytes long"), "shards")
 
 
 def starts(index: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logloom.llm import repair, tokens
+from logloom.llm.common import scratch
 from tests.conftest import TESTDATA
 from tests.llm.helpers import AWKWARD, documents
 
@@ -110,10 +111,63 @@ def test_random_access_and_rules():
     rng = np.random.default_rng(1)
     parts = [rng.integers(0, 6, n).astype(np.uint32) for n in (5000, 1, 3000, 40)]
     packed = repair.shard_bytes([3, None, 5, 6], parts)
-    assert len(packed) < 3 * sum(map(len, parts))
+    assert len(packed) < sum(map(len, parts))
     shard = repair.Shard(io.BytesIO(packed))
     assert len(shard.grammar.sizes) > 10
     assert [shard.doc_id(n) for n in range(4)] == [3, None, 5, 6]
     for n in (2, 0, 3, 1):
         assert shard.document(n).tolist() == parts[n].tolist()
     assert [d.tolist() for d in shard.documents()] == [p.tolist() for p in parts]
+
+
+def test_overlapping_pairs_go_to_the_more_frequent():
+    # places 0 1 2 | 5 6 7 8 | 10, rules 0 (rare), 1 (frequent)
+    place = np.array([0, 1, 2, 5, 6, 7, 8, 10])
+    rule = np.array([0, 1, 0, 1, 1, 1, 0, 0])
+    taken = repair.apart(place, rule, np.array([12, 40]))
+    assert place[taken].tolist() == [1, 5, 7, 10]
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        place = np.flatnonzero(rng.random(60) < 0.7)
+        rule, count = rng.integers(0, 5, len(place)), rng.integers(12, 30, 5)
+        got = place[repair.apart(place, rule, count)]
+        assert (np.diff(got) > 1).all()  # none beside another
+        assert all(p in got or p - 1 in got or p + 1 in got for p in place)
+
+
+def test_every_rule_is_used_and_expands_to_its_length():
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 900, rng.integers(1, 6)).astype(np.uint32) for _ in range(300)]
+    parts = [np.concatenate([words[i] for i in np.minimum(rng.zipf(1.3, 80) - 1, 299)])
+             for _ in range(200)]
+    ids = np.concatenate(parts)
+    symbols, last, left, right, _ = repair.compressed(ids, np.cumsum([len(p) for p in parts]), 900)
+    used = set(symbols.tolist()) | set(left.tolist()) | set(right.tolist())
+    assert len(left) > 20 and used >= set(range(900, 900 + len(left)))
+    assert last.sum() == len(parts)
+    shard = repair.Shard(io.BytesIO(repair.shard_bytes(list(range(len(parts))), parts)))
+    assert [d.tolist() for d in shard.documents()] == [p.tolist() for p in parts]
+
+
+@pytest.mark.parametrize("bits", [1, 7, 8, 13, 16, 17, 24, 31])
+def test_packed_bits_are_read_from_any_place(bits):
+    values = np.random.default_rng(bits).integers(0, 1 << bits, 100).astype(np.uint32)
+    raw = repair.packed(values, bits)
+    assert len(raw) == repair.packed_size(100, bits)
+    for low, high in ((0, 100), (0, 0), (3, 4), (50, 99)):
+        begin = low * bits
+        some = raw[begin // 8 : repair.packed_size(high, bits)]
+        assert repair.unpacked(some, high - low, bits, begin % 8).tolist() == \
+            values[low:high].tolist()
+
+
+def test_shards_of_the_documents_table_are_right_and_smaller_than_plain_ids(spark, library):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    folder = scratch(spark, "tokens")
+    index = repair.write(docs, folder)
+    sums = index.selectExpr("sum(n_bytes) b", "sum(n_tokens) n").first()
+    assert sums.b < 2 * sums.n
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in repair.read(index, folder).collect()}
+    for row in docs.collect():
+        ids = [*library.encode(row.text or "", add_special_tokens=False).ids, 1]
+        assert got[row.doc_id] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
