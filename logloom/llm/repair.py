@@ -27,6 +27,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import gc
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.common import open_store, scratch, ship, stored
-from logloom.llm.tokens import trim, vocabulary_path
+from logloom.llm.tokens import PARTS, trim, vocabulary_path
 
 END_ID = 1
 SHARD_TOKENS = 400_000
@@ -51,30 +52,78 @@ KEEP, FULL = 1_000_000, 2_000_000
 SLOT_BITS = 18
 #: Marks the last symbol of a document.
 LAST = np.uint32(1 << 31)
+#: New runs encoded as one text.
+TOGETHER = 512
 
 
 class Encoder:
-    """Ids of whole texts, with the ids of runs between ASCII white space kept for reuse."""
+    """Ids of whole texts, with the ids of runs between ASCII white space kept for reuse.
+
+    New runs are encoded together, with spaces between them: a run of letters in composed form is
+    one piece of the pre-tokenizer, and the pieces of an ASCII run can be counted. The last token of
+    a piece carries the end mark, so the ids are cut at these.
+    """
+
+    END = "</w>"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[n for token, n in vocabulary.items() if token.endswith(self.END)]] = True
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, runs: set[bytes]) -> None:
-        """Encode the runs in one call; a letter before a last `.` or `,` ends a word there."""
+        """Encode the runs; a letter before a last `.` or `,` ends a word there."""
         if not runs:
             return
         stems = {self.stem(r) for r in runs} | {b".", b","}
-        todo = [s for s in stems if s not in self.known]
-        for stem, found in zip(todo, self.library.encode_batch_fast(
-                [s.decode() for s in todo], add_special_tokens=False), strict=True):
+        sure: list[bytes] = []
+        pieces: list[int] = []
+        other: list[bytes] = []
+        for stem in stems:
+            if stem not in self.known:
+                count = self.pieces(stem)
+                if count:
+                    sure.append(stem)
+                    pieces.append(count)
+                else:
+                    other.append(stem)
+        for low in range(0, len(sure), TOGETHER):
+            other += self.learn_together(sure[low : low + TOGETHER], pieces[low : low + TOGETHER])
+        for stem, found in zip(other, self.library.encode_batch_fast(
+                [s.decode() for s in other], add_special_tokens=False), strict=True):
             self.known[stem] = np.array(found.ids, dtype="<u4").tobytes()
         for run in runs:
             if run not in self.known:
                 self.known[run] = self.known[run[:-1]] + self.known[run[-1:]]
 
+    @staticmethod
+    def pieces(stem: bytes) -> int:
+        """Pieces of the pre-tokenizer in a run, 0 if only the library can tell."""
+        if stem.isalpha():
+            return 1
+        if stem.isascii():
+            return 0 if b"<|" in stem else len(PARTS.findall(stem.decode()))
+        text = stem.decode()
+        return int(text.isalpha() and unicodedata.is_normalized("NFC", text))
+
+    def learn_together(self, stems: list[bytes], pieces: list[int]) -> list[bytes]:
+        """Encode the runs as one text and cut its ids; the runs if their pieces do not add up."""
+        (found,) = self.library.encode_batch_fast(
+            [b" ".join(stems).decode()], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        after = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+        if len(after) != sum(pieces):
+            return stems
+        raw, at = ids.tobytes(), 0
+        for stem, end in zip(stems, after[np.cumsum(pieces) - 1].tolist(), strict=True):
+            self.known[stem] = raw[at:end]
+            at = end
+        return []
+
     @staticmethod
     def stem(run: bytes) -> bytes:
         return run[:-1] if run[-1:] in b".," and len(run) > 1 and 97 <= run[-2] <= 122 else run
