@@ -420,7 +420,10 @@ def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     large = members.groupBy("of").agg(cuts.cast("int").alias("cuts")).filter("cuts > 1")
     members = members.join(large, "of", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("cuts")).cast("int")
-    meet = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda other: F.struct(
+    # a tile of two parts also compares each part with itself, so no part has a tile of its own
+    others = F.filter(F.sequence(F.lit(0), F.col("cuts") - 1),
+                      lambda other: (other != own) | (F.col("cuts") == 1))
+    meet = F.transform(others, lambda other: F.struct(
         F.least(own, other).alias("x"), F.greatest(own, other).alias("y")))
     members = members.withColumn("tile", F.explode(meet)).select("of", "tile", "rep")
     groups = members.join(sets, "rep").groupBy("of", "tile").agg(
