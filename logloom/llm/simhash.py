@@ -27,6 +27,7 @@ Empty tables give empty results; other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -279,6 +280,8 @@ NEAR_SEEDS = (42, 43)
 NEAR_RADIUS = 32
 NEAR_BITS = 14
 NEAR_TABLES = 64
+#: Of the 128 bits, those in which sets at the threshold differ; tables of more bits keep its recall.
+NEAR_APART = 20
 #: Shared part of the union of two shingle sets that are near copies, as a fraction.
 NEAR_SHARE = (4, 5)
 #: Fingerprints that are compared each with each, without bit planes.
@@ -288,6 +291,18 @@ TILE_SHINGLES = 1_000_000
 TILE_MEMBERS = 2048
 
 
+def near_tables(rows: int) -> tuple[int, int]:
+    """Sampled bits and number of tables for so many fingerprints.
+
+    A bucket holds at most `TILE` unrelated ones on average, so a row is compared with no more
+    however large the table is. Each further bit is agreed on less often by near copies, which as
+    many more tables make up for.
+    """
+    bits, wide = max(NEAR_BITS, math.ceil(math.log2(max(rows, 1) / TILE))), 64 * len(NEAR_SEEDS)
+    more = math.prod((wide - k) / (wide - NEAR_APART - k) for k in range(NEAR_BITS, bits))
+    return bits, math.ceil(NEAR_TABLES * more)
+
+
 def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
     return np.unique(shingle_hashes(text or "", words, seed))
 
@@ -396,11 +411,11 @@ def verified(ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
 def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Edges (a, b) between the `rep` of candidates whose shingle sets are near copies."""
     names = [f"f{i}" for i in range(len(NEAR_SEEDS))]
-    masks = sampled_masks(len(NEAR_SEEDS), NEAR_BITS, NEAR_TABLES)
     # one document, with an id if there is one, stands for those with equal sets
     some = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text"))
     reps = stored(rows.filter("size > 0").groupBy("rep", "size", *names).agg(
         some.alias("one")), "reps")
+    masks = sampled_masks(len(NEAR_SEEDS), *near_tables(reps.count()))
     found = stored(candidates(reps, names, NEAR_RADIUS, masks), "candidates")
     wanted = reps.join(found.select("rep").distinct(), "rep", "left_semi").select(
         F.col("one.doc_id").alias("_id"), F.col("one._text").alias("_text"), "rep")

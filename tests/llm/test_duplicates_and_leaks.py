@@ -177,6 +177,19 @@ def test_large_candidate_groups_are_tiled(spark, monkeypatch):
     assert [r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()] == [0]
 
 
+def test_buckets_of_large_tables_hold_no_more_and_find_as_much():
+    recall = []
+    for rows in (0, 1, 10**6, 6 * 10**7, 10**9, 10**11):
+        bits, tables = simhash.near_tables(rows)
+        assert rows / 2**bits <= simhash.TILE
+        agree = np.prod([(108 - k) / (128 - k) for k in range(bits)])  # 20 of 128 bits differ
+        recall.append(1 - (1 - agree) ** tables)
+    assert simhash.near_tables(6 * 10**7) == (simhash.NEAR_BITS, simhash.NEAR_TABLES)
+    assert min(recall) > 0.99
+    masks = simhash.sampled_masks(2, *simhash.near_tables(10**9))
+    assert {sum(m.bit_count() for m in mask) for mask in masks} == {simhash.near_tables(10**9)[0]}
+
+
 def test_leaks_exact_substituted_partial(spark):
     rng = random.Random(7)
     items = [(i, " ".join(prose(rng, n)).capitalize() + ".") for i, n in enumerate((14, 30, 60, 9))]
