@@ -15,7 +15,8 @@ Equal fingerprints are one row before anything is compared, so groups of copies
 
 For keeping one of several near copies the fingerprints only propose: documents that hang together
 within a bucket are compared by their sets of shingles, and only a pair that shares 0.8 of its
-union is linked. Documents with equal sets are one row, and each pass over a group compares one
+union is linked. Groups of several buckets that share members are compared as one where that
+makes no more pairs. Documents with equal sets are one row, and each pass over a group compares one
 member with those not yet reached, so a group of near copies costs about one pass.
 
 Defined cases: NULL and empty texts have fingerprint zero, linked like any other. A text with
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.common import minus, packed, same_row, ship, stored
 from logloom.llm.components import components
+from logloom.operators.lookup import lookup_join
 
 SEEDS = (42,)
 WORDS = 3
@@ -350,7 +352,10 @@ def close_forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarra
 
 
 def candidates(prints: DataFrame, names: list[str], radius: int, masks: list[tuple]) -> DataFrame:
-    """`of, rep`: the fingerprints that hang together within a bucket, each such group once."""
+    """`of, least, rep`: fingerprints that hang together within a bucket, each such group once.
+
+    `of` names the group, `least` is its smallest member.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,11 +377,39 @@ def candidates(prints: DataFrame, names: list[str], radius: int, masks: list[tup
                                for m, r in zip(np.split(member, cut), firsts, strict=True)]
             groups = [np.sort(g) for g in groups]
             names_of = np.array([xxhash.xxh64_intdigest(g.tobytes()) for g in groups], dtype=np.uint64)
+            firsts_of = np.array([g[0] for g in groups], dtype=np.int64)
+            many = [len(g) for g in groups]
             yield pa.record_batch({
-                "of": pa.array(np.repeat(names_of, [len(g) for g in groups]).view(np.int64)),
+                "of": pa.array(np.repeat(names_of, many).view(np.int64)),
+                "least": pa.array(np.repeat(firsts_of, many)),
                 "rep": pa.array(np.concatenate(groups) if groups else np.zeros(0, dtype=np.int64))})
 
-    return meetings(prints, names, masks).mapInArrow(compare, "of long, rep long").distinct()
+    return meetings(prints, names, masks).mapInArrow(
+        compare, "of long, least long, rep long").distinct()
+
+
+def merged(found: DataFrame) -> DataFrame:
+    """`of, rep`: the groups whose members are compared; each group of `candidates` is within one.
+
+    The buckets see a group of near copies up to 64 times, each time with other members missing.
+    All that hangs together over the buckets is one group, and each member there once, if that
+    makes no more pairs than its buckets' groups make together; others stay as they are.
+    """
+    belongs = stored(components(found.select(F.col("least").alias("a"), F.col("rep").alias("b"))),
+                     "belongs")
+    groups = found.groupBy("of", "least").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    groups = stored(groups.join(belongs, F.col("least") == F.col("node")).select(
+        "of", "component", "n"), "groups")
+    one = belongs.groupBy("component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    apart = groups.groupBy("component").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    whole = stored(one.join(apart, "component").filter(F.col("n") * F.col("n") <= F.col("pairs")).select(
+        "component"), "whole")
+    together = lookup_join(belongs, whole, ["component"], "left_semi", spread="node", settled=True)
+    others = stored(lookup_join(groups, whole, ["component"], "left_anti", spread="of", settled=True)
+                    .select("of"), "others")
+    single = lookup_join(found, others, ["of"], "left_semi", spread="rep", settled=True)
+    return together.select(F.xxhash64("component", F.lit("whole")).alias("of"),
+                           F.col("node").alias("rep")).unionByName(single.select("of", "rep"))
 
 
 def verified(ids: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -430,7 +463,7 @@ def near_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
                 sets, type=pa.list_(pa.int64()))})
 
     sets = texts.mapInArrow(split, "rep long, shingles array<long>").dropDuplicates(["rep"])
-    members = found.join(reps.select("rep", "size"), "rep")
+    members = stored(merged(found), "members").join(reps.select("rep", "size"), "rep")
     cuts = F.greatest(F.ceil(F.sum("size") / TILE_SHINGLES), F.ceil(F.count("rep") / TILE_MEMBERS))
     large = members.groupBy("of").agg(cuts.cast("int").alias("cuts")).filter("cuts > 1")
     members = members.join(large, "of", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))

@@ -177,6 +177,21 @@ def test_large_candidate_groups_are_tiled(spark, monkeypatch):
     assert [r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()] == [0]
 
 
+def test_groups_of_several_buckets_are_merged_where_that_is_less(spark):
+    groups = [(1, 2, 3), (1, 3, 4), (2, 3, 4), (1, 2, 3, 4), (4, 2),  # 16 pairs of one, 47 of five
+              *((10 * n, 10 * n + 10) for n in range(2, 9)),  # a chain: 64 pairs of one, 28 of seven
+              (500, 501)]
+    rows = [(n, min(g), rep) for n, g in enumerate(groups) for rep in g]
+    found = simhash.merged(spark.createDataFrame(rows, "of long, least long, rep long")).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.of, []).append(r.rep)
+    want = [(1, 2, 3, 4), *((10 * n, 10 * n + 10) for n in range(2, 9)), (500, 501)]
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want))
+    empty = spark.createDataFrame([], "of long, least long, rep long")
+    assert simhash.merged(empty).collect() == []
+
+
 def test_buckets_of_large_tables_hold_no_more_and_find_as_much():
     recall = []
     for rows in (0, 1, 10**6, 6 * 10**7, 10**9, 10**11):
