@@ -502,7 +502,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), "_text", F.coalesce("component", "rep").alias("class")), "groups")
     own = F.struct(F.col("_id").isNull(), "_id", "_text")
     first = rows.groupBy("class").agg(F.min(own).alias("first"))
-    gone = rows.join(first, "class").filter(~own.eqNullSafe(F.col("first"))).select("_id", "_text")
+    first = first.select("class", "first._id", "first._text")
+    # all three columns are keys, so the rows of one class meet in no task
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("class", "_id", "_text")]
+    gone = rows.alias("r").join(first.alias("s"), same, "left_anti").select("_id", "_text")
     twice = rows.groupBy("_id", "_text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if twice.isEmpty():
         return minus(docs, gone)
