@@ -395,8 +395,10 @@ def merged(found: DataFrame) -> DataFrame:
     All that hangs together over the buckets is one group, and each member there once, if that
     makes no more pairs than its buckets' groups make together; others stay as they are.
     """
-    belongs = stored(components(found.select(F.col("least").alias("a"), F.col("rep").alias("b"))),
-                     "belongs")
+    # a member ties the least ones of its groups, at most one a bucket, to each other: few edges
+    ties = found.groupBy("rep").agg(F.min("least").alias("a"), F.collect_set("least").alias("all"))
+    ties = ties.select("a", F.explode(F.array_union("all", F.array("rep"))).alias("b")).distinct()
+    belongs = stored(components(ties), "belongs")
     groups = found.groupBy("of", "least").agg(F.count(F.lit(1)).cast("double").alias("n"))
     groups = stored(groups.join(belongs, F.col("least") == F.col("node")).select(
         "of", "component", "n"), "groups")
