@@ -7,8 +7,11 @@ Inline elements belong to the text around them. Elements left open end where HTM
 from __future__ import annotations
 
 import html
+import math
 import re
 
+import numpy as np
+
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -280,6 +283,7 @@ def numbered(tree: Node) -> int:
     return count
 
 
+#: Sibling lists with more pairs than this are aligned in bounded memory, with equal results.
 CELLS = 250_000
 
 
@@ -320,13 +324,7 @@ def match(a: Node, b: Node) -> tuple[int, list]:
     shared = {signature(k) for k in a.kids} & {signature(k) for k in b.kids}
     left, right = collapsed(a.kids, shared), collapsed(b.kids, shared)
     if len(left) * len(right) > CELLS:
-        return greedy(left, right)
-
-    def pair(x, y) -> tuple[int, list]:
-        if isinstance(x, list) or isinstance(y, list):
-            simple = isinstance(x, list) and isinstance(y, list) and x[0].label == y[0].label
-            return (1, []) if simple else (0, [])
-        return match(x, y)
+        return aligned(left, right)
 
     table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     found = {}
@@ -350,19 +348,123 @@ def match(a: Node, b: Node) -> tuple[int, list]:
     return 1 + table[-1][-1], out
 
 
-def greedy(left: list, right: list) -> tuple[int, list]:
-    """For very long lists of siblings: the first equal texts after the last match, in order."""
-    places: dict = {}
-    for n, y in enumerate(right):
-        if not isinstance(y, list):
-            places.setdefault(signature(y), []).append(n)
-    score, out, after = 1, [], -1
-    for x in left:
-        if isinstance(x, list) or signature(x) is None:
-            continue
-        n = next((n for n in places.get(signature(x), []) if n > after), None)
-        if n is not None:
-            more, pairs = match(x, right[n])
-            score, after = score + more, n
-            out += pairs
-    return score, out
+def pair(x: Node | list[Node], y: Node | list[Node]) -> tuple[int, list]:
+    """Match of two siblings; a run of simple ones matches a run of its kind."""
+    if isinstance(x, list) or isinstance(y, list):
+        simple = isinstance(x, list) and isinstance(y, list) and x[0].label == y[0].label
+        return (1, []) if simple else (0, [])
+    return match(x, y)
+
+
+def aligned(left: list, right: list) -> tuple[int, list]:
+    """The match of two long lists of siblings, as the full table gives it.
+
+    Only every so many rows of the table are kept; those between are made again on the way back.
+    """
+    scores = Scores(left, right)
+    step = math.isqrt(len(left)) + 1
+
+    def below(above: np.ndarray, found: np.ndarray) -> np.ndarray:
+        row = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[:-1] + found, above[1:]), out=row[1:])
+        return row
+
+    row, kept = np.zeros(len(right) + 1, dtype=np.int64), []
+    for i, x in enumerate(left):
+        if i % step == 0:
+            kept.append(row)
+        row = below(row, scores.row(x))
+    best = int(row[-1])
+    j, out = len(right), []
+    for first in range((len(kept) - 1) * step, -1, -step):
+        some = left[first : first + step]
+        block, own = [kept[first // step]], [scores.row(x) for x in some]
+        for found in own:
+            block.append(below(block[-1], found))
+        i = len(some)
+        while i and j:
+            here, above = block[i], block[i - 1]
+            score = own[i - 1][j - 1]
+            if score and here[j] == above[j - 1] + score:
+                out += pair(some[i - 1], right[j - 1])[1]
+                i, j = i - 1, j - 1
+            elif here[j] == above[j]:
+                i -= 1
+            else:
+                j -= 1
+    return 1 + best, out
+
+
+def described(x: Node | list[Node], kinds: dict) -> tuple:
+    """Label (and if it is a run), number of the shape, and texts of a sibling."""
+    if isinstance(x, list):
+        return (x[0].label, True), -1, frozenset()
+    texts = set()
+
+    def shape(node: Node) -> int:
+        if node.text is not None:
+            texts.add(node.text)
+            return kinds.setdefault((node.label, None), len(kinds))
+        return kinds.setdefault((node.label, tuple(map(shape, node.kids))), len(kinds))
+
+    return (x.label, False), shape(x), frozenset(texts)
+
+
+def strange(node: Node) -> Node:
+    """The node with texts that equal no others."""
+    copy = Node(node.tag, node.label)
+    copy.text = None if node.text is None else object()
+    copy.kids = [strange(k) for k in node.kids]
+    return copy
+
+
+class Scores:
+    """Scores of `pair` for each of `left` against all of `right`.
+
+    Where two siblings have no text in common, the score depends on their shapes alone and is computed
+    one time. What is remembered is bounded; the rest is computed again.
+    """
+
+    def __init__(self, left: list, right: list):
+        kinds: dict = {}
+        self.right, self.kept, self.known, self.rows = right, 0, {}, {}
+        self.left = {id(x): described(x, kinds) for x in left}
+        self.of_right = [described(y, kinds) for y in right]
+        self.holding: dict = {}
+        first: dict = {}
+        for j, (kind, shape, texts) in enumerate(self.of_right):
+            first.setdefault((kind, shape), j)
+            for text in texts:
+                self.holding.setdefault((kind, text), []).append(j)
+        self.shapes = {key: n for n, key in enumerate(first)}
+        self.examples = [(key, right[j]) for key, j in first.items()]
+        self.shape_of = np.array([self.shapes[d[:2]] for d in self.of_right])
+
+    def remember(self, where: dict, key, value, size: int):
+        if self.kept + size <= 16 * CELLS:
+            where[key] = value
+            self.kept += size
+        return value
+
+    def by_shape(self, x: Node | list[Node]) -> np.ndarray:
+        kind, shape, _ = self.left[id(x)]
+        if (kind, shape) in self.known:
+            return self.known[kind, shape]
+        bare = x if kind[1] else strange(x)
+        found = np.array([0 if key[0] != kind else 1 if kind[1] else match(bare, strange(y))[0]
+                          for key, y in self.examples], dtype=np.int64)
+        return self.remember(self.known, (kind, shape), found, len(found))
+
+    def by_text(self, x: Node | list[Node]) -> tuple[np.ndarray, np.ndarray]:
+        if id(x) in self.rows:
+            return self.rows[id(x)]
+        kind, _, texts = self.left[id(x)]
+        met = sorted({j for t in texts for j in self.holding.get((kind, t), ())})
+        found = np.array(met, dtype=np.int32), np.array([match(x, self.right[j])[0] for j in met], dtype=np.int64)
+        return self.remember(self.rows, id(x), found, len(met))
+
+    def row(self, x: Node | list[Node]) -> np.ndarray:
+        out = self.by_shape(x)[self.shape_of]
+        met, found = self.by_text(x)
+        out[met] = found
+        return out

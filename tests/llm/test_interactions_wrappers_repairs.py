@@ -192,6 +192,37 @@ def test_matching_is_the_largest():
     assert {(a.text, b.text) for a, b in pairs} >= {("a", "a"), ("x", "x"), ("c", "c")}
 
 
+def matched(one, other):
+    score, pairs = dom.match(dom.tree(one), dom.tree(other))
+    return score, [(a.text, b.text) for a, b in pairs]
+
+
+def test_long_lists_of_siblings_match_like_short_ones(monkeypatch):
+    def page(*words):
+        return "".join(f"<p>{w}" for w in words)
+
+    many = [f"w{n}" for n in range(700)]
+    assert len(many) ** 2 > dom.CELLS
+    score, pairs = matched(page("moved", *many), page(*many, "moved"))
+    assert score == 1 + 3 * len(many) and sorted(pairs) == sorted(zip(many, many))
+
+    rng = np.random.default_rng(8)
+
+    def grown(depth):
+        kinds = ["p", "div", "section", "li"]
+        inner = "".join(grown(depth - 1) for _ in range(rng.integers(1, 7))) if depth else ""
+        kind, word = kinds[rng.integers(4)], "abc"[rng.integers(3)]
+        return f"<{kind}>{word}</{kind}>" if not depth or rng.random() < 0.3 else f"<{kind}>{inner}</{kind}>{word}"
+
+    for _ in range(150):
+        one, other = ("".join(grown(2) for _ in range(rng.integers(1, 9))) for _ in range(2))
+        whole = matched(one, other)
+        with monkeypatch.context() as m:
+            m.setattr(dom, "CELLS", 0)
+            assert matched(one, other) == whole
+
+
+
 # --- conversations
 
 LEGAL = re.compile("(s?(ua)+)?")
