@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.functions.once import once
 from logloom.functions.patterns import redact_credentials
 from logloom.functions.severity import severity_of, severity_of_number, unify_severity
 from logloom.functions.values import string_of
@@ -440,12 +441,13 @@ def stdout_lines(spark: SparkSession, folder: str) -> DataFrame:
     from logloom.sources.sinks import stdout_lines as to_lines
 
     lines = to_lines(recover_metadata(views.logs(spark, folder), RouteOptions()), "record_id")
-    parsed = F.try_parse_json("value")
-    return lines.select(
-        "record_id", F.try_variant_get(parsed, "$.timestamp", "string").alias("timestamp"),
-        F.try_variant_get(parsed, "$.record.log", "string").alias("log"),
-        F.try_variant_get(parsed, "$.record.kubernetes.pod_name", "string").alias("pod"),
-    ).filter("log is not null")
+    # each line is written once and parsed once
+    parsed = once(once(lines, value=F.col("value")), parsed=F.try_parse_json("value"))
+    found = once(
+        parsed, timestamp=F.try_variant_get("parsed", "$.timestamp", "string"),
+        log=F.try_variant_get("parsed", "$.record.log", "string"),
+        pod=F.try_variant_get("parsed", "$.record.kubernetes.pod_name", "string"))
+    return found.select("record_id", "timestamp", "log", "pod").filter("log is not null")
 
 
 @query(sql("""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators.parse import json_records
 from logloom.session import prepare
-from logloom.sources.readers import spread_if_narrow
+from logloom.sources.readers import spread_for_work, spread_if_narrow, tasks_for
 
 
 # column that spreads a table evenly: its own unique id
@@ -16,8 +16,11 @@ SPREAD = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, costly: bool = False) -> DataFrame:
+    """A test table; spread by its number of rows if the work on each is `costly`."""
     df = prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    if costly:
+        return spread_for_work(df, SPREAD[name])
     return spread_if_narrow(df, SPREAD[name]) if name in SPREAD else df
 
 
@@ -46,7 +49,7 @@ def stream_of(
 
 
 def raw_logs(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_logs_of(table(spark, folder, "events"))
+    return raw_logs_of(table(spark, folder, "events", costly=True))
 
 
 def raw_logs_of(e: DataFrame) -> DataFrame:
@@ -146,7 +149,7 @@ def journal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return cluster_changes_of(table(spark, folder, "events"))
+    return cluster_changes_of(table(spark, folder, "events", costly=True))
 
 
 def cluster_changes_of(events: DataFrame) -> DataFrame:
@@ -222,7 +225,7 @@ def collector_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kube_events(spark: SparkSession, folder: str) -> DataFrame:
-    return kube_events_of(table(spark, folder, "orders"))
+    return kube_events_of(table(spark, folder, "orders", costly=True))
 
 
 def kube_events_of(o: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.once import once
@@ -40,6 +40,25 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+#: Rows of costly work for each task.
+ROWS_PER_TASK = 200_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int | None = None) -> int:
+    """Tasks for costly work on so many rows: one a core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // (rows_per_task or ROWS_PER_TASK)))
+
+
+def spread_for_work(df: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
+    """Spread stored rows before costly work, if they are read by too few tasks for their number.
+
+    Compact files hold millions of rows in what one task reads. They are counted first, which for
+    Parquet reads file footers only.
+    """
+    tasks = tasks_for(df.sparkSession, df.count(), rows_per_task)
+    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
+
+
 def tag_of(path: Column) -> Column:
     """File path to tag: `kubernetes` and the path with dots for slashes."""
     bare = F.regexp_replace(path, "^file:/+", "/")
