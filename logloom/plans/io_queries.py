@@ -33,6 +33,12 @@ def _workspace(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/io-{uuid.uuid4().hex}"
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """`df` written once and read back, for results that are used more than one time."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query(sql("""
 SELECT event_type AS kind, CASE WHEN event_id % 40 = 0 THEN 'panic' ELSE strftime(ts, '%Y') END
   AS head, count(*) AS lines FROM events WHERE event_type <> 'error' GROUP BY ALL"""))
@@ -186,10 +192,11 @@ def delivered_by_sink(spark: SparkSession, folder: str) -> DataFrame:
     path = _workspace(spark)
     clients = {"SEED": "stdout", "SHOOT": "otlp_grpc"}
     routes = clusters.current_routes(views.cluster_changes(spark, folder), OPTIONS)
-    sent = routing.fan_out(routing.ledger(views.logs(spark, folder), routes, OPTIONS))
+    decided = routing.fan_out(routing.ledger(views.logs(spark, folder), routes, OPTIONS))
+    sent = _kept(decided, f"{path}/sent")
     for target in clients:
         rows = sent.filter(F.col("target") == target)
-        batch = rows if target == "SEED" else otel.to_otel(rows, OPTIONS)
+        batch = rows if target == "SEED" else _kept(otel.to_otel(rows, OPTIONS), f"{path}/built")
         for _ in range(2):
             sinks.sink_for_target(target, clients, path).write(batch, 0)
     stored = spark.read.parquet(f"{path}/shoot").groupBy("endpoint").agg(

@@ -27,3 +27,23 @@ def test_a_line_read_back_is_written_and_parsed_once(spark):
     plan = optimized(QUERIES["stdout_lines"](spark, TESTDATA))
     assert plan.count("parseJson(value") == 1
     assert plan.count("MapType(StringType,VariantType,true),Some(UTC)).evaluate") == 1
+
+
+def test_a_batch_delivered_twice_is_built_once(spark, monkeypatch):
+    plans = []
+
+    class Sink:
+        def write(self, batch, batch_id):
+            plans.append(optimized(batch))
+            self.sink.write(batch, batch_id)
+
+    make = sinks.sink_for_target
+
+    def made(*args):
+        one = Sink()
+        one.sink = make(*args)
+        return one
+
+    monkeypatch.setattr(io_queries.sinks, "sink_for_target", made)
+    assert QUERIES["delivered_by_sink"](spark, TESTDATA).count()
+    assert len(plans) == 4 and not any("parseJson" in p for p in plans)
