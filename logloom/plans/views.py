@@ -33,9 +33,10 @@ def namespace_of(user_id: Column) -> Column:
 def stream_of(
     spark: SparkSession, folder: str, name: str, most_bytes: int = 1 << 30
 ) -> DataFrame:
-    """The same table as a stream of bounded micro-batches; its NTZ times become TIMESTAMP, as
-    watermarks need."""
-    schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
+    """The same table as a stream of bounded micro-batches, each spread by its number of rows; its
+    NTZ times become TIMESTAMP, as watermarks need."""
+    stored = prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    schema = stored.schema
     reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", most_bytes)
     path = f"{folder}/{name}.parquet"
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,6 +45,10 @@ def stream_of(
         stream = reader.parquet(path)
     else:  # a table of one file is picked out of its folder
         stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    if name in SPREAD:
+        size = max(store.getContentSummary(at).getLength(), 1)
+        batch = -(-stored.count() * min(most_bytes, size) // size)
+        stream = stream.repartition(tasks_for(spark, batch), SPREAD[name])
     times = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in times})
 

@@ -23,6 +23,19 @@ def test_records_are_spread_by_their_number(spark, view, monkeypatch):
     assert spread.rdd.getNumPartitions() == -(-rows // 50)
 
 
+def test_streams_are_spread_before_their_records_are_parsed(spark, monkeypatch):
+    monkeypatch.setattr(readers, "ROWS_PER_TASK", 50)
+    seen = []
+
+    def deliver(batch, batch_id):
+        seen.append(batch.rdd.getNumPartitions())
+
+    work = stream_queries._workspace(spark)
+    stream = views.stream_of(spark, TESTDATA, "events")
+    stream_queries._drain(views.raw_logs_of(stream), deliver, work)
+    assert seen == [-(-views.table(spark, TESTDATA, "events").count() // 50)]
+
+
 def test_a_line_read_back_is_written_and_parsed_once(spark):
     plan = optimized(QUERIES["stdout_lines"](spark, TESTDATA))
     assert plan.count("parseJson(value") == 1
