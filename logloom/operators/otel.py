@@ -174,7 +174,8 @@ def pack(df: DataFrame) -> DataFrame:
 def unpack(lines: DataFrame, schema) -> DataFrame:
     """Read packed lines back; attributes of type `other` are not restored."""
     df = once(lines, r=F.from_json("value", schema)).select("r.*")
-    return df.withColumn("attributes", F.filter("attributes", lambda a: a["value_type"] != "other"))
+    restored = F.filter("attributes", lambda a: a["value_type"] != "other")
+    return once(df, attributes=restored).select(*df.columns)
 
 
 __all__ = [

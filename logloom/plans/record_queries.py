@@ -464,7 +464,8 @@ def packed_records(spark: SparkSession, folder: str) -> DataFrame:
     def found(key):
         return F.get(F.filter("attributes", lambda a: a["key"] == key), F.lit(0))
 
-    return back.select(
-        "record_id", "severity_text", found("user")["int_value"].alias("user_number"),
-        found("value")["flt_value"].alias("value_number"),
+    values = once(back.select("record_id", "severity_text", "attributes"), user=found("user"), value=found("value"))
+    return values.select(
+        "record_id", "severity_text", F.col("user")["int_value"].alias("user_number"),
+        F.col("value")["flt_value"].alias("value_number"),
     ).filter("user_number is not null")

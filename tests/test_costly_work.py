@@ -42,6 +42,11 @@ def test_a_line_read_back_is_written_and_parsed_once(spark):
     assert plan.count("MapType(StringType,VariantType,true),Some(UTC)).evaluate") == 1
 
 
+def test_a_packed_attribute_is_looked_up_once(spark):
+    plan = optimized(QUERIES["packed_records"](spark, TESTDATA))
+    assert plan.count(".key = user)") == 1
+
+
 def test_a_batch_delivered_twice_is_built_once(spark, monkeypatch):
     plans = []
 
