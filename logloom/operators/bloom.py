@@ -42,8 +42,13 @@ def stored_file() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def numbered(files: DataFrame) -> DataFrame:
+    """(`file`, `number`) of different files: rows by item carry the number, not the path."""
+    return settle(files.select("file").distinct().withColumn("number", F.monotonically_increasing_id()))
+
+
 def index_of(items: DataFrame) -> DataFrame:
-    """Index of `items` (group, file, item); NULL items are left out."""
+    """Index of `items` (group, file, item); NULL items are left out. `file` may be its number."""
     items = settle(items.filter("item IS NOT NULL").select("group", "file", "item").distinct())
     need = F.ceil(F.log2(F.greatest(F.count(F.lit(1)) / ITEMS_PER_BLOCK, F.lit(1.0))))
     sizes = items.groupBy("group", "file").agg(F.pow(F.lit(2.0), need).cast("long").alias("blocks"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.operators import bloom
+from logloom.operators.lookup import lookup_join
 from logloom.operators.select import at, field_has
 
 STREAM = "stream_id"
@@ -25,12 +26,15 @@ def words(text: Column) -> Column:
 def write_index(spark: SparkSession, path: str, *columns: str) -> None:
     """Index the stored logs (`ts`, `stream_id`, text `columns`) below `path`, whole."""
     rows = spark.read.parquet(path).withColumn("_file", bloom.stored_file())
-    texts = [rows.select(F.lit(c).alias("group"), F.col("_file").alias("file"), F.explode(words(F.col(c))).alias("item"))
-             for c in columns]
-    items = rows.select(F.lit(STREAM).alias("group"), F.col("_file").alias("file"), F.col(STREAM).alias("item"))
-    for more in texts:
-        items = items.unionByName(more)
-    bloom.index_of(items).write.mode("overwrite").partitionBy("group").parquet(f"{path}/_index/words")
+    files = bloom.numbered(rows.select(F.col("_file").alias("file")))
+    known = lookup_join(rows.withColumnRenamed("_file", "file"), files, ["file"], settled=True)
+    no = F.col("number").alias("file")
+    items = known.select(F.lit(STREAM).alias("group"), no, F.col(STREAM).alias("item"))
+    for c in columns:
+        items = items.unionByName(known.select(F.lit(c).alias("group"), no, F.explode(words(F.col(c))).alias("item")))
+    index = bloom.index_of(items).withColumnRenamed("file", "number")
+    index = lookup_join(index, files.select("number", "file"), ["number"], settled=True).drop("number")
+    index.write.mode("overwrite").partitionBy("group").parquet(f"{path}/_index/words")
     rows.groupBy(F.col("_file").alias("file")).agg(
         F.min("ts").alias("first"), F.max("ts").alias("last"), F.min(STREAM).alias("low"), F.max(STREAM).alias("high"),
     ).write.mode("overwrite").parquet(f"{path}/_index/ranges")

@@ -65,3 +65,20 @@ def test_a_batch_delivered_twice_is_built_once(spark, monkeypatch):
     monkeypatch.setattr(io_queries.sinks, "sink_for_target", made)
     assert QUERIES["delivered_by_sink"](spark, TESTDATA).count()
     assert len(plans) == 4 and not any("parseJson" in p for p in plans)
+
+
+def test_items_of_an_index_carry_numbers_not_paths(spark, monkeypatch, tmp_path):
+    kinds = []
+    build = bloom.index_of
+
+    def index_of(items):
+        kinds.append(items.schema["file"].dataType.typeName())
+        return build(items)
+
+    monkeypatch.setattr(search.bloom, "index_of", index_of)
+    rows = spark.sql("SELECT timestamp_ntz'2024-01-01' AS ts, concat('s', id % 3) AS stream_id, concat('w', id) AS body "
+                     "FROM range(30)")
+    rows.repartition(3).write.parquet(f"{tmp_path}/rows")
+    search.write_index(spark, f"{tmp_path}/rows", "body")
+    assert kinds == ["long"]
+    assert [r.body for r in search.search(spark, f"{tmp_path}/rows", {"body": "w7"}).collect()] == ["w7"]
