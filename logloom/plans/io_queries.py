@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.functions.once import once
 from logloom.operators import buffer, clusters, collectors, counters, otel, routing, search, select
 from logloom.operators.stored import stored_logs
 from logloom.options import RouteOptions
@@ -245,9 +246,11 @@ def unique_ids_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct ids of the month from hourly sketches, within 5 % of the exact number beside them."""
     path = _workspace(spark)
     logs = stored_logs(views.logs(spark, folder), OPTIONS)
-    ids = select.extract(logs, ID_PATTERN, "body", "id").withColumn("namespace", F.coalesce("namespace", F.lit("")))
-    select.unique_sketches(ids, "id", "namespace").write.parquet(path)
-    estimate = select.unique_in(spark.read.parquet(path), "2024-01-01", "2024-02-01", "namespace")
+    ids = select.extract(once(logs, body=F.col("body")), ID_PATTERN, "body", "id").withColumn(
+        "namespace", F.coalesce("namespace", F.lit("")))
+    ids = _kept(ids.select("ts", "namespace", "id"), f"{path}/ids")
+    select.unique_sketches(ids, "id", "namespace").write.parquet(f"{path}/sketches")
+    estimate = select.unique_in(spark.read.parquet(f"{path}/sketches"), "2024-01-01", "2024-02-01", "namespace")
     exact = select.count_unique(ids, "id", "namespace")
     both = exact.join(estimate.withColumnRenamed("unique", "estimate"), "namespace")
     close = F.abs(F.col("estimate") - F.col("unique")) <= F.greatest(0.05 * F.col("unique"), F.lit(1.0))

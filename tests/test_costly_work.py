@@ -67,6 +67,10 @@ def test_a_batch_delivered_twice_is_built_once(spark, monkeypatch):
     assert len(plans) == 4 and not any("parseJson" in p for p in plans)
 
 
+def test_sketches_and_exact_counts_share_one_extraction(spark):
+    assert "parseJson" not in optimized(QUERIES["unique_ids_from_sketches"](spark, TESTDATA))
+
+
 def test_items_of_an_index_carry_numbers_not_paths(spark, monkeypatch, tmp_path):
     kinds = []
     build = bloom.index_of
