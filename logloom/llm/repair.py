@@ -54,11 +54,18 @@ SLOT_BITS = 18
 LAST = np.uint32(1 << 31)
 #: New runs encoded as one text.
 TOGETHER = 512
+#: Bytes of the texts encoded at a time, one text at least.
+CHUNK_BYTES = 4_000_000
 
 
 class Encoder:
     """Ids of whole texts, with the ids of runs between ASCII white space kept for reuse.
 
+    Texts are cut into runs as one array of bytes, and equal runs of a chunk are looked up once. A
+    run ends at white space and where a lower-case letter of Latin-1 meets ASCII punctuation: there
+    the pre-tokenizer cuts too and no characters compose. An apostrophe is not cut from the letters
+    after it (contractions), and texts that may hold a special token are cut at white space only.
+
     New runs are encoded together, with spaces between them: a run of letters in composed form is
     one piece of the pre-tokenizer, and the pieces of an ASCII run can be counted. The last token of
     a piece carries the end mark, so the ids are cut at these.
@@ -73,73 +80,141 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[n for token, n in vocabulary.items() if token.endswith(self.END)]] = True
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, runs: set[bytes]) -> None:
-        """Encode the runs; a letter before a last `.` or `,` ends a word there."""
-        if not runs:
-            return
-        stems = {self.stem(r) for r in runs} | {b".", b","}
-        sure: list[bytes] = []
-        pieces: list[int] = []
-        other: list[bytes] = []
-        for stem in stems:
-            if stem not in self.known:
-                count = self.pieces(stem)
-                if count:
-                    sure.append(stem)
-                    pieces.append(count)
-                else:
-                    other.append(stem)
+        #: Number of a run; its ids are flat[starts[number] : starts[number + 1]], run 0 is the end id.
+        self.known: dict[bytes, int] = {b"": 0}
+        self.flat = np.array([END_ID], dtype=np.uint32)
+        self.starts = np.array([0, 1], dtype=np.int64)
+
+    def keep(self, runs: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        held = len(self.known)
+        begin = int(self.starts[held])
+        self.known.update(zip(runs, range(held, held + len(runs)), strict=True))
+        self.flat = longer(self.flat, begin + len(ids))
+        self.flat[begin : begin + len(ids)] = ids
+        self.starts = longer(self.starts, held + len(runs) + 1)
+        self.starts[held + 1 : held + len(runs) + 1] = begin + np.cumsum(sizes)
+
+    def learn(self, runs: list[bytes], letters: list[bool]) -> None:
+        """Encode new runs; those of `letters` are one piece each."""
+        pieces = [1 if one else self.pieces(r) for r, one in zip(runs, letters, strict=True)]
+        other = [r for r, n in zip(runs, pieces, strict=True) if not n]
+        sure = [r for r, n in zip(runs, pieces, strict=True) if n]
+        pieces = [n for n in pieces if n]
         for low in range(0, len(sure), TOGETHER):
             other += self.learn_together(sure[low : low + TOGETHER], pieces[low : low + TOGETHER])
-        for stem, found in zip(other, self.library.encode_batch_fast(
-                [s.decode() for s in other], add_special_tokens=False), strict=True):
-            self.known[stem] = np.array(found.ids, dtype="<u4").tobytes()
-        for run in runs:
-            if run not in self.known:
-                self.known[run] = self.known[run[:-1]] + self.known[run[-1:]]
+        found = self.library.encode_batch_fast([r.decode() for r in other], add_special_tokens=False)
+        ids = [f.ids for f in found]
+        self.keep(other, np.array([n for own in ids for n in own], dtype=np.uint32),
+                  np.array([len(own) for own in ids], dtype=np.int64))
 
     @staticmethod
-    def pieces(stem: bytes) -> int:
+    def pieces(run: bytes) -> int:
         """Pieces of the pre-tokenizer in a run, 0 if only the library can tell."""
-        if stem.isalpha():
+        if run.isalpha():
             return 1
-        if stem.isascii():
-            return 0 if b"<|" in stem else len(PARTS.findall(stem.decode()))
-        text = stem.decode()
+        if run.isascii():
+            return 0 if b"<|" in run else len(PARTS.findall(run.decode()))
+        text = run.decode()
         return int(text.isalpha() and unicodedata.is_normalized("NFC", text))
 
-    def learn_together(self, stems: list[bytes], pieces: list[int]) -> list[bytes]:
+    def learn_together(self, runs: list[bytes], pieces: list[int]) -> list[bytes]:
         """Encode the runs as one text and cut its ids; the runs if their pieces do not add up."""
         (found,) = self.library.encode_batch_fast(
-            [b" ".join(stems).decode()], add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        after = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            [b" ".join(runs).decode()], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        after = np.flatnonzero(self.closes[ids]) + 1
         if len(after) != sum(pieces):
-            return stems
-        raw, at = ids.tobytes(), 0
-        for stem, end in zip(stems, after[np.cumsum(pieces) - 1].tolist(), strict=True):
-            self.known[stem] = raw[at:end]
-            at = end
+            return runs
+        self.keep(runs, ids, np.diff(after[np.cumsum(pieces) - 1], prepend=0))
         return []
 
-    @staticmethod
-    def stem(run: bytes) -> bytes:
-        return run[:-1] if run[-1:] in b".," and len(run) > 1 and 97 <= run[-2] <= 122 else run
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, the end id after each, and where each text's ids end."""
         trim(self.known, KEEP, FULL)
-        known = self.known.get
-        raw = [t.encode() for t in texts]
-        cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
-        found = [[known(r) for r in runs] for runs in cut]
-        open_ones = [n for n, parts in enumerate(found) if None in parts]
-        self.learn({r for n in open_ones for r, p in zip(cut[n], found[n], strict=True)
-                    if p is None})
-        for n in open_ones:
-            found[n] = [known(r) for r in cut[n]]
-        return [b"".join(parts) for parts in found]
+        offsets, raw = bytes_of(texts)
+        at, data, closing = runs_of(offsets, raw)
+        coded = pa.Array.from_buffers(pa.binary(), len(at) - 1, [
+            None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
+        runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = list(map(self.known.get, runs))
+        new = [n for n, number in enumerate(numbers) if number is None]
+        if new:
+            at, held = bytes_of(coded.dictionary)
+            odd = np.append(0, np.cumsum(kinds_of(held) != LETTER, dtype=np.int32))[at]
+            letters = np.diff(odd) == 0
+            self.learn([runs[n] for n in new], letters[new].tolist())
+            numbers = list(map(self.known.get, runs))
+        # a run for each text's end, after its own
+        number = np.insert(np.array(numbers, dtype=np.int64)[coded.indices.to_numpy()], closing, 0)
+        sizes = self.starts[number + 1] - self.starts[number]
+        ends = np.cumsum(sizes)[closing + np.arange(len(closing))]
+        return gathered(self.flat, self.starts[number], sizes), ends
+
+
+#: Kinds of bytes: white space, part of a lower-case letter of ASCII or Latin-1 (after lowering A to
+#: Z), ASCII punctuation, the apostrophe, any other.
+WHITE, LETTER, MARK, APOSTROPHE, OTHER = range(5)
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[[9, 10, 11, 12, 13, 32]] = WHITE
+KINDS[[n for n in range(128) if chr(n).isalpha()]] = LETTER
+KINDS[[n for n in range(33, 127) if not chr(n).isalnum()]] = MARK
+KINDS[ord("'")] = APOSTROPHE
+LOWERED = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+#: Second bytes of the lower-case letters of Latin-1, after byte C3.
+SECOND = np.isin(np.arange(256), [n for n in range(0x9F, 0xC0) if n != 0xB7])
+#: Whether a run begins at the second of two kinds, first * 8 + second.
+BEGINS = np.zeros(64, dtype=bool)
+BEGINS[[WHITE * 8 + kind for kind in (LETTER, MARK, APOSTROPHE, OTHER)]] = True
+BEGINS[[LETTER * 8 + MARK, LETTER * 8 + APOSTROPHE, MARK * 8 + LETTER]] = True
+
+
+def longer(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for so many values, half as many again at least if it grows."""
+    if len(array) >= size:
+        return array
+    wide = np.empty(max(size, len(array) * 3 // 2), dtype=array.dtype)
+    wide[: len(array)] = array
+    return wide
+
+
+def bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 on and bytes of an array of strings; NULL is empty."""
+    values = values.cast(pa.large_binary())
+    if values.null_count:
+        values = values.fill_null(b"")
+    _, offsets, data = values.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], raw
+
+
+def kinds_of(raw: np.ndarray) -> np.ndarray:
+    kinds = KINDS[raw]
+    pair = np.flatnonzero(raw[:-1] == 0xC3)
+    pair = pair[SECOND[raw[pair + 1]]]
+    kinds[pair] = kinds[pair + 1] = LETTER
+    return kinds
+
+
+def runs_of(offsets: np.ndarray, raw: np.ndarray) -> tuple:
+    """(where each run begins and the last ends in `data`, `data`: bytes of all runs, number of
+    runs up to each text's end)."""
+    kinds, lowered = kinds_of(raw), LOWERED[raw]
+    word = kinds != WHITE
+    begin = word.copy()
+    begin[1:] = BEGINS[(kinds[:-1] << 3) | kinds[1:]]
+    bars = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+    for text in np.unique(np.searchsorted(offsets, bars, "right") - 1).tolist():
+        own = slice(int(offsets[text]), int(offsets[text + 1]))
+        lowered[own] = raw[own]
+        begin[own][1:] = word[own][1:] & ~word[own][:-1]
+    edge = offsets[offsets < len(raw)]
+    begin[edge] = word[edge]
+    first = np.flatnonzero(begin)
+    data = lowered[word]
+    # white space is left out of the data
+    at = np.append(first - np.cumsum(~word, dtype=np.int32)[first], len(data))
+    return at.astype(np.int32), data, np.searchsorted(first, offsets[1:])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -411,20 +486,22 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
             ids, parts, held, number = [], [], 0, number + 1
             return row
 
-        end = np.array([END_ID], dtype=np.uint32)
         for batch in batches:
+            texts = batch["text"]
+            offsets, _ = bytes_of(texts)
+            docs = batch["doc_id"].to_pylist()
             low = 0
-            while low < batch.num_rows:
-                some = batch.slice(low, 256)
-                low += 256
-                texts = [t or "" for t in some["text"].to_pylist()]
-                for doc, raw in zip(some["doc_id"].to_pylist(), own.encode(texts), strict=True):
-                    tokens = np.concatenate([np.frombuffer(raw, "<u4"), end])
+            while low < len(docs):
+                upto = int(np.searchsorted(offsets, offsets[low] + CHUNK_BYTES, "right")) - 1
+                upto = max(upto, low + 1)
+                found, ends = own.encode(texts.slice(low, upto - low))
+                for doc, tokens in zip(docs[low:upto], np.split(found, ends[:-1]), strict=True):
                     ids.append(doc)
                     parts.append(tokens)
                     held += len(tokens)
                     if held >= SHARD_TOKENS:
                         yield flush()
+                low = upto
         if ids:
             yield flush()
 

@@ -4,6 +4,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -171,3 +172,35 @@ def test_shards_of_the_documents_table_are_right_and_smaller_than_plain_ids(spar
     for row in docs.collect():
         ids = [*library.encode(row.text or "", add_special_tokens=False).ids, 1]
         assert got[row.doc_id] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_runs_cut_at_punctuation_have_the_ids_of_the_library(library, monkeypatch):
+    monkeypatch.setattr(repair, "KEEP", 300)
+    monkeypatch.setattr(repair, "FULL", 400)
+    parts = ["a", "Be", "s", "t", "ll", "'", "'s", "'re", "\u2019", "&", "<", "=", ".", ",", "***", "|", "7", "\u00e9",
+             "\u00c9", "\u00df", "\u00f7", "\u00d7", "\u00aa", "\u0301", "\u0338", "\u00a0", "\u1100", "\u1161", "\u0130",
+             "\u2126", "\u65e5", "\x1c", " ", " ", "\n", "\t", "<|", "<|endoftext|>", "|>"]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(parts[:-3] if n % 4 else parts, k=rng.randrange(40))) for n in range(1500)]
+    own = repair.Encoder(repair.vocabulary_path())
+    for low in range(0, len(texts), 100):
+        some = [None, *texts[low : low + 100], ""]
+        ids, ends = own.encode(pa.array(some).slice(1))
+        got = np.split(ids, ends[:-1])
+        assert [g.tolist() for g in got] == [
+            [*library.encode(t, add_special_tokens=False).ids, 1] for t in some[1:]]
+
+
+def test_equal_runs_of_a_chunk_are_looked_up_once():
+    class Known(dict):
+        lookups = 0
+
+        def get(self, run):
+            self.lookups += 1
+            return super().get(run)
+
+    own = repair.Encoder(repair.vocabulary_path())
+    own.known = Known(own.known)
+    own.encode(pa.array(["Word, word. (word) word*** " * 50, "word!"]))
+    assert set(own.known) == {b"", b"word", b",", b".", b"(", b")", b"***", b"!"}
+    assert own.known.lookups == 2 * 7
