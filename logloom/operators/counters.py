@@ -34,7 +34,12 @@ def _increment(metric: str, label: Column, reason: Column | None = None) -> Colu
 
 
 def ledger_counters(ledger_rows: DataFrame) -> DataFrame:
-    """Every record counter in one pass over the ledger."""
+    """Every record counter in one pass over the ledger.
+
+    Records that add to the same counters are counted first, so that few rows are spread out.
+    """
+    alike = ledger_rows.groupBy("host", "disposition", "errors", "destinations").agg(
+        F.count(F.lit(1)).alias("_n"))
     lost = F.col("disposition") == NO_METADATA
     single = F.array_compact(
         F.array(
@@ -54,9 +59,9 @@ def ledger_counters(ledger_rows: DataFrame) -> DataFrame:
         ).otherwise(_increment(OUTPUT, d["endpoint"])),
     )
     return (
-        ledger_rows.select(F.inline(F.concat(single, errors, sent)))
+        alike.select("_n", F.inline(F.concat(single, errors, sent)))
         .groupBy("metric", "label", "reason")
-        .agg(F.count(F.lit(1)).alias("value"))
+        .agg(F.sum("_n").alias("value"))
     )
 
 

@@ -12,7 +12,7 @@ from logloom.functions.patterns import matches
 from logloom.functions.values import text
 from logloom.operators.clusters import by_slice
 from logloom.operators.lookup import fits_broadcast, lookup_join
-from logloom.operators.metadata import NO_METADATA, recover_metadata
+from logloom.operators.metadata import NO_METADATA, TAG_PARTS, find_metadata, put_metadata
 from logloom.operators.slices import DAY, running, slice_of
 from logloom.options import SEED_HOST, RouteOptions
 from logloom.session import settle
@@ -60,12 +60,22 @@ def is_dynamic(host: Column, options: RouteOptions) -> Column:
     return (host != "") & matches(host, options.host_regex)
 
 
-def with_host(df: DataFrame, options: RouteOptions) -> DataFrame:
-    """Metadata recovery, then `host` (label) and `dynamic`."""
-    df = recover_metadata(df, options)
-    df = df.withColumn(
-        "_host", dynamic_host(F.col("fields"), options)
-    ).withColumn("dynamic", is_dynamic(F.col("_host"), options))
+def with_host(df: DataFrame, options: RouteOptions, whole: bool = True) -> DataFrame:
+    """Metadata recovery, then `host` (label) and `dynamic`.
+
+    Unless `whole`, metadata found in the tag stays in `_found`: putting it into the map of fields
+    costs more than all the rest.
+    """
+    df = find_metadata(df, options)
+    head, *rest = options.host_path or ("",)
+    apart = not whole and (head != "kubernetes" or len(rest) == 1)
+    if not apart:
+        df = put_metadata(df)
+    own = dynamic_host(F.col("fields"), options)
+    if apart and head == "kubernetes":
+        name = F.col("_found")[rest[0]] if rest[0] in TAG_PARTS else F.lit("")
+        own = F.when(F.col("_found").isNotNull(), name).otherwise(own)
+    df = df.withColumn("_host", own).withColumn("dynamic", is_dynamic(F.col("_host"), options))
     return df.withColumn("host", F.when(F.col("dynamic"), F.col("_host")).otherwise(SEED_HOST)).drop(
         "_host"
     )
@@ -74,6 +84,8 @@ def with_host(df: DataFrame, options: RouteOptions) -> DataFrame:
 def _decide(df: DataFrame, options: RouteOptions) -> DataFrame:
     """`disposition` and `destinations` from the looked-up route columns."""
     empty = F.size("fields") == 0
+    if "_found" in df.columns:
+        empty = empty & F.col("_found").isNull()
     routed = F.col("endpoint").isNotNull()
     to_seed_only = ~F.col("dynamic") | F.lit(not options.controller_present)
     seed = F.struct(
@@ -96,14 +108,16 @@ def _decide(df: DataFrame, options: RouteOptions) -> DataFrame:
     )
     df = df.withColumn("disposition", disposition)
     none = F.array().cast(f"array<{DESTINATION}>")
-    chosen = F.when(to_seed_only, F.array(seed)).otherwise(
-        F.array_compact(
-            F.array(F.when(F.col("to_shoot"), shoot), F.when(F.col("to_seed"), seed))
-        )
+    chosen = (
+        F.when(to_seed_only, F.array(seed))
+        .when(F.col("to_shoot") & F.col("to_seed"), F.array(shoot, seed))
+        .when(F.col("to_shoot"), F.array(shoot))
+        .when(F.col("to_seed"), F.array(seed))
+        .otherwise(none)
     )
     return df.withColumn(
         "destinations", F.when(F.col("disposition") == "routed", chosen).otherwise(none)
-    ).drop("lost_metadata", "dynamic", "state", "to_shoot", "to_seed", "endpoint")
+    ).drop("lost_metadata", "dynamic", "state", "to_shoot", "to_seed", "endpoint", "_found")
 
 
 ROUTE = ("to_shoot", "to_seed", "endpoint")
@@ -121,13 +135,15 @@ def keyed(df: DataFrame) -> DataFrame:
 
 
 def ledger(
-    records: DataFrame, routes: DataFrame | None, options: RouteOptions, settled: bool = False
+    records: DataFrame, routes: DataFrame | None, options: RouteOptions, settled: bool = False,
+    whole: bool = True,
 ) -> DataFrame:
     """One row per record with `host`, `errors`, `disposition` and `destinations`.
 
-    `routes` holds the live routes (one row per host); records keep their partitioning.
+    `routes` holds the live routes (one row per host); records keep their partitioning. Unless
+    `whole`, their `fields` are left out: what only counts or names records needs no rebuilt ones.
     """
-    df = with_host(records, options)
+    df = with_host(records, options, whole)
     if routes is None:
         df = df.withColumns({
             "to_shoot": F.lit(None).cast("boolean"), "to_seed": F.lit(None).cast("boolean"),
@@ -136,7 +152,8 @@ def ledger(
     else:
         table = routes.select(F.col("host").alias(KEY), *ROUTE)
         df = lookup_join(keyed(df), table, [KEY], spread="record_id", settled=settled).drop(KEY)
-    return _decide(df, options)
+    decided = _decide(df, options)
+    return decided if whole else decided.drop("fields")
 
 
 def ledger_as_of(

@@ -37,21 +37,27 @@ def measured(df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
     return df, (largest or 0) <= ROWS
 
 
-def cut(df: DataFrame, keys: list[str], ts: str, width: int, rows: int | None = None) -> DataFrame:
+def cut(
+    df: DataFrame, keys: list[str], ts: str, width: int, rows: int | None = None, settled: bool = False
+) -> DataFrame:
     """Add `_slice`, the first microsecond of a row's slice.
 
-    Rows are counted by key and second. A span of `width` with too many is cut into minutes, such
-    a minute into seconds, such a second into its moments. Spans that are too dense number at most
+    Rows are counted by key and span of `width`. If any has too many, they are counted by second: such
+    a span is cut into minutes, such a minute into seconds, such a second into its moments. Spans that are too dense number at most
     the rows over `rows`, so their table is broadcast. The input is computed once and kept in the
-    shared folder, for it is read to count, to sum up and to order.
+    shared folder (unless it is `settled` already), for it is read to count, to sum up and to order.
     """
-    df, rows = settle(df), rows or ROWS
+    df, rows = df if settled else settle(df), rows or ROWS
     at = micros(F.col(ts))
     minute_size, second_size = min(MINUTE, width), min(SECOND, width)
 
     def start(moment: Column, size: int) -> Column:
         return moment - F.pmod(moment, F.lit(size))
 
+    largest = df.groupBy(*keys, start(at, width).alias("_span")).agg(
+        F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if (largest or 0) <= rows:
+        return df.withColumn("_slice", start(at, width))
     counts = df.groupBy(*keys, start(at, second_size).alias("_second")).agg(
         F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumns({"_span": start(F.col("_second"), width),
@@ -101,7 +107,7 @@ def neighbour(
     if small:
         whole = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*df.columns, *(shift(c).over(whole).alias(n) for c, n in columns.items()))
-    sliced = cut(df, keys, order[0], width)
+    sliced = cut(df, keys, order[0], width, settled=True)
     position, row = F.struct(*order), F.struct(*columns)
     edge = F.min_by(row, position) if ahead else F.max_by(row, position)
     summary = sliced.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
@@ -134,7 +140,7 @@ def running(
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select(*df.columns, *(
             _COMBINE[how](c).over(whole).alias(n) for n, (how, c) in totals.items()))
-    sliced = cut(df, keys, order[0], width)
+    sliced = cut(df, keys, order[0], width, settled=True)
     summary = sliced.groupBy(*keys, "_slice").agg(
         *(_COMBINE[how](c).alias(f"_part_{n}") for n, (how, c) in totals.items())
     )

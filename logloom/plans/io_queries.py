@@ -122,9 +122,10 @@ SELECT 'errors_total', 'MalformedLine:kubernetes', '', count(*) FROM orders WHER
 def cut_lines(rows: DataFrame, lost: Column, path: str) -> None:
     """Store rows as JSON lines; of those that are `lost` the end is missing."""
     line = F.to_json(F.struct(*(c for c in rows.columns if c != "lost")))
-    rows = rows.withColumn("lost", lost)
-    short = F.substring(line, F.lit(1), F.length(line) - 1 - F.length(line) % 9)
-    rows.select(F.when(F.col("lost"), short).otherwise(line).alias("value")).write.text(path)
+    rows = once(rows, line=line, lost=lost)
+    length = F.length("line")
+    short = F.substring("line", F.lit(1), length - 1 - length % 9)
+    rows.select(F.when(F.col("lost"), short).otherwise(F.col("line")).alias("value")).write.text(path)
 
 
 def feeds_with_cut_lines(spark: SparkSession, folder: str, path: str) -> dict[str, DataFrame]:
@@ -163,7 +164,7 @@ WHERE change > 0 AND depth > 20 GROUP BY endpoint""", LOGS, CHANGES, LEDGER, QUE
 def all_counters(spark: SparkSession, folder: str) -> DataFrame:
     """Every error and drop reason that a table here has, and all other record counters, in one frame."""
     routes = clusters.current_routes(views.cluster_changes(spark, folder), OPTIONS)
-    ledger = routing.ledger(views.logs(spark, folder), routes, replace(OPTIONS, seed_type="noop"))
+    ledger = routing.ledger(views.logs(spark, folder), routes, replace(OPTIONS, seed_type="noop"), whole=False)
     feeds = feeds_with_cut_lines(spark, folder, _workspace(spark))
     return counters.summed(
         counters.ledger_counters(ledger), invalid_key_errors(spark, folder),

@@ -32,7 +32,7 @@ def _routes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, folder: str, options: RouteOptions = OPTIONS) -> DataFrame:
-    return routing.ledger(views.logs(spark, folder), _routes(spark, folder), options)
+    return routing.ledger(views.logs(spark, folder), _routes(spark, folder), options, whole=False)
 
 
 @query(sql("""

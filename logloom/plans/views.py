@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.once import once
 from logloom.operators.parse import json_records
 from logloom.session import prepare
 from logloom.sources.readers import spread_for_work, spread_if_narrow, tasks_for
@@ -60,12 +61,14 @@ def raw_logs(spark: SparkSession, folder: str) -> DataFrame:
 def raw_logs_of(e: DataFrame) -> DataFrame:
     """`record_id, ts, tag, line`: one JSON record per event."""
     eid, kind = F.col("event_id"), F.col("event_type")
-    digest = F.sha2(eid.cast("string"), 256)
+    e = once(e, _digest=F.sha2(eid.cast("string"), 256))
+    digest = F.col("_digest")
     pod, ns = F.concat(F.lit("pod-"), F.col("user_id") % 10), namespace_of(F.col("user_id"))
     joint = F.when(eid % 50 == 0, "-").otherwise("_")
     whole = F.concat(F.lit("kubernetes.var.log.containers."), pod, F.lit("_"), ns, joint, kind,
                      F.lit("-"), digest, F.lit(".log"))
-    tag = F.when(eid % 97 != 0, whole)
+    e = once(e, _tag=F.when(eid % 97 != 0, whole))
+    tag = F.col("_tag")
     k8s = F.struct(
         ns.alias("namespace_name"), pod.alias("pod_name"),
         F.when(eid % 3 == 0, "").otherwise(F.concat(F.lit("uid-"), eid)).alias("pod_id"),

@@ -1,8 +1,9 @@
 """Costly work on a record is spread by the number of rows and done one time."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from logloom.operators import bloom, search
+from logloom.operators import bloom, search, slices
 from logloom.plans import io_queries, stream_queries, views
 from logloom.plans.queries import QUERIES
 from logloom.sources import readers, sinks
@@ -86,3 +87,52 @@ def test_items_of_an_index_carry_numbers_not_paths(spark, monkeypatch, tmp_path)
     search.write_index(spark, f"{tmp_path}/rows", "body")
     assert kinds == ["long"]
     assert [r.body for r in search.search(spark, f"{tmp_path}/rows", {"body": "w7"}).collect()] == ["w7"]
+
+
+@pytest.mark.parametrize("query", ["record_counters", "delivery_ledger", "fan_out"])
+def test_records_that_are_only_counted_are_not_rebuilt(spark, query):
+    plan = optimized(QUERIES[query](spark, TESTDATA))
+    assert "map_concat" not in plan and "map_filter" not in plan
+
+
+def test_records_that_count_alike_are_counted_before_they_are_spread_out(spark):
+    plan = optimized(QUERIES["record_counters"](spark, TESTDATA))
+    below = plan[plan.index("Generate inline(concat("):]
+    assert "Aggregate [host" in below
+
+
+def test_a_log_line_is_cut_off_after_it_was_made_once(spark, monkeypatch, tmp_path):
+    plans = []
+    make = io_queries.once
+
+    def once(df, **columns):
+        plans.append(sorted(columns))
+        return make(df, **columns)
+
+    monkeypatch.setattr(io_queries, "once", once)
+    io_queries.cut_lines(spark.range(20).selectExpr("id", "id * id AS square"),
+                         F.col("id") % 2 == 1, f"{tmp_path}/lines")
+    assert plans == [["line", "lost"]]
+    lines = {r.value for r in spark.read.text(f"{tmp_path}/lines").collect()}
+    assert len(lines) == 20 and sum(line.endswith("}") for line in lines) == 10
+    assert '{"id":4,"square":16}' in lines
+
+
+def test_rows_of_a_cut_window_are_settled_once_and_counted_by_span_first(spark, monkeypatch):
+    settled, asked = [], []
+    settle = slices.settle
+    monkeypatch.setattr(slices, "settle", lambda df: settled.append(df) or settle(df))
+    monkeypatch.setattr(slices, "ROWS", 30)
+    rows = spark.sql("SELECT 'a' AS k, timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id) AS ts, id FROM range(100)")
+    cut = slices.cut
+
+    def seen(*args, **kwargs):
+        asked.append(cut(*args, **kwargs))
+        return asked[-1]
+
+    monkeypatch.setattr(slices, "cut", seen)
+    for width in (20 * 60_000_000, slices.HOUR):
+        found = slices.running(rows, ["k"], ["ts", "id"], {"sum": ("sum", F.col("id"))}, width).collect()
+        assert {r.id: r["sum"] for r in found} == {n: n * (n + 1) // 2 for n in range(100)}
+    assert len(settled) == 2
+    assert ["Join" in optimized(df) for df in asked] == [False, True]

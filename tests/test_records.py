@@ -227,3 +227,22 @@ def test_selector_grammar(spark, selector, found):
 
     df = spark.sql("select map('k', 'a', 'n', '5') as labels")
     assert df.select(label_selector(F.col("labels"), selector)).first()[0] is found
+
+
+@pytest.mark.parametrize("path", [("kubernetes", "namespace_name"), ("kubernetes",), ("kubernetes", "x"),
+                                  ("kubernetes", "namespace_name", "x"), ("zone",), ("tag",), ()])
+def test_a_ledger_without_fields_decides_as_the_whole_one(spark, records, path):
+    own = {"kubernetes": {"namespace_name": "shoot--q--w", "x": "shoot--x"}, "zone": "shoot--z"}
+    given = records({"tag": TAG, "zone": "shoot--z"}, {"tag": "other"}, {}, own, {"kubernetes": None, "tag": TAG},
+                    {"kubernetes": "x"}, {"zone": 7, "tag": TAG.replace("shoot", "other")}, {"log": "l"})
+    for lost in (True, False):
+        options = replace(OPTIONS, host_path=path, drop_without_metadata=lost, host_regex="^(shoot|kube)")
+        hosts = routing.with_host(given, options).select("host").distinct().select(
+            "host", F.lit(True).alias("to_shoot"), (F.length("host") > 10).alias("to_seed"),
+            F.col("host").alias("endpoint"))
+        for routes in (None, hosts):
+            whole = routing.ledger(given, routes, options)
+            short = routing.ledger(given, routes, options, whole=False)
+            assert "fields" not in short.columns and "_found" not in short.columns
+            columns = ["record_id", "host", "errors", "disposition", "destinations"]
+            assert sorted(short.select(columns).collect()) == sorted(whole.select(columns).collect())
